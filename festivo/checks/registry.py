@@ -29,6 +29,8 @@ CFG = RunConfig(
     hours_snapshot_days=None,
 )
 DECIMALS = 4
+# Just off one half, so that exact ties are not decided by the last bit of a division.
+HALF = 0.500001
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,7 @@ def present(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     def shown(name: str, kind: str):
         c = F.col(name)
         if kind == "f":
-            c = F.floor(c.cast("double") * scale + 0.5).cast("double") / scale
+            c = F.floor(c.cast("double") * scale + HALF).cast("double") / scale
         elif kind == "i":
             c = c.cast("bigint")
         else:
@@ -63,7 +65,7 @@ def present_sql(body: str, columns: dict[str, str]) -> str:
 
     def shown(name: str, kind: str) -> str:
         if kind == "f":
-            return f"floor(CAST({name} AS DOUBLE) * {scale} + 0.5) / {scale} AS {name}"
+            return f"floor(CAST({name} AS DOUBLE) * {scale} + {HALF}) / {scale} AS {name}"
         return f"CAST({name} AS {'BIGINT' if kind == 'i' else 'VARCHAR'}) AS {name}"
 
     return f"SELECT {', '.join(shown(n, k) for n, k in columns.items())} FROM ({body}) result"
