@@ -1 +1,288 @@
-"""To be filled."""
+"""Promotion operators."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from festivo.checks.registry import CFG, register
+from festivo.checks.views import DAYS, VIEWS
+from festivo.operators import promotions as P
+from festivo.plans.upload import UploadRun
+from festivo.sources.retail import Retail
+from festivo.sources.tables import stage
+
+PROMO = "country:s promo_code:i sku:i promo_start:s promo_end:s"
+ADDED_CFG = replace(CFG, added_promotions=True)
+
+
+def upload(spark: SparkSession, root: str, cfg=CFG) -> UploadRun:
+    """Upload run over the stand-in targets and clusters."""
+    r = Retail(spark, root, cfg)
+    return UploadRun(r, stage(r.event_targets, "targets"), r.sales_clusters, r.this_week_hours)
+
+
+def select_columns(prefix: str, suffix: str = "i") -> str:
+    return " ".join(f"{prefix}{n}:{suffix}" for n in DAYS)
+
+
+register(
+    "promo_day_flags",
+    lambda spark, root: P.promo_day_flags(Retail(spark, root, CFG).extracts),
+    "SELECT * FROM v_flags WHERE store_number BETWEEN 1001 AND 5999",
+    f"country:s store_number:i sku:i year_week:s {select_columns('step_', 's')} {select_columns('promo_')}",
+)
+
+DEPARTMENTS, SECTIONS = (103, 107, 112, 5, 9, 21), (4, 17, 33)
+
+
+def _dual(spark: SparkSession, root: str) -> DataFrame:
+    r = Retail(spark, root, CFG)
+    return P.product_dual_hierarchy(r.reporting_hierarchy, r.second_hierarchy, DEPARTMENTS, SECTIONS)
+
+
+register(
+    "product_dual_hierarchy",
+    _dual,
+    f"""SELECT p_partkey + 1 AS sku, p_type AS division, p_name AS long_description, dep AS department_code,
+      p_size AS section_code, p_size AS department_code_2, dep - 100 AS section_code_2
+    FROM (SELECT *, CAST(substr(p_brand, 7) AS INTEGER) + 100 AS dep FROM part)
+    WHERE ({" OR ".join(f"dep = {d}" if len(str(d)) > 2 else f"p_size = {d}" for d in DEPARTMENTS)})
+      AND p_size NOT IN {SECTIONS}""",
+    "sku:i division:s long_description:s department_code:i section_code:i department_code_2:i section_code_2:i",
+)
+
+
+def _zones(spark: SparkSession, root: str) -> DataFrame:
+    r = Retail(spark, root, CFG)
+    return P.store_zone_link(r.store_sites, r.zones)
+
+
+register(
+    "store_zone_link",
+    _zones,
+    "SELECT * FROM v_zone_link",
+    "country:s store_number:i zone_code:s zone_name:s",
+)
+
+VIEWS["v_promo_weeks"] = """
+SELECT p.*, a.year_week AS start_week, a.weekday AS start_weekday, b.year_week AS end_week
+FROM v_promos p LEFT JOIN v_fcal a ON a.iso_date = promo_start LEFT JOIN v_fcal b ON b.iso_date = promo_end"""
+VIEWS["v_added"] = f"""
+SELECT p.country, promo_code, p.sku, promo_start, promo_end, start_weekday, start_week, end_week, f.store_number, z.zone_code,
+  CASE WHEN z.zone_code IN ('Z' || CAST(promo_code % 4 AS VARCHAR), 'Z' || CAST(p.sku % 4 AS VARCHAR)) THEN 1 ELSE 0 END
+    AS is_excluded_zone
+FROM v_promo_weeks p JOIN v_flags f ON f.country = p.country AND f.sku = p.sku AND f.year_week = p.start_week
+  AND CASE {" ".join(f"WHEN start_weekday = {n} THEN promo_{n} = 1" for n in DAYS)} END
+LEFT JOIN v_zone_link z ON z.country = p.country AND z.store_number = f.store_number"""
+
+
+register(
+    "added_promos",
+    lambda spark, root: upload(spark, root, ADDED_CFG).added,
+    "SELECT * FROM v_added",
+    PROMO + " start_weekday:i start_week:s end_week:s store_number:i zone_code:s is_excluded_zone:i",
+)
+
+register(
+    "plan_validity",
+    lambda spark, root: upload(spark, root).plan,
+    "SELECT * FROM v_plan_valid",
+    f"country:s store:i plan_sku:i plan_code:s plan_week:s next_calc_week:s updated_by:s kind:s {select_columns('day_', 'f')} "
+    "week_from:s week_to:s validity_days:i",
+)
+
+
+def _latest(spark: SparkSession, root: str) -> DataFrame:
+    return P.latest_snapshot(Retail(spark, root, CFG).lines(), ["country", "l_partkey"], "sale_date")
+
+
+register(
+    "latest_snapshot",
+    _latest,
+    """SELECT l.* FROM v_lines l JOIN (SELECT country, l_partkey, max(sale_date) AS newest FROM v_lines GROUP BY ALL) m
+    ON m.country = l.country AND m.l_partkey = l.l_partkey AND newest = sale_date""",
+    "country:s l_orderkey:i l_linenumber:i l_partkey:i store:i sale_date:s l_quantity:f",
+)
+
+
+def _eligible(spark: SparkSession, root: str) -> DataFrame:
+    r = Retail(spark, root, CFG)
+    key, balance = F.col("l_suppkey"), F.col("s_acctbal")
+    stores = r.supplier_stores.select(
+        "country",
+        (key + 1001).alias("store_number"),
+        F.when(balance < 0, "ZBK").when(balance > 5000, "HM").otherwise("SM").alias("format"),
+        F.date_add(F.lit("1995-01-01").cast("date"), (key * 37 % 2200).cast("int")).alias("open_date"),
+        F.when(
+            balance < 3000, F.date_add(F.lit(CFG.as_of), (key % 120).cast("int"))
+        ).alias("close_date"),
+        F.when(balance < 8500, balance).alias("net_area"),
+    )
+    return P.eligible_stores(stores, CFG.as_of)
+
+
+register(
+    "eligible_stores",
+    _eligible,
+    f"""SELECT * FROM (SELECT country, s_suppkey + 1001 AS store_number,
+      CASE WHEN s_acctbal < 0 THEN 'ZBK' WHEN s_acctbal > 5000 THEN 'HM' ELSE 'SM' END AS format,
+      DATE '1995-01-01' + CAST(s_suppkey * 37 % 2200 AS INTEGER) AS open_date,
+      CASE WHEN s_acctbal < 3000 THEN DATE '{CFG.as_of}' + CAST(s_suppkey % 120 AS INTEGER) END AS close_date,
+      CASE WHEN s_acctbal < 8500 THEN s_acctbal END AS net_area FROM v_supply)
+    WHERE store_number BETWEEN 1001 AND 5999 AND format <> 'ZBK' AND open_date <= DATE '{CFG.as_of}' - 10
+      AND (close_date >= DATE '{CFG.as_of}' + 60 OR close_date IS NULL) AND net_area IS NOT NULL""",
+    "country:s store_number:i format:s open_date:s close_date:s net_area:f",
+)
+
+_leaflets = ", ".join(
+    f"try_cast(substr(split_part(leaflet_dates, ',', {k}), 1, 10) AS DATE) AS leaflet_{k}" for k in range(1, 11)
+)
+VIEWS["v_leaflets"] = f"SELECT *, {_leaflets} FROM v_promo_weeks"
+register(
+    "leaflet_parse",
+    lambda spark, root: P.leaflet_parse(Retail(spark, root, CFG).promos),
+    "SELECT * FROM v_leaflets",
+    PROMO + " " + " ".join(f"leaflet_{k}:s" for k in range(1, 11)),
+)
+VIEWS["v_leaflet_weeks"] = "SELECT *, " + ", ".join(
+    "CASE WHEN "
+    + " OR ".join(
+        f"(leaflet_{k} >= promo_start + {7 * (n - 1)} AND leaflet_{k} <= promo_start + {7 * n - 1})" for k in range(1, 11)
+    )
+    + f" THEN 1 ELSE 0 END AS leaflet_w{n}"
+    for n in range(1, 11)
+) + " FROM v_leaflets"
+register(
+    "leaflet_week_flags",
+    lambda spark, root: P.leaflet_week_flags(P.leaflet_parse(Retail(spark, root, CFG).promos)),
+    "SELECT * FROM v_leaflet_weeks",
+    PROMO + " " + " ".join(f"leaflet_w{n}:i" for n in range(1, 11)),
+)
+
+VIEWS["v_sales_clusters"] = """
+SELECT country, division, store, CASE WHEN qty >= mean_qty THEN 'Large-Moderate' ELSE 'Small-Moderate' END AS store_cluster
+FROM (SELECT *, avg(qty) OVER (PARTITION BY country, division) AS mean_qty
+  FROM (SELECT country, division, store, sum(qty_promo + qty_regular) AS qty FROM v_daily JOIN v_products USING (sku) GROUP BY ALL))
+WHERE qty * 2 >= mean_qty"""
+VIEWS["v_all_base"] = """
+SELECT DISTINCT p.country, promo_code, p.sku, promo_start, promo_end, start_week, end_week, start_weekday,
+  datediff('day', promo_start, promo_end) + 1 AS promo_duration, s.store, store_number,
+  coalesce(c.store_cluster, CASE WHEN format IN ('HM') THEN 'Large-Moderate' ELSE 'Small-Moderate' END) AS store_cluster,
+  n.* EXCLUDE (sku), leaflet_w1, leaflet_w2, leaflet_w3, leaflet_w4, leaflet_w5, leaflet_w6, leaflet_w7, leaflet_w8,
+  leaflet_w9, leaflet_w10
+FROM v_leaflet_weeks p JOIN v_nodes n ON n.sku = p.sku LEFT JOIN v_stores s ON s.country = p.country
+LEFT JOIN v_sales_clusters c ON c.country = p.country AND c.store = s.store AND c.division = n.division
+WHERE s.store IS NOT NULL"""
+_base = PROMO + " store_number:i promo_duration:i start_weekday:i"
+register(
+    "promo_store_base",
+    lambda spark, root: upload(spark, root).all_base,
+    "SELECT * FROM v_all_base",
+    _base + " start_week:s end_week:s store_cluster:s code:s node_subgroup:s node_department:s leaflet_w1:i leaflet_w2:i",
+)
+
+_early = " OR ".join(f"(country = '{c}' AND store_number = {s})" for c, s in CFG.early_start_stores)
+VIEWS["v_early"] = f"""
+SELECT * REPLACE (CASE WHEN ({_early}) AND start_weekday IN (2, 3, 4) THEN promo_start - 1 ELSE promo_start END AS promo_start,
+  CASE WHEN ({_early}) AND start_weekday IN (2, 3, 4) THEN start_weekday - 1 ELSE start_weekday END AS start_weekday,
+  CASE WHEN ({_early}) AND start_weekday IN (2, 3, 4) THEN promo_duration + 1 ELSE promo_duration END AS promo_duration)
+FROM v_all_base"""
+register(
+    "early_start_shift",
+    lambda spark, root: P.early_start_shift(upload(spark, root).all_base, CFG.early_start_stores),
+    "SELECT * FROM v_early",
+    _base,
+)
+
+VIEWS["v_scoped"] = """
+SELECT b.*, min_date AS scope_from, max_date AS scope_to FROM v_early b
+LEFT JOIN (SELECT split_part(node_id, '-', 1) AS d, min(iso_date) AS min_date, max(iso_date) AS max_date FROM v_targets GROUP BY 1)
+  ON d = b.division"""
+register(
+    "scope_min_max",
+    lambda spark, root: upload(spark, root).base,
+    "SELECT * FROM v_scoped",
+    _base + " scope_from:s scope_to:s",
+)
+
+register(
+    "added_filter",
+    lambda spark, root: upload(spark, root, ADDED_CFG).base,
+    """SELECT e.* FROM v_early e WHERE EXISTS (SELECT 1 FROM v_all_base b JOIN v_added a ON a.country = b.country AND a.sku = b.sku
+      AND a.promo_start = b.promo_start AND a.promo_end = b.promo_end AND a.store_number = b.store_number
+      WHERE b.country = e.country AND b.promo_code = e.promo_code AND b.sku = e.sku AND b.store_number = e.store_number)""",
+    _base,
+)
+
+VIEWS["v_in_scope"] = "SELECT * FROM v_scoped WHERE promo_end >= scope_from AND promo_start <= scope_to"
+register(
+    "event_scope_filter",
+    lambda spark, root: upload(spark, root).in_scope,
+    "SELECT * FROM v_in_scope",
+    _base + " scope_from:s scope_to:s",
+)
+
+_joins = []
+for alias, condition in [
+    ("p6", "p6.plan_sku = b.sku AND p6.next_calc_week = '209952' AND p6.plan_code = substr(b.code, 1, 6)"),
+    ("p5e", "p5e.plan_sku = b.sku AND p5e.validity_days = 56 AND p5e.plan_code = substr(b.code, 1, 5)"),
+    *[
+        (f"p{n}", f"p{n}.plan_sku = 0 AND p{n}.next_calc_week = '209952' AND p{n}.plan_code = substr(b.code, 1, {n})")
+        for n in (5, 4, 3, 2, 1)
+    ],
+]:
+    _joins.append(
+        f"LEFT JOIN v_plan_valid {alias} ON {alias}.updated_by = 'SYSTEM' AND {alias}.kind = 'PTP' "
+        f"AND {alias}.country = b.country AND {alias}.store = b.store AND {condition}"
+    )
+_coalesced = ", ".join(
+    f"coalesce(p6.day_{n}, p5e.day_{n}, p5.day_{n}, p4.day_{n}, p3.day_{n}, p2.day_{n}, p1.day_{n}) AS plan_day_{n}" for n in DAYS
+)
+VIEWS["v_with_plan"] = f"SELECT b.*, {_coalesced} FROM v_in_scope b {' '.join(_joins)}"
+
+
+def _prefix(spark: SparkSession, root: str) -> DataFrame:
+    u = upload(spark, root)
+    return P.prefix_fallback_lookup(u.in_scope, u.plan)
+
+
+register(
+    "prefix_fallback_lookup",
+    _prefix,
+    "SELECT * FROM v_with_plan",
+    PROMO + f" store_number:i {select_columns('plan_day_', 'f')}",
+)
+
+_user = []
+for alias, week, condition in [
+    ("u8", "start_week", "u8.plan_sku = b.sku"),
+    ("u7", "end_week", "u7.plan_sku = b.sku"),
+    ("s1", "start_week", "s1.plan_sku = 0 AND s1.plan_code = substr(b.code, 1, 5)"),
+    ("s2", "start_week", "s2.plan_sku = 0 AND s2.plan_code = substr(b.code, 1, 4)"),
+    ("e1", "end_week", "e1.plan_sku = 0 AND e1.plan_code = substr(b.code, 1, 5)"),
+    ("e2", "end_week", "e2.plan_sku = 0 AND e2.plan_code = substr(b.code, 1, 4)"),
+]:
+    _user.append(
+        f"LEFT JOIN v_plan {alias} ON {alias}.updated_by = 'USER' AND {alias}.kind = 'PTG' AND {alias}.country = b.country "
+        f"AND {alias}.store = b.store AND {alias}.plan_week = b.{week} AND {condition}"
+    )
+VIEWS["v_plans"] = (
+    "SELECT b.*, "
+    + ", ".join(
+        f"u8.day_{n} AS start_day_{n}, u7.day_{n} AS end_day_{n}, coalesce(s1.day_{n}, s2.day_{n}) AS regular_start_day_{n}, "
+        f"coalesce(e1.day_{n}, e2.day_{n}) AS regular_end_day_{n}"
+        for n in DAYS
+    )
+    + f" FROM v_with_plan b {' '.join(_user)}"
+)
+
+
+def _start_end(spark: SparkSession, root: str) -> DataFrame:
+    u = upload(spark, root)
+    return P.plan_lookup_start_end(u.in_scope, u.plan, None, CFG)
+
+
+_shown = " ".join(f"{s}_day_{n}:f" for s in ("start", "end", "regular_start", "regular_end") for n in (1, 4, 7))
+register("plan_lookup_start_end", _start_end, "SELECT * FROM v_plans", PROMO + f" store_number:i {_shown}")

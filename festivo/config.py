@@ -108,6 +108,7 @@ class RunConfig:
     added_promotions: bool = False
     base_promo_division: str = "4"
     hours_snapshot_days: int | None = 6
+    early_start_stores: tuple[tuple[str, int], ...] = EARLY_START_STORES
 
     @property
     def event_id_key(self) -> str:

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from festivo.config import (
-    EARLY_START_STORES,
     LEVELS,
     PROMO_WEEKS,
     UPLOAD_CAPPED,
@@ -58,29 +57,42 @@ def promo_day_rank(rows: DataFrame) -> DataFrame:
 
 
 def weekday_column_select(rows: DataFrame, grid: DataFrame) -> DataFrame:
-    """Open flag of the row's weekday from the store's week; rows without a grid row drop out."""
+    """Open flag of the row's weekday from the store's week; rows without a grid row drop out.
+
+    Where several grid rows speak for one store-week (two projections, or the two weeks
+    folded into week 01) a weekday is open when any of them says so; a promotion day is
+    never multiplied.
+    """
     keys = ["country", "store_number", "fiscal_year", "fiscal_week"]
-    return rows.join(grid.select(*keys, *DAY_COLUMNS), keys).withColumn(
+    merged = grid.groupBy(*keys).agg(*[F.max(d).alias(d) for d in DAY_COLUMNS])
+    return rows.join(merged, keys).withColumn(
         "store_open", pick_by_weekday(F.col("weekday"), [F.col(d) for d in DAY_COLUMNS])
     ).drop(*DAY_COLUMNS)
 
 
-def resolve_targets(product_nodes: DataFrame, targets: DataFrame) -> DataFrame:
+def resolve_targets(base: DataFrame, targets: DataFrame) -> DataFrame:
     """Most specific target per finest node, cluster and day.
 
-    From subgroup up to division, and at each level the user's before the system's. It
-    works on nodes and targets only, so its size does not grow with stores or promotions.
+    From subgroup up to division, and at each level the user's before the system's. Only
+    the distinct node, cluster and day combinations that promotions reach and that have
+    any target are looked up, one row per level, so stores and overlapping promotions do
+    not multiply the work.
     """
-    levels = list(reversed(LEVELS))
-    ancestors = F.array(
-        *[F.struct(F.lit(2 * i).alias("rank"), F.col(f"node_{level}").alias("node_id")) for i, level in enumerate(levels)]
+    nodes = [f"node_{level}" for level in LEVELS]
+    day = F.explode(F.when(F.col("promo_end") >= F.col("promo_start"), F.sequence("promo_start", "promo_end")))
+    dates = targets.select(F.col("iso_date").alias("promo_date")).dropDuplicates()
+    key = ["country", "node_subgroup", "store_cluster", "promo_date"]
+    reached = (
+        base.select("country", *nodes, "store_cluster", "promo_start", "promo_end")
+        .dropDuplicates(["country", "node_subgroup", "store_cluster", "promo_start", "promo_end"])
+        .select("country", *nodes, "store_cluster", day.alias("promo_date"))
+        .join(dates, "promo_date", "left_semi")
+        .dropDuplicates(key)
     )
-    ancestry = (
-        product_nodes.select(*[f"node_{level}" for level in LEVELS])
-        .dropDuplicates()
-        .select("node_subgroup", F.explode(ancestors).alias("a"))
-        .select("node_subgroup", "a.*")
+    levels = F.array(
+        *[F.struct(F.lit(2 * i).alias("rank"), F.col(n).alias("node_id")) for i, n in enumerate(reversed(nodes))]
     )
+    melted = reached.select(*key, F.explode(levels).alias("a")).select(*key, "a.*")
     offered = targets.filter(F.col("final_target").isNotNull()).select(
         "country",
         "node_id",
@@ -90,29 +102,46 @@ def resolve_targets(product_nodes: DataFrame, targets: DataFrame) -> DataFrame:
         "final_target",
     )
     return (
-        ancestry.join(offered, "node_id")
-        .groupBy("country", "node_subgroup", "store_cluster", "promo_date")
-        .agg(F.min(F.struct((F.col("rank") + F.col("by_user")).alias("r"), F.col("final_target"))).alias("best"))
-        .select("country", "node_subgroup", "store_cluster", "promo_date", F.col("best.final_target").alias("target"))
+        melted.join(offered, ["country", "node_id", "store_cluster", "promo_date"])
+        .groupBy(*key)
+        .agg(F.min_by("final_target", F.col("rank") + F.col("by_user")).alias("target"))
     )
 
 
-def target_fallback_lookup(rows: DataFrame, product_nodes: DataFrame, targets: DataFrame) -> DataFrame:
-    """Attach the most specific target: one join instead of one per level and type."""
+def target_fallback_lookup(rows: DataFrame, base: DataFrame, targets: DataFrame) -> DataFrame:
+    """Attach the most specific target: one join instead of one per level and type.
+
+    ``base``: the promotion x store rows the day rows come from.
+    """
     return rows.join(
-        resolve_targets(product_nodes, targets),
+        resolve_targets(base, targets),
         ["country", "node_subgroup", "store_cluster", "promo_date"],
         "left",
     )
 
 
+def reachable_days(rows: DataFrame, targets: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Drop days that can get no value: no target on that date and no fallback division.
+
+    The dates are few, so this thins out the rows before the joins that shuffle them.
+    """
+    dates = targets.select(F.col("iso_date").alias("promo_date"), F.lit(True).alias("has_target")).dropDuplicates()
+    return (
+        rows.join(dates, "promo_date", "left")
+        .filter(F.col("has_target").isNotNull() | (F.col("division") == cfg.base_promo_division))
+        .drop("has_target")
+    )
+
+
 def base_promo_target(rows: DataFrame, weekday_values: DataFrame, week_coefficients: DataFrame, cfg: RunConfig) -> DataFrame:
     """Fallback target of one division: weekday value times promo-week coefficient.
 
     Weekday values fall back from section to department to the store's overall row
     (code '0'). Later promo weeks use their coefficient only when no leaflet falls in
-    them. Rows with neither a model target nor a fallback drop out.
+    them. Rows with neither a model target nor a fallback drop out; those of other
+    divisions already ahead of the joins.
     """
+    rows = rows.filter(F.col("target").isNotNull() | (F.col("division") == cfg.base_promo_division))
     division = F.lit(cfg.base_promo_division).alias("division")
     days = [F.col(d) for d in DAY_COLUMNS]
     active = weekday_values.filter(F.col("is_active") == 1)
@@ -155,7 +184,7 @@ def base_promo_target(rows: DataFrame, weekday_values: DataFrame, week_coefficie
 
 
 def closed_day_redistribution(rows: DataFrame) -> DataFrame:
-    """Move the targets of closed days to the open days around them.
+    """Move the targets of closed days to the open days around them, in date order.
 
     A day belongs to the pool of its promotion, product and store when it or one of the
     next three days or the day before is closed. Pool sums are conditional sums over that
@@ -188,27 +217,22 @@ def closed_day_redistribution(rows: DataFrame) -> DataFrame:
 def weekday_pivot(rows: DataFrame) -> DataFrame:
     """Day rows to seven columns per store, product, week and promotion interval.
 
-    Where promotions share an interval the smallest promotion code speaks.
+    Where promotions share an interval the smallest promotion code speaks, and where two
+    weeks fold into one the earlier day. The first aggregation keeps the promotion and
+    store key of the redistribution, so only week rows are exchanged for the second.
     """
-    day = F.struct("promo_code", "target_final")
-    return (
-        rows.groupBy(*WIDE_KEY, "code", "fiscal_year", "fiscal_week", "start_week", "end_week")
-        .agg(
-            *[
-                F.min(F.when((F.col("weekday") == n) & F.col("target_final").isNotNull(), day)).alias(f"d{n}")
-                for n in range(1, 8)
-            ]
-        )
-        .select(
-            *WIDE_KEY,
-            "code",
-            "fiscal_year",
-            "fiscal_week",
-            "start_week",
-            "end_week",
-            *[F.col(f"d{n}.target_final").alias(f"target_{n}") for n in range(1, 8)],
-        )
-    )
+    week = ["code", "fiscal_year", "fiscal_week", "start_week", "end_week"]
+
+    def earliest(n: int) -> Column:
+        counts = (F.col("weekday") == n) & F.col("target_final").isNotNull()
+        return F.min_by("target_final", F.when(counts, F.col("promo_date"))).alias(f"target_{n}")
+
+    def smallest_code(n: int) -> Column:
+        t = F.col(f"target_{n}")
+        return F.min_by(t, F.when(t.isNotNull(), F.col("promo_code"))).alias(f"target_{n}")
+
+    per_promo = rows.groupBy(*PROMO_STORE, *week).agg(*[earliest(n) for n in range(1, 8)])
+    return per_promo.groupBy(*WIDE_KEY, *week).agg(*[smallest_code(n) for n in range(1, 8)])
 
 
 def week_edge_backfill(wide: DataFrame, plans: DataFrame) -> DataFrame:
@@ -260,7 +284,11 @@ def latest_promo_per_week(wide: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def upload_extract(wide: DataFrame) -> DataFrame:
-    """Cap at the upload's ceiling, round to one decimal, twelve columns (plus country)."""
+    """Cap at the upload's ceiling, round to one decimal, twelve columns (plus country).
+
+    Values are first cut to six decimals, so that the last bit of a division does not
+    decide which way a tie is rounded.
+    """
     return wide.select(
         "country",
         "store",
@@ -269,7 +297,7 @@ def upload_extract(wide: DataFrame) -> DataFrame:
         "fiscal_year",
         "fiscal_week",
         *[
-            F.round(F.when(F.col(t) > UPLOAD_CEILING, UPLOAD_CAPPED).otherwise(F.col(t)), 1).alias(t)
+            F.round(F.round(F.when(F.col(t) > UPLOAD_CEILING, UPLOAD_CAPPED).otherwise(F.col(t)), 6), 1).alias(t)
             for t in TARGET_COLUMNS
         ],
     )
@@ -280,7 +308,7 @@ def scope_audit(base: DataFrame, in_scope: DataFrame, final: DataFrame, cfg: Run
 
     Stores with an early start are left out of the audit.
     """
-    early = [number for _, number in EARLY_START_STORES]
+    early = [number for _, number in cfg.early_start_stores]
     interval = ["sku", "promo_start", "promo_end"]
     left_out = (
         base.filter(~F.col("store_number").isin(*early))

@@ -8,7 +8,6 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from festivo.config import (
-    EARLY_START_STORES,
     EARLY_START_WEEKDAYS,
     LEAFLET_DATES,
     LEVELS,
@@ -243,14 +242,21 @@ def prefix_fallback_lookup(base: DataFrame, plan: DataFrame) -> DataFrame:
         *[option(8 - n, "code", F.lit(0), n) for n in range(5, 0, -1)],
     )
     melted = keys.select("*", F.explode(options).alias("o")).select("country", "store", "sku", "code", "o.*")
-    best = [
-        F.min(F.when(F.col(d).isNotNull(), F.struct("priority", d))).alias(f"best_{d}") for d in DAY_COLUMNS
+    ranks = range(1, 8)
+    by_rank = [
+        F.max(F.when(F.col("priority") == p, F.col(d))).alias(f"{d}_{p}") for d in DAY_COLUMNS for p in ranks
     ]
     resolved = (
         melted.join(ranked, ["country", "store", "plan_sku", "plan_code", "rule"])
         .groupBy("country", "store", "sku", "code")
-        .agg(*best)
-        .select("country", "store", "sku", "code", *[F.col(f"best_{d}.{d}").alias(f"plan_{d}") for d in DAY_COLUMNS])
+        .agg(*by_rank)
+        .select(
+            "country",
+            "store",
+            "sku",
+            "code",
+            *[F.coalesce(*[F.col(f"{d}_{p}") for p in ranks]).alias(f"plan_{d}") for d in DAY_COLUMNS],
+        )
     )
     return base.join(resolved, ["country", "store", "sku", "code"], "left")
 
@@ -267,8 +273,12 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
         base.select("country", "store", "sku", "code", F.col("end_week").alias("plan_week"))
     )
     keys = week_keys.dropDuplicates()
-    product = user.filter(F.col("plan_sku") != 0).select(
-        "country", "store", F.col("plan_sku").alias("sku"), "plan_week", F.struct(*DAY_COLUMNS).alias("product_plan")
+    product = (
+        user.filter(F.col("plan_sku") != 0)
+        .select(
+            "country", "store", F.col("plan_sku").alias("sku"), "plan_week", F.struct(*DAY_COLUMNS).alias("product_plan")
+        )
+        .dropDuplicates()
     )
     codes = user.filter(F.col("plan_sku") == 0).select(
         "country", "store", F.trim("plan_code").alias("plan_code"), "plan_week", F.struct(*DAY_COLUMNS).alias("days")
@@ -282,13 +292,9 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
         .groupBy("country", "store", "sku", "code", "plan_week")
         .agg(
             *[
-                F.min(
-                    F.when(
-                        F.col(f"days.{d}").isNotNull(),
-                        F.struct((-F.length("plan_code")).alias("p"), F.col(f"days.{d}").alias("v")),
-                    )
-                ).alias(f"code_{d}")
+                F.max(F.when(F.length("plan_code") == n, F.col(f"days.{d}"))).alias(f"{d}_{n}")
                 for d in DAY_COLUMNS
+                for n in (5, 4)
             ]
         )
         .select(
@@ -297,7 +303,7 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
             "sku",
             "code",
             "plan_week",
-            F.struct(*[F.col(f"code_{d}.v").alias(d) for d in DAY_COLUMNS]).alias("code_plan"),
+            F.struct(*[F.coalesce(f"{d}_5", f"{d}_4").alias(d) for d in DAY_COLUMNS]).alias("code_plan"),
         )
     )
     lookup = (
@@ -344,10 +350,11 @@ def promo_store_base(
 ) -> DataFrame:
     """Promotion x eligible store with product attributes, node ids, cluster and leaflet flags.
 
-    A store without a cluster gets the default of its format. The product join runs
-    before stores multiply the rows.
+    A store without a cluster gets the default of its format. Promotions are made distinct,
+    dated and joined to products before the stores multiply the rows.
     """
-    dated = week_filter(promo_weeks(promos, calendar), cfg).join(products, "sku")
+    promotion = promos.select(*PROMO_KEY, "leaflet_dates").dropDuplicates()
+    dated = week_filter(promo_weeks(promotion, calendar), cfg).join(products, "sku")
     flagged = leaflet_week_flags(leaflet_parse(dated))
     with_store = flagged.join(stores.select("country", "store", "store_number", "format"), "country")
     default = F.when(F.col("format") == "HM", "Large-Moderate").otherwise("Small-Moderate")
@@ -375,13 +382,10 @@ def promo_store_base(
             *ids,
             *[f"leaflet_w{n}" for n in range(1, PROMO_WEEKS + 1)],
         )
-        .dropDuplicates()
     )
 
 
-def early_start_shift(
-    base: DataFrame, stores: Sequence[tuple[str, int]] = EARLY_START_STORES
-) -> DataFrame:
+def early_start_shift(base: DataFrame, stores: Sequence[tuple[str, int]]) -> DataFrame:
     """Listed stores start promotions of weekdays 2 to 4 one day earlier."""
     if not stores:
         return base

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from festivo.config import LEVELS, RunConfig
-from festivo.functions.expressions import node_id
+from festivo.config import PROMO_WEEKS, RunConfig
 from festivo.operators.allocation import (
+    PROMO_STORE,
     base_promo_target,
     closed_day_redistribution,
     holiday_override_wide,
     latest_promo_per_week,
     promo_day_explode,
     promo_day_rank,
+    reachable_days,
     scope_audit,
     target_fallback_lookup,
     upload_extract,
@@ -40,6 +42,21 @@ from festivo.sources.retail import Retail
 from festivo.sources.tables import stage, write_table
 
 
+DAY_ROW_COLUMNS = (
+    *PROMO_STORE,
+    "store_number",
+    "store_cluster",
+    "division",
+    "department",
+    "section",
+    "code",
+    "node_subgroup",
+    "start_week",
+    "end_week",
+    *[f"leaflet_w{n}" for n in range(1, PROMO_WEEKS + 1)],
+)
+
+
 class UploadRun:
     """One upload run over given targets and store clusters."""
 
@@ -79,7 +96,7 @@ class UploadRun:
     @cached_property
     def base(self) -> DataFrame:
         scoped = added_filter(scope_min_max(self.all_base, self.targets), self.added, self.cfg)
-        return stage(early_start_shift(scoped), "promo_base")
+        return stage(early_start_shift(scoped, self.cfg.early_start_stores), "promo_base")
 
     @cached_property
     def in_scope(self) -> DataFrame:
@@ -91,27 +108,24 @@ class UploadRun:
 
     @cached_property
     def open_days(self) -> DataFrame:
-        return open_day_grid(self.hours, self.retail.folded_calendar, self.holiday_weeks)
-
-    @cached_property
-    def product_nodes(self) -> DataFrame:
-        p = self.retail.products
-        ids = [
-            node_id([F.col(c) for c in LEVELS[:depth]]).alias(f"node_{level}")
-            for depth, level in enumerate(LEVELS, start=1)
-        ]
-        return p.select(*ids)
+        days = self.cfg.hours_snapshot_days
+        since = self.cfg.as_of - timedelta(days=days) if days is not None else None
+        return open_day_grid(self.hours, self.retail.folded_calendar, self.holiday_weeks, since=since)
 
     @cached_property
     def days(self) -> DataFrame:
-        ranked = promo_day_rank(promo_day_explode(self.in_scope, self.retail.folded_calendar, self.cfg))
-        return weekday_column_select(ranked, self.open_days)
+        """Promotion days, carrying only what the steps behind still read."""
+        narrow = self.in_scope.select(*DAY_ROW_COLUMNS)
+        ranked = promo_day_rank(promo_day_explode(narrow, self.retail.folded_calendar, self.cfg))
+        return weekday_column_select(ranked.drop("weekday_name"), stage(self.open_days, "open_days"))
 
     @cached_property
     def targeted(self) -> DataFrame:
         r = self.retail
-        with_target = target_fallback_lookup(self.days, self.product_nodes, self.targets)
-        return base_promo_target(with_target, r.weekday_values, r.week_coefficients, self.cfg)
+        days = reachable_days(self.days, self.targets, self.cfg)
+        with_target = target_fallback_lookup(days, self.in_scope, self.targets)
+        values = stage(r.weekday_values, "weekday_values")
+        return base_promo_target(with_target, values, r.week_coefficients, self.cfg)
 
     @cached_property
     def redistributed(self) -> DataFrame:
@@ -125,7 +139,8 @@ class UploadRun:
     def plans(self) -> DataFrame:
         """System and user plans of every promotion and store in scope."""
         plan = stage(self.plan, "day_plan")
-        with_plan = prefix_fallback_lookup(self.in_scope, plan)
+        keys = ["country", "store", "sku", "code", "promo_start", "promo_end", "start_week", "end_week"]
+        with_plan = prefix_fallback_lookup(self.in_scope.select(*keys).dropDuplicates(), plan)
         flags = self.flags if self.cfg.added_promotions else None
         return plan_lookup_start_end(with_plan, plan, flags, self.cfg)
 

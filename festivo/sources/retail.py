@@ -464,6 +464,32 @@ class Retail:
             F.when(F.col("format") == "HM", "Large-Moderate").otherwise("Small-Moderate").alias("store_cluster"),
         )
 
+    @cached_property
+    def sales_clusters(self) -> DataFrame:
+        """Cluster per division and store by sales against the country's mean; weak stores have none."""
+        sales = (
+            self.daily_sales()
+            .join(self.products.select("sku", "division"), "sku")
+            .groupBy("country", "division", "store")
+            .agg(F.sum(F.col("qty_promo") + F.col("qty_regular")).alias("qty"))
+        )
+        mean = F.avg("qty").over(Window.partitionBy("country", "division"))
+        return (
+            sales.withColumn("mean_qty", mean)
+            .filter(F.col("qty") * 2 >= F.col("mean_qty"))
+            .select(
+                "country",
+                "division",
+                "store",
+                F.when(F.col("qty") >= F.col("mean_qty"), "Large-Moderate").otherwise("Small-Moderate").alias("store_cluster"),
+            )
+        )
+
+    @cached_property
+    def this_week_hours(self) -> DataFrame:
+        """Trading hours where every row speaks for its own week."""
+        return self.trading_hours.withColumn("label", F.lit("THIS WEEK CLOSE"))
+
     @cached_property
     def event_targets(self) -> DataFrame:
         """Targets around each year's event: day shares of each level's sales; sections by hand."""
