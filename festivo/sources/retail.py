@@ -18,7 +18,7 @@ from festivo.config import NO_EXPIRY_WEEK, RunConfig
 from festivo.functions.expressions import any_of, month_day, ratio, week_monday, year_week
 from festivo.operators.calendar import CONTROL_SCHEMA, control_rows, event_controls, fiscal_calendar
 from festivo.operators.rollup import explode_levels
-from festivo.sources.tables import read_table
+from festivo.sources.tables import read_table, stage
 
 PROMO_DISCOUNT = 0.05
 HOLIDAY_MONTH_DAYS = ("12-25", "12-26", "01-01")
@@ -132,10 +132,11 @@ class Retail:
 
     @cached_property
     def controls(self) -> DataFrame:
+        """Event controls, written once: nearly every step of the model reads them."""
         raw = self.spark.createDataFrame(
             control_rows(self.cfg, list(DIVISIONS), CONTROL_VALUES), CONTROL_SCHEMA
         )
-        return event_controls(raw, self.calendar)
+        return stage(event_controls(raw, self.calendar), "controls")
 
     # --- facts --------------------------------------------------------------
     def lines(self, spans: Sequence[tuple[date, date]] = ()) -> DataFrame:
