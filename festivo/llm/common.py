@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from festivo.sources.tables import staging_root
@@ -38,6 +39,15 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast a model of bounded size, classes included."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def received(shared: Broadcast) -> object:
+    return cloudpickle.loads(shared.value)
+
+
 def row_key(*cols: Column | str) -> Column:
     """64-bit key of a row's values; joins use it together with doc_id."""
     return F.xxhash64(*cols)

@@ -20,7 +20,7 @@ BANDS, ROWS = 24, 5
 HASHES = 128  # the first BANDS * ROWS of them make the bands; all of them make the signature
 BITS = 4  # bits kept of each minimum: 16 minima to a long
 LANES = 64 // BITS
-MARGIN = 6.0  # standard errors below the threshold at which an estimate still goes to the exact check
+MARGIN = 5.0  # standard errors below the threshold at which an estimate still goes to the exact check
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -112,6 +112,16 @@ def estimate(a: str, b: str) -> Column:
     return ((HASHES - unequal) / HASHES - chance) / (1 - chance)
 
 
+def _shingle_rows(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sets = [shingle_set(t, width) for t in batch.column("text").to_pylist()]
+            owner = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(owner), pa.array(np.concatenate(sets).view(np.int64))], ["rep", "shingle"])
+
+    return run
+
+
 def _confirm(percent: int, width: int):
     """Exact check of pairs on their full sets; the pairs come with both texts."""
 
@@ -143,10 +153,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
 
     Two documents are linked when 100 * |A & B| >= percent * |A | B| on their shingle sets. Equal sets are first folded
     into their smallest doc_id by hash aggregation, so copies never meet in a band. Bands of the minima then give the
-    candidates. In every bucket each document is first tried against the bucket's smallest doc_id only; the links confirmed
-    so far make components, and only documents of a bucket whose components differ are compared with each other, which
-    leaves out no link that could still join two components. Estimates from the packed low bits, taken
-    ``MARGIN`` standard errors below the threshold, go to the check on full sets.
+    candidates. Shingles that one candidate document alone has bound what it can share with any other; pairs whose bound
+    is below the threshold are no candidates. In every bucket each document is first tried against one leader only, the
+    one with the smallest part of such shingles; the links confirmed so far make components, and only documents of a bucket whose
+    components differ are compared with each other, which leaves out no link that could still join two components.
+    Estimates from the packed low bits, taken ``MARGIN`` standard errors below the threshold, go to the check on full sets.
 
     Texts that are null, empty or without words have an empty set and are linked with nothing; so are rows with a null
     doc_id, whose component_id is null; both are kept. Rows with equal doc_id are one node. Other columns are ignored.
@@ -160,36 +171,46 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
     classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     firsts = usable.join(classes, ["d1", "d2"]).where("doc_id = rep")
     buckets = scratch.keep(firsts.select("rep", F.posexplode("bands").alias("band", "key")))
-    leaders = buckets.groupBy("band", "key").agg(F.min("rep").alias("lead"), F.max("rep").alias("last")).where("lead < last")
-    crowded = buckets.join(leaders.drop("last"), ["band", "key"])
-    shared = scratch.keep(crowded.join(firsts.select("rep", "n_shingles", "sig"), "rep"))
-    texts = scratch.keep(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
+    spans = buckets.groupBy("band", "key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    crowded = scratch.keep(buckets.join(spans.select("band", "key"), ["band", "key"]))
+    texts = scratch.keep(docs.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
+    singles = texts.mapInArrow(_shingle_rows(width), "rep long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
+    own = singles.where("n = 1").groupBy("rep").agg(F.count("*").cast("int").alias("own"))
+    about = scratch.keep(firsts.select("rep", "n_shingles", "sig").join(own, "rep", "left").fillna(0, ["own"]))
+    shared = crowded.join(about, "rep")
+    heads = shared.groupBy("band", "key").agg(F.min(F.struct((F.col("own") / F.col("n_shingles")).alias("part"), "rep")).alias("lead"))
+    shared = scratch.keep(shared.join(heads.select("band", "key", F.col("lead.rep").alias("lead")), ["band", "key"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
         b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
         return pairs.distinct().join(b, "b").join(a, "a").mapInArrow(_confirm(percent, width), "a long, b long")
 
-    heads = shared.where("rep = lead").select("band", "key", F.col("n_shingles").alias("lead_n"), F.col("sig").alias("lead_sig"))
     threshold = percent / 100
     p = threshold + (1 - threshold) * 2.0**-BITS
     least = threshold - MARGIN * (p * (1 - p) / HASHES) ** 0.5 / (1 - 2.0**-BITS)
 
-    def close(n: str, m: str, s: str, t: str) -> Column:
-        return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (estimate(s, t) >= least)
+    def close(x: str) -> Column:
+        """Whether a pair, one side's columns with the prefix x, may reach the threshold."""
+        u, v = F.expr(f"{x}n_shingles - {x}own"), F.expr("n_shingles - own")
+        bound = F.least(u, v) * 100 >= (F.greatest(u, v) + F.col(f"{x}own") + F.col("own")) * percent
+        return bound & (estimate(f"{x}sig", "sig") >= least)
+
+    def side(rows: DataFrame, x: str, *more: str) -> DataFrame:
+        return rows.select("band", "key", *[F.col(c).alias(f"{x}{c}") for c in ("rep", "n_shingles", "own", "sig", *more)])
 
-    stars = shared.where("rep > lead").join(heads, ["band", "key"]).where(close("n_shingles", "lead_n", "sig", "lead_sig"))
+    stars = shared.where("rep <> lead").join(side(shared.where("rep = lead"), "x_"), ["band", "key"]).where(close("x_"))
     first_links = scratch.keep(confirmed(stars.select(F.col("lead").alias("a"), F.col("rep").alias("b"))))
     labels = connected_components(first_links, scratch)
 
     members = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
     tops = members.where("rep = lead").select("band", "key", F.col("label").alias("lead_label")).distinct()
     members = scratch.keep(members.join(tops, ["band", "key"]))
-    strays = members.where("label <> lead_label").select("band", "key", *[F.col(c).alias(f"x_{c}") for c in ("rep", "n_shingles", "sig", "label", "lead_label")])
+    strays = side(members.where("label <> lead_label"), "x_", "label")
     rest = (
         strays.join(members, ["band", "key"])
-        .where("x_label <> label and (label = lead_label or x_rep < rep) and x_rep <> lead and rep <> lead")
-        .where(close("x_n_shingles", "n_shingles", "x_sig", "sig"))
+        .where("x_label <> label and (label = lead_label or x_rep < rep) and rep <> lead")
+        .where(close("x_"))
         .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
     )
     links = scratch.keep(first_links.unionAll(confirmed(rest)))
