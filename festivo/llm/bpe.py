@@ -18,7 +18,7 @@ from .common import slices
 
 LEAF_BYTES = 48  # a piece up to this long is merged directly
 LEAF_CHARS = 4096  # a text up to this long is split by the pattern directly
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 SLICE = 4 << 20
 # Characters that decide a match beyond its own end: the pattern looks ahead one character past a run of white space, and
 # a contraction is three characters long.

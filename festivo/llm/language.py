@@ -18,7 +18,7 @@ SYMBOL_BITS = 15  # ORDER symbols fit one 64-bit key
 SAMPLE_DOCS = 3000  # documents learnt from per language, in expectation
 CALIBRATE = 5  # every fifth sampled document, by hash, sets the rejection limits instead of the counts
 REJECT_SIGMAS = 8.0
-REJECT_FLOOR = 0.25  # nats a character above the usual cross-entropy that are always accepted
+REJECT_FLOOR = 0.5  # nats a character above the usual cross-entropy that are always accepted
 SLICE = 2 << 20
 OTHER = 1  # symbol of letters that the sample lacks; 0 is everything that is no letter
 _MIX = np.uint64(0x9E3779B97F4A7C15)

@@ -18,6 +18,7 @@ WARM_ROWS = 512  # rows of a shard scored in full first, for a threshold to prun
 SCALE = 64.0
 
 PACKED = "rows int, dim int, ids binary, parts binary"
+_PACKED_TYPES = [("rows", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("parts", pa.binary())]
 
 
 def _pack(size: int):
@@ -123,16 +124,11 @@ def top_inner_products(queries: DataFrame, rows: DataFrame, k: int = TOP) -> Dat
     block = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_blocks)).cast("int")
     pack = _pack(1 << 30)
 
-    def packed(key, table):
-        for x in pack(iter(table.combine_chunks().to_batches(max_chunksize=None))):
-            yield x.append_column("block", pa.array([key[0].as_py()], pa.int32()))
+    def packed(key: tuple, table: pa.Table) -> pa.Table:
+        blobs = pa.Table.from_batches(list(pack(iter(table.to_batches()))), pa.schema(_PACKED_TYPES))
+        return blobs.append_column("block", pa.array([key[0].as_py()] * blobs.num_rows, pa.int32()))
 
-    def per_block(key, batches):
-        table = pa.Table.from_batches(list(batches))
-        if table.num_rows:
-            yield from packed(key, table)
-
-    asked = queries.withColumn("block", block).groupBy("block").applyInArrow(per_block, f"{PACKED}, block int")
+    asked = queries.withColumn("block", block).groupBy("block").applyInArrow(packed, f"{PACKED}, block int")
     asked = asked.select("block", *[F.col(c).alias(f"q_{c}") for c in ("rows", "dim", "ids", "parts")])
     shards = rows.select(*columns).mapInArrow(_pack(SHARD_ROWS), PACKED)
     pairs = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(asked, "block")

@@ -17,7 +17,7 @@ SIZES = (3, 4, 5, 6)  # bytes of a subword
 BUCKET_BITS = 18
 DIM = 8
 SAMPLE_DOCS = 2000  # documents learnt from per label, in expectation
-EPOCHS, BATCH, RATE, DECAY = 14, 32, 0.02, 1e-5
+STEPS, BATCH, RATE, DECAY = 1200, 32, 0.02, 1e-5
 GAIN = 50.0  # scale of the averaged vector: a passage of few toxic words moves the average little
 THRESHOLD = 0.7
 SLICE = 1 << 20
@@ -76,10 +76,10 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, seed: in
     ]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    while step < STEPS:
         order = rng.permutation(len(bags))
         for start in range(0, len(order), BATCH):
+            rate = RATE * max(0.0, 1 - step / STEPS)
             chosen = order[start : start + BATCH]
             ids = np.concatenate([bags[i][0] for i in chosen])
             share = np.concatenate([bags[i][1] for i in chosen]) * np.float32(GAIN)
