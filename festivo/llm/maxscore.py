@@ -154,8 +154,8 @@ def op2_maxscore_top_k(spark: SparkSession, root: str) -> DataFrame:
 
 SQL = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS parts FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS parts FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
     SELECT q.vec_id AS query_id, v.vec_id AS vec_id, CAST(list_inner_product(q.parts, v.parts) AS BIGINT) AS score
     FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0
