@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from festivo.sources.tables import read_table
 
@@ -224,5 +224,18 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
     )
 
 
+def without_near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scratch: Scratch | None = None) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which ``near_duplicates`` keeps the document: one of each group.
+
+    Rows repeated with one doc_id leave one row, that of the smallest text hash. Rows with a null doc_id all stay.
+    """
+    kept = near_duplicates(docs, percent, width, scratch).where("kept and doc_id is not null")
+    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
+    named = docs.withColumn("_id", F.col("doc_id").cast("long")).join(ids, F.col("_id") == F.col("_kept_id"), "left_semi")
+    order = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
+    one = named.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one.unionAll(docs.where(F.col("doc_id").isNull()))
+
+
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read_table(spark, root, "documents"))
