@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from festivo.sources.tables import read_table
 
@@ -19,8 +19,8 @@ STEP = 40  # bytes of a symbol; LENGTH is a multiple
 GRAM = 32  # bytes of an anchor
 SIDE = LENGTH // 2
 SLICE = 1 << 20
-BIN_BYTES = 4 << 20
-SHARD_BYTES = 1 << 20
+BIN_BYTES = 1 << 20  # segments that one group compares, on average; an anchor with more is compared by whole strings
+SHARD_BYTES = 1 << 18
 _RNG = np.random.default_rng(400)
 _TABLE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
@@ -243,13 +243,38 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], ["anchor", "c1", "c2", "pre", "n", "segment"])
 
 
+WINDOWS = "anchor long, c1 long, c2 long, at int, w1 long, w2 long"
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """128-bit digest of every LENGTH-byte string of the segments."""
+    for batch in slices(batches, "segment", SLICE // 8):
+        segments, n = batch.column("segment").to_pylist(), batch.column("n").to_numpy()
+        digests = b"".join([xxhash.xxh3_128_digest(s[i : i + LENGTH]) for s, k in zip(segments, n.tolist(), strict=True) for i in range(k)])
+        halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+        picked = pa.array(np.repeat(np.arange(len(n)), n))
+        at = np.arange(len(halves)) - np.repeat(np.cumsum(n) - n, n)
+        found = [pa.array(at.astype(np.int32)), *[pa.array(np.ascontiguousarray(halves[:, i])) for i in (0, 1)]]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c).take(picked) for c in ("anchor", "c1", "c2")], *found], ["anchor", "c1", "c2", "at", "w1", "w2"])
+
+
+def _repeated_windows(segments: DataFrame) -> DataFrame:
+    """Runs of repeated strings in segments of anchors too frequent for one group: strings are counted, with map-side sums."""
+    windows = segments.mapInArrow(_windows, WINDOWS)
+    repeated = windows.groupBy("w1", "w2").agg(F.count("*").alias("times")).where("times > 1").select("w1", "w2")
+    order = Window.partitionBy("anchor", "c1", "c2").orderBy("at")  # a segment has fewer than LENGTH strings
+    runs = windows.join(repeated, ["w1", "w2"]).withColumn("island", F.col("at") - F.row_number().over(order))
+    return runs.groupBy("anchor", "c1", "c2", "island").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).drop("island")
+
+
 def repeated_spans(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, row and spans (first and last start) of the LENGTH-byte strings of ``docs(doc_id, text)`` that start more than once.
 
     Equal strings have equal anchors, so strings are compared within an anchor only. Runs of strings with one anchor are segments;
     equal segments are folded by hash aggregation, and all strings of a folded segment repeat. Where an anchor has several
     distinct segments, their suffix order decides: bins of anchors are cut into shards, each shard's Burrows-Wheeler transform is made,
-    and merging the transforms gives the common prefixes and so the repeated intervals.
+    and merging the transforms gives the common prefixes and so the repeated intervals. An anchor whose distinct segments exceed a bin
+    (the edge of a passage that very many texts share) has its strings counted by digest instead, so no group is unbounded.
     """
     scratch = scratch or Scratch(docs.sparkSession, "repeats")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", row_key("doc_id", "text"))
@@ -261,12 +286,20 @@ def repeated_spans(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame
     classes = scratch.keep(classes.join(several, "anchor"))
     # The strings of one segment share one anchor place, so no two of them are equal.
     open_classes = classes.where("m > 1")
-    size = open_classes.agg(F.sum(F.col("n") + LENGTH - 1)).first()[0] or 0
+    bytes_of = F.sum(F.col("n") + LENGTH - 1)
+    size = open_classes.agg(bytes_of).first()[0] or 0
     n_bins = max(1, math.ceil(size / BIN_BYTES))
-    wanted = open_classes.groupBy("row").agg(F.collect_list(F.struct(*kinds, "pre", "n", "lo")).alias("wanted"))
-    texts = long_texts.select("row", "text").join(wanted, "row").dropDuplicates(["row"]).select("text", "wanted")
-    binned = texts.mapInArrow(_segments, "anchor long, c1 long, c2 long, pre int, n int, segment binary").withColumn("bin", F.pmod(F.xxhash64("anchor"), F.lit(n_bins)))
+    heavy = scratch.keep(open_classes.groupBy("anchor").agg(bytes_of.alias("size")).where(F.col("size") > BIN_BYTES).select("anchor"))
+
+    def segments(of: DataFrame) -> DataFrame:
+        wanted = of.groupBy("row").agg(F.collect_list(F.struct(*kinds, "pre", "n", "lo")).alias("wanted"))
+        texts = long_texts.select("row", "text").join(wanted, "row").dropDuplicates(["row"]).select("text", "wanted")
+        return texts.mapInArrow(_segments, "anchor long, c1 long, c2 long, pre int, n int, segment binary")
+
+    binned = segments(open_classes.join(heavy, "anchor", "left_anti")).withColumn("bin", F.pmod(F.xxhash64("anchor"), F.lit(n_bins)))
     merged = binned.groupBy("bin").applyInArrow(_bins, FOUND)
+    if heavy.first():
+        merged = merged.unionAll(_repeated_windows(segments(open_classes.join(heavy, "anchor"))).select(*merged.columns))
     folded = classes.where("times > 1").select(*kinds, F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
     ranges = folded.unionAll(merged.join(folded.select(*kinds), kinds, "left_anti")).withColumnsRenamed({"lo": "a", "hi": "b"})
     return (
