@@ -16,8 +16,8 @@ from .common import crc_remainder, slices
 SIZES = (3, 4, 5, 6)  # bytes of a subword
 BUCKET_BITS = 18
 DIM = 8
-SAMPLE_DOCS = 2000  # documents learnt from per label, in expectation
-STEPS, BATCH, RATE, DECAY = 1200, 32, 0.02, 1e-5
+SAMPLE = {1: 1500, 0: 4000}  # documents learnt from by label, in expectation
+STEPS, BATCH, RATE, DECAY = 1200, 32, 0.02, 1e-4
 GAIN = 50.0  # scale of the averaged vector: a passage of few toxic words moves the average little
 THRESHOLD = 0.7
 SLICE = 1 << 20
@@ -106,11 +106,11 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, seed: in
     return Model(*params)
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: dict[int, int] | None = None) -> Model:
     """Fit a model on ``docs(doc_id, text)`` labelled by ``labels(doc_id, toxic)``.
 
-    About ``sample_docs`` labelled documents of either class are drawn by a hash of the id; every other label is ignored. Subword
-    bags of whole texts are made by Spark; the driver fits on those of the bounded sample. Rows with a null id or label
+    About ``sample[label]`` labelled documents of either class are drawn by a hash of the id; every other label is ignored. Subword
+    bags of whole texts are made by Spark (a count beyond 32767 is taken as that); the driver fits on those of the bounded sample. Rows with a null id or label
     take no part. With a class missing, the model scores every text 0.5.
     """
     labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("doc_id is not null and toxic in (0, 1)").distinct()
@@ -118,27 +118,29 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     if len(there) < 2:
         return Model(np.zeros((1 << BUCKET_BITS, DIM), np.float32), np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32))
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.when(F.col("toxic") == 1, min(1.0, sample_docs / there[1])).otherwise(min(1.0, sample_docs / there[0]))
-    chosen = F.broadcast(labels.where(drawn < share))  # about 2 * sample_docs rows by construction
+    share = [min(1.0, (sample or SAMPLE)[k] / there[k]) for k in (0, 1)]
+    chosen = labels.where(drawn < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
+    chosen = F.broadcast(chosen)  # as many rows as the sample, by construction
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id").select("doc_id", "text", "toxic")
 
-    def bags(batches):
+    def counted(batches):
         for batch in slices(batches, "text", SLICE):
             ids, owner = subwords(batch.column("text").to_pylist())
             order = np.argsort(owner, kind="stable")
             ends = np.cumsum(np.bincount(owner, minlength=batch.num_rows))
             found = [np.unique(x, return_counts=True) for x in np.split(ids[order], ends[:-1])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([k for k, _ in found], pa.list_(pa.int32())), pa.array([(c / max(1, c.sum())).astype(np.float32) for _, c in found], pa.list_(pa.float32()))],
-                ["doc_id", "toxic", "ids", "share"],
+                [batch.column("doc_id"), batch.column("toxic"), pa.array([k for k, _ in found], pa.list_(pa.int32())), pa.array([np.minimum(c, 32767).astype(np.int16) for _, c in found], pa.list_(pa.int16()))],
+                ["doc_id", "toxic", "ids", "n"],
             )
 
-    seen = rows.mapInArrow(bags, "doc_id long, toxic int, ids array<int>, share array<float>").where("size(ids) > 0").toArrow()
+    seen = rows.mapInArrow(counted, "doc_id long, toxic int, ids array<int>, n array<short>").where("size(ids) > 0").toArrow()
     if not seen.num_rows:
         return Model(np.zeros((1 << BUCKET_BITS, DIM), np.float32), np.zeros((DIM, 2), np.float32), np.zeros(2, np.float32))
     seen = seen.take(pa.compute.sort_indices(seen.select(["doc_id", "toxic"]), [("doc_id", "ascending"), ("toxic", "ascending")]))
-    parts = [[np.asarray(x.values) for x in seen.column(c)] for c in ("ids", "share")]
-    return train(list(zip(*parts, strict=True)), seen.column("toxic").to_numpy().astype(np.int64))
+    counts = [np.asarray(x.values, np.float32) for x in seen.column("n")]
+    bags = [(np.asarray(x.values), n / n.sum()) for x, n in zip(seen.column("ids"), counts, strict=True)]
+    return train(bags, seen.column("toxic").to_numpy().astype(np.int64))
 
 
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
