@@ -156,7 +156,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
     candidates. Shingles that one candidate document alone has bound what it can share with any other; pairs whose bound
     is below the threshold are no candidates. In every bucket each document is first tried against one leader only, the
     one with the smallest part of such shingles; the links confirmed so far make components, and only documents of a bucket whose
-    components differ are compared with each other, which leaves out no link that could still join two components.
+    components differ are compared with each other, in the first bucket that they share, which leaves out no link that could
+    still join two components.
     Estimates from the packed low bits, taken ``MARGIN`` standard errors below the threshold, go to the check on full sets.
 
     Texts that are null, empty or without words have an empty set and are linked with nothing; so are rows with a null
@@ -176,7 +177,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
     texts = scratch.keep(docs.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id"))
     singles = texts.mapInArrow(_shingle_rows(width), "rep long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
     own = singles.where("n = 1").groupBy("rep").agg(F.count("*").cast("int").alias("own"))
-    about = scratch.keep(firsts.select("rep", "n_shingles", "sig").join(own, "rep", "left").fillna(0, ["own"]))
+    marks = F.expr("transform(bands, (b, i) -> cast(xxhash64(b, i) & 2147483647 as int))").alias("marks")
+    about = scratch.keep(firsts.select("rep", "n_shingles", "sig", marks).join(own, "rep", "left").fillna(0, ["own"]))
     shared = crowded.join(about, "rep")
     heads = shared.groupBy("band", "key").agg(F.min(F.struct((F.col("own") / F.col("n_shingles")).alias("part"), "rep")).alias("lead"))
     shared = scratch.keep(shared.join(heads.select("band", "key", F.col("lead.rep").alias("lead")), ["band", "key"]))
@@ -206,11 +208,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = WIDTH, scra
     members = shared.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("component", "rep")).drop("component")
     tops = members.where("rep = lead").select("band", "key", F.col("label").alias("lead_label")).distinct()
     members = scratch.keep(members.join(tops, ["band", "key"]))
-    strays = side(members.where("label <> lead_label"), "x_", "label")
+    strays = side(members.where("label <> lead_label"), "x_", "label", "marks")
+    met_before = F.arrays_overlap(F.slice("x_marks", 1, F.col("band")), F.slice("marks", 1, F.col("band")))
     rest = (
         strays.join(members, ["band", "key"])
         .where("x_label <> label and (label = lead_label or x_rep < rep) and rep <> lead")
-        .where(close("x_"))
+        .where(close("x_") & ~met_before)
         .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
     )
     links = scratch.keep(first_links.unionAll(confirmed(rest)))
