@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import backoff, bpe, html_text, language, lines, maxscore, minhash, repeats, tiling, toxicity, word_bpe
+from . import backoff, bpe, hard_negatives, html_text, language, lines, maxscore, minhash, repeats, tiling, toxicity, vector_codes, word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -19,9 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language.op8_language_id,
     "op9_stupid_backoff": backoff.op9_stupid_backoff,
     "op10_html_text": html_text.op10_html_text,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_orchard_codes": vector_codes.op12_orchard_codes,
     "op13_batched_bpe": word_bpe.op13_batched_bpe,
 }
 SQL: dict[str, str] = {
     "op2_maxscore_top_k": maxscore.SQL,
     "op9_stupid_backoff": backoff.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
+    "op12_orchard_codes": vector_codes.SQL,
 }
