@@ -2,185 +2,110 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from festivo.checks.calendar import open_grid
 from festivo.checks.promotions import select_columns, upload
-from festivo.checks.registry import CFG, register
+from festivo.checks.registry import ADDED, CFG, ONE_WEEK, REUPLOAD, SELECTED, register
 from festivo.checks.views import DAYS, VIEWS
 from festivo.operators import allocation as A
 
 TARGETS = select_columns("target_", "f")
+DAY_ROW = "country:s promo_code:i sku:i promo_start:s promo_end:s store_number:i promo_date:s"
 
 VIEWS["v_days"] = """
 SELECT b.*, c.iso_date AS promo_date, c.fiscal_year, c.fiscal_week, c.weekday,
-  CASE c.weekday WHEN 1 THEN 'monday' WHEN 2 THEN 'tuesday' WHEN 3 THEN 'wednesday' WHEN 4 THEN 'thursday'
-    WHEN 5 THEN 'friday' WHEN 6 THEN 'saturday' WHEN 7 THEN 'sunday' END AS weekday_name,
-  CASE WHEN c.iso_date BETWEEN scope_from AND scope_to THEN 1 ELSE 0 END AS is_in_scope
-FROM v_in_scope b LEFT JOIN v_fcal c ON c.iso_date BETWEEN b.promo_start AND b.promo_end"""
-
-
-def _explode(spark: SparkSession, root: str) -> DataFrame:
-    u = upload(spark, root)
-    days = A.promo_day_explode(u.in_scope, u.retail.folded_calendar, CFG)
-    return days.groupBy("country", "store_number", "promo_date", "weekday_name").agg(
-        F.count("*").alias("n"), F.sum("is_in_scope").alias("n_in_scope"), F.sum("sku").alias("sku_sum")
-    )
-
-
+  ['monday', 'tuesday', 'wednesday', 'thursday', 'friday', 'saturday', 'sunday'][c.weekday] AS weekday_name,
+  CAST(c.iso_date BETWEEN scope_from AND scope_to AS INTEGER) AS is_in_scope
+FROM v_in_scope b LEFT JOIN v_fcal c ON c.iso_date BETWEEN b.promo_start AND b.promo_end WHERE $chosen_days$"""
 register(
     "promo_day_explode",
-    _explode,
-    """SELECT country, store_number, promo_date, weekday_name, count(*) AS n, sum(is_in_scope) AS n_in_scope, sum(sku) AS sku_sum
-    FROM v_days GROUP BY ALL""",
-    "country:s store_number:i promo_date:s weekday_name:s n:i n_in_scope:i sku_sum:i",
+    lambda spark, root: (lambda u: A.promo_day_explode(u.in_scope, u.retail.folded_calendar, CFG))(upload(spark, root)),
+    "SELECT * FROM v_days",
+    DAY_ROW + " fiscal_year:i fiscal_week:s weekday_name:s is_in_scope:i",
 )
 
 VIEWS["v_ranked"] = """
-SELECT *, datediff('day', promo_start, promo_date) + 1 AS promo_day,
-  CASE WHEN datediff('day', promo_start, promo_date) + 1 <= 7 THEN 1 WHEN datediff('day', promo_start, promo_date) + 1 <= 14 THEN 2
-    WHEN datediff('day', promo_start, promo_date) + 1 <= 21 THEN 3 WHEN datediff('day', promo_start, promo_date) + 1 <= 28 THEN 4
-    WHEN datediff('day', promo_start, promo_date) + 1 <= 35 THEN 5 ELSE 0 END AS promo_week
-FROM v_days"""
+SELECT *, promo_date - promo_start + 1 AS promo_day,
+  IF(promo_date - promo_start < 70, greatest((promo_date - promo_start) // 7, 0) + 1, 0) AS promo_week FROM v_days"""
 
 
 def _rank(spark: SparkSession, root: str) -> DataFrame:
     u = upload(spark, root)
-    ranked = A.promo_day_rank(A.promo_day_explode(u.in_scope, u.retail.folded_calendar, CFG))
-    return ranked.groupBy("country", "promo_code", "sku", "promo_week").agg(
-        F.count("*").alias("n"), F.sum("promo_day").alias("day_sum"), F.max("promo_day").alias("last_day")
-    )
+    return A.promo_day_rank(A.promo_day_explode(u.in_scope, u.retail.folded_calendar, CFG))
 
 
-register(
-    "promo_day_rank",
-    _rank,
-    """SELECT country, promo_code, sku, promo_week, count(*) AS n, sum(promo_day) AS day_sum, max(promo_day) AS last_day
-    FROM v_ranked GROUP BY ALL""",
-    "country:s promo_code:i sku:i promo_week:i n:i day_sum:i last_day:i",
-)
+register("promo_day_rank", _rank, "SELECT * FROM v_ranked", DAY_ROW + " promo_day:i promo_week:i")
 
-_cases = " ".join(f"WHEN {n} THEN o.day_{n}" for n in DAYS)
-VIEWS["v_this_week"] = "SELECT * REPLACE ('THIS WEEK CLOSE' AS label) FROM v_hours"
-_hours = " + ".join(f"hours_{n}" for n in DAYS)
-VIEWS["v_open_week"] = f"""
-SELECT g.country, g.store_number, g.fiscal_year, g.fiscal_week,
-  {", ".join(f"coalesce(h.day_{n}, g.open_{n}) AS day_{n}" for n in DAYS)}
-FROM (SELECT DISTINCT country, store_number, fiscal_year, fiscal_week,
-        {", ".join(f"CASE WHEN hours_{n} > 1 THEN 1 ELSE 0 END AS open_{n}" for n in DAYS)}
-      FROM v_this_week JOIN v_fcal ON iso_date = created_date WHERE weekday = 3 AND {_hours} > 6
-        AND store_number BETWEEN 1001 AND 5999) g
-LEFT JOIN v_holiday_weeks h ON h.fiscal_year = g.fiscal_year AND h.fiscal_week = g.fiscal_week"""
+# The upload's own hours: every row speaks for its own week.
+VIEWS["v_open_week"] = open_grid("SELECT * REPLACE ('THIS WEEK CLOSE' AS label) FROM v_hours_delivered")
 VIEWS["v_open_days"] = f"""
-SELECT r.*, CASE r.weekday {_cases} END AS store_open FROM v_ranked r
+SELECT r.*, CASE r.weekday {" ".join(f"WHEN {n} THEN o.day_{n}" for n in DAYS)} END AS store_open FROM v_ranked r
 JOIN (SELECT country, store_number, fiscal_year, fiscal_week, {", ".join(f"max(day_{n}) AS day_{n}" for n in DAYS)}
-  FROM v_open_week GROUP BY ALL) o ON o.country = r.country AND o.store_number = r.store_number AND o.fiscal_year = r.fiscal_year
-  AND o.fiscal_week = r.fiscal_week"""
-
-
-def _open(spark: SparkSession, root: str) -> DataFrame:
-    return upload(spark, root).days.groupBy("country", "store_number", "fiscal_year", "fiscal_week", "weekday").agg(
-        F.count("*").alias("n"), F.sum("store_open").alias("n_open")
-    )
-
-
+  FROM v_open_week GROUP BY ALL) o USING (country, store_number, fiscal_year, fiscal_week)"""
 register(
     "weekday_column_select",
-    _open,
-    """SELECT country, store_number, fiscal_year, fiscal_week, weekday, count(*) AS n, sum(store_open) AS n_open
-    FROM v_open_days GROUP BY ALL""",
-    "country:s store_number:i fiscal_year:i fiscal_week:s weekday:i n:i n_open:i",
+    lambda spark, root: upload(spark, root).days,
+    "SELECT * FROM v_open_days",
+    DAY_ROW + " weekday:i store_open:i",
 )
 
-_levels = [("sgr", "node_subgroup"), ("grp", "node_grp"), ("sec", "node_section"), ("dep", "node_department"), ("dv", "node_division")]
-_target_joins = " ".join(
-    f"LEFT JOIN v_targets {a}_{t[0].lower()} ON {a}_{t[0].lower()}.country = b.country "
-    f"AND {a}_{t[0].lower()}.store_cluster = b.store_cluster AND {a}_{t[0].lower()}.iso_date = b.promo_date "
-    f"AND {a}_{t[0].lower()}.node_id = b.{node} AND {a}_{t[0].lower()}.target_type = '{t}'"
-    for a, node in _levels
-    for t in ("USER", "SYSTEM")
-)
-_first_target = ", ".join(f"{a}_{t}.final_target" for a, _ in _levels for t in ("u", "s"))
-VIEWS["v_with_target"] = f"SELECT b.*, coalesce({_first_target}) AS target FROM v_open_days b {_target_joins}"
+# Where a target may stand, best first: the finest node's user target, its system target, then the level above.
+_nodes = ", ".join(f"{{'level': {i}, 'node_id': node_{level}}}" for i, level in enumerate(("subgroup", "grp", "section", "department", "division")))
+VIEWS["v_resolved"] = f"""
+WITH reached AS (SELECT DISTINCT country, node_subgroup, store_cluster, promo_date, [{_nodes}] AS nodes FROM v_open_days),
+listed AS (SELECT country, node_subgroup, store_cluster, promo_date, unnest(nodes, recursive := true) FROM reached)
+SELECT country, node_subgroup, store_cluster, promo_date,
+  first(final_target ORDER BY level, target_type = 'SYSTEM') FILTER (final_target IS NOT NULL) AS target
+FROM listed l JOIN v_targets t USING (country, node_id, store_cluster) WHERE t.iso_date = l.promo_date GROUP BY ALL"""
+VIEWS["v_with_target"] = "SELECT * FROM v_open_days LEFT JOIN v_resolved USING (country, node_subgroup, store_cluster, promo_date)"
 
 
 def _targets(spark: SparkSession, root: str) -> DataFrame:
     u = upload(spark, root)
-    rows = A.target_fallback_lookup(u.days, u.in_scope, u.targets)
-    return rows.groupBy("country", "node_subgroup", "store_cluster", "promo_date").agg(
-        F.count("*").alias("n"), F.max("target").alias("target")
-    )
+    return A.target_fallback_lookup(u.days, u.in_scope, u.targets)
 
 
-register(
-    "target_fallback_lookup",
-    _targets,
-    """SELECT country, node_subgroup, store_cluster, promo_date, count(*) AS n, max(target) AS target
-    FROM v_with_target GROUP BY ALL""",
-    "country:s node_subgroup:s store_cluster:s promo_date:s n:i target:f",
-)
+register("target_fallback_lookup", _targets, "SELECT * FROM v_with_target", DAY_ROW + " node_subgroup:s store_cluster:s target:f")
 
-_weekday = " ".join(f"WHEN {n} THEN coalesce(l3.day_{n}, l2.day_{n}, l1.day_{n})" for n in DAYS)
-_coefs = "WHEN promo_week = 1 THEN coef_w1 " + " ".join(
-    f"WHEN promo_week = {n} AND leaflet_w{n} = 0 THEN coef_w{n}" for n in range(2, 11)
-)
+# Weekday values of the fallback division, best first: the section's, the department's, the store's.
+_firsts = ", ".join(f"first(day_{n} ORDER BY rank) FILTER (day_{n} IS NOT NULL)" for n in DAYS)
+VIEWS["v_weekday_best"] = f"""
+WITH wanted AS (SELECT DISTINCT country, store, department, section FROM v_with_target WHERE division = '{CFG.base_promo_division}'),
+ranked AS (SELECT k.*, rank, w.* EXCLUDE (country, store, department, section)
+  FROM wanted k, (VALUES (1), (2), (3)) r(rank) JOIN v_weekday_values w ON w.country = k.country AND w.store = k.store
+    AND w.department = IF(rank = 3, '0', k.department) AND w.section = IF(rank = 1, k.section, '0'))
+SELECT country, store, department, section, [{_firsts}] AS week_values FROM ranked GROUP BY ALL"""
+_leaflets = ", ".join(f"leaflet_w{n}" for n in range(1, 11))
+_coefs = ", ".join(f"coef_w{n}" for n in range(1, 11))
 VIEWS["v_targeted"] = f"""
 SELECT *, coalesce(target, base_promo_value * base_promo_coefficient) AS target_all
-FROM (SELECT b.*, CASE b.weekday {_weekday} END AS base_promo_value, CASE {_coefs} ELSE 1 END AS base_promo_coefficient
-  FROM v_with_target b
-  LEFT JOIN v_weekday_values l3 ON l3.department = b.department AND l3.section = b.section AND l3.store = b.store AND b.division = 'PROMO'
-  LEFT JOIN v_weekday_values l2 ON l2.department = b.department AND l2.section = '0' AND l2.store = b.store AND b.division = 'PROMO'
-  LEFT JOIN v_weekday_values l1 ON l1.department = '0' AND l1.section = '0' AND l1.store = b.store AND b.division = 'PROMO'
-  LEFT JOIN v_week_coef w ON w.department = b.department AND w.section = b.section)
-WHERE coalesce(target, base_promo_value * base_promo_coefficient) IS NOT NULL"""
-
-
-def _base_target(spark: SparkSession, root: str) -> DataFrame:
-    return upload(spark, root).targeted.groupBy("country", "promo_code", "sku", "store_number").agg(
-        F.count("*").alias("n"),
-        F.sum("target_all").alias("target_all"),
-        F.sum("base_promo_value").alias("base_promo_value"),
-        F.sum("base_promo_coefficient").alias("base_promo_coefficient"),
-    )
-
-
+FROM (SELECT b.*, IF(division = '{CFG.base_promo_division}', v.week_values[weekday], NULL) AS base_promo_value,
+    IF(promo_week = 1 OR (promo_week > 1 AND [{_leaflets}][promo_week] = 0), [{_coefs}][promo_week], 1) AS base_promo_coefficient
+  FROM v_with_target b LEFT JOIN v_weekday_best v USING (country, store, department, section)
+  LEFT JOIN v_week_coef w USING (country, department, section))
+WHERE target_all IS NOT NULL"""
 register(
     "base_promo_target",
-    _base_target,
-    """SELECT country, promo_code, sku, store_number, count(*) AS n, sum(target_all) AS target_all,
-      sum(base_promo_value) AS base_promo_value, sum(base_promo_coefficient) AS base_promo_coefficient
-    FROM v_targeted GROUP BY ALL""",
-    "country:s promo_code:i sku:i store_number:i n:i target_all:f base_promo_value:f base_promo_coefficient:f",
+    lambda spark, root: upload(spark, root).targeted,
+    "SELECT * FROM v_targeted",
+    DAY_ROW + " target_all:f base_promo_value:f base_promo_coefficient:f",
 )
 
-_promo = "country, promo_code, sku, promo_start, promo_end, store"
+_pool = "country, sku, promo_start, promo_end, store"
+VIEWS["v_pooled"] = f"""
+SELECT *, target_all * store_open AS stays, CAST(min(store_open) OVER (PARTITION BY {_pool} ORDER BY promo_date, promo_code
+  ROWS BETWEEN 1 PRECEDING AND 3 FOLLOWING) = 0 AS INTEGER) AS pool FROM v_targeted"""
 VIEWS["v_redistributed"] = f"""
-SELECT *, coalesce(CASE WHEN pool = 1 THEN target_all * store_open + lost * (target_all * store_open / nullif(kept, 0))
-    ELSE target_all * store_open END, 0) AS target_final
-FROM (SELECT *, sum(target_all - target_all * store_open) OVER (PARTITION BY {_promo}, pool) AS lost,
-    sum(target_all * store_open) OVER (PARTITION BY {_promo}, pool) AS kept
-  FROM (SELECT *, CASE WHEN store_open = 0 OR o1 = 0 OR o2 = 0 OR o3 = 0 OR o4 = 0 THEN 1 ELSE 0 END AS pool
-    FROM (SELECT *, lead(store_open, 1) OVER w AS o1, lead(store_open, 2) OVER w AS o2, lead(store_open, 3) OVER w AS o3,
-        lag(store_open, 1) OVER w AS o4 FROM v_targeted
-      WINDOW w AS (PARTITION BY {_promo} ORDER BY promo_date))))"""
-
-
-def _redistributed(spark: SparkSession, root: str) -> DataFrame:
-    return upload(spark, root).redistributed.groupBy("country", "promo_code", "sku", "store_number").agg(
-        F.count("*").alias("n"),
-        F.sum(F.col("is_pooled").cast("int")).alias("n_pooled"),
-        F.sum("target_final").alias("target_final"),
-        F.max("target_final").alias("highest"),
-    )
-
-
+WITH pools AS (SELECT {_pool}, pool, sum(target_all) AS offered, sum(stays) AS kept FROM v_pooled WHERE pool = 1 GROUP BY ALL)
+SELECT p.*, coalesce(IF(p.pool = 1, stays + (offered - kept) * (stays / nullif(kept, 0)), stays), 0) AS target_final
+FROM v_pooled p LEFT JOIN pools q ON q.country = p.country AND q.sku = p.sku AND q.promo_start = p.promo_start
+  AND q.promo_end = p.promo_end AND q.store = p.store AND q.pool = p.pool"""
 register(
     "closed_day_redistribution",
-    _redistributed,
-    """SELECT country, promo_code, sku, store_number, count(*) AS n, sum(pool) AS n_pooled, sum(target_final) AS target_final,
-      max(target_final) AS highest FROM v_redistributed GROUP BY ALL""",
-    "country:s promo_code:i sku:i store_number:i n:i n_pooled:i target_final:f highest:f",
+    lambda spark, root: upload(spark, root).redistributed.withColumn("pool", F.col("is_pooled").cast("int")),
+    "SELECT * FROM v_redistributed",
+    DAY_ROW + " pool:i target_all:f target_final:f",
 )
 
 _wide_key = "country, store, sku, promo_start, promo_end, code, fiscal_year, fiscal_week, start_week, end_week"
@@ -191,28 +116,18 @@ _wide = f"country:s store:i sku:i promo_start:s promo_end:s code:s fiscal_year:i
 register("weekday_pivot", lambda spark, root: upload(spark, root).wide, "SELECT * FROM v_wide", _wide)
 
 
-def _fill(n: int) -> str:
-    return f"""CASE WHEN CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week = w.start_week
-      THEN coalesce(w.target_{n}, ps.start_day_{n}, pr.regular_start_day_{n}, pp.plan_day_{n})
-    WHEN CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week = w.end_week
-      THEN coalesce(w.target_{n}, pe.end_day_{n}, pf.regular_end_day_{n}, pp.plan_day_{n})
-    ELSE coalesce(w.target_{n}, pp.plan_day_{n}) END AS target_{n}"""
-
-
-VIEWS["v_plan_rows"] = "SELECT DISTINCT * EXCLUDE (promo_code, leaflet_w1, leaflet_w2, leaflet_w3, leaflet_w4, leaflet_w5, leaflet_w6, leaflet_w7, leaflet_w8, leaflet_w9, leaflet_w10) FROM v_plans"
-_plan_joins = " ".join(
-    f"LEFT JOIN v_plan_rows {a} ON {a}.country = w.country AND {a}.store = w.store AND {a}.sku = w.sku "
-    f"AND {a}.promo_start = w.promo_start AND {a}.promo_end = w.promo_end{extra}"
-    for a, extra in [
-        ("ps", " AND ps.start_week = CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week"),
-        ("pe", " AND pe.end_week = CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week"),
-        ("pr", " AND pr.start_week = CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week"),
-        ("pf", " AND pf.end_week = CAST(w.fiscal_year AS VARCHAR) || w.fiscal_week"),
-        ("pp", ""),
-    ]
+# What an empty day takes, in order, by where its week lies in the promotion.
+_plan_days = ", ".join(f"{kind}_day_{n}" for kind in ("start", "end", "regular_start", "regular_end", "plan") for n in DAYS)
+VIEWS["v_plan_rows"] = f"SELECT DISTINCT country, store, sku, promo_start, promo_end, {_plan_days} FROM v_plans"
+_fills = ", ".join(
+    f"""coalesce(target_{n}, CASE its_week WHEN start_week THEN coalesce(start_day_{n}, regular_start_day_{n})
+      WHEN end_week THEN coalesce(end_day_{n}, regular_end_day_{n}) END, plan_day_{n}) AS target_{n}"""
+    for n in DAYS
 )
 VIEWS["v_backfilled"] = f"""
-SELECT w.* EXCLUDE ({", ".join(f"target_{n}" for n in DAYS)}), {", ".join(_fill(n) for n in DAYS)} FROM v_wide w {_plan_joins}"""
+SELECT * EXCLUDE ({_plan_days}, its_week) REPLACE ({_fills})
+FROM (SELECT *, CAST(fiscal_year AS VARCHAR) || fiscal_week AS its_week FROM v_wide)
+LEFT JOIN v_plan_rows USING (country, store, sku, promo_start, promo_end)"""
 register(
     "week_edge_backfill",
     lambda spark, root: (lambda u: A.week_edge_backfill(u.wide, u.plans))(upload(spark, root)),
@@ -220,64 +135,64 @@ register(
     _wide,
 )
 
-VIEWS["v_final"] = f"""
-SELECT *, row_number() OVER (PARTITION BY country, store, sku, fiscal_year, fiscal_week
-    ORDER BY promo_start DESC, promo_end DESC, code) AS recency
-FROM (SELECT b.* EXCLUDE ({", ".join(f"target_{n}" for n in DAYS)}),
-    {", ".join(f"coalesce(h.day_{n}, b.target_{n}) AS target_{n}" for n in DAYS)}
-  FROM v_backfilled b LEFT JOIN v_holiday_weeks h ON h.fiscal_year = b.fiscal_year AND h.fiscal_week = b.fiscal_week)"""
+_overridden = ", ".join(f"coalesce(h.day_{n}, target_{n}) AS target_{n}" for n in DAYS)
 
 
-def _override(spark: SparkSession, root: str) -> DataFrame:
-    u = upload(spark, root)
-    return A.holiday_override_wide(u.wide, u.holiday_weeks)
+def overridden(source: str) -> str:
+    days = ", ".join(f"day_{n}" for n in DAYS)
+    return f"""SELECT w.* REPLACE ({_overridden}) FROM {source} w LEFT JOIN v_holiday_weeks h
+      ON h.country = w.country AND h.fiscal_year = w.fiscal_year AND h.fiscal_week = w.fiscal_week"""
 
 
-register(
-    "holiday_override_wide",
-    _override,
-    f"""SELECT w.* EXCLUDE ({", ".join(f"target_{n}" for n in DAYS)}),
-      {", ".join(f"coalesce(h.day_{n}, w.target_{n}) AS target_{n}" for n in DAYS)}
-    FROM v_wide w LEFT JOIN v_holiday_weeks h ON h.fiscal_year = w.fiscal_year AND h.fiscal_week = w.fiscal_week""",
-    _wide,
-)
+def numbered(source: str) -> str:
+    newest = "ORDER BY promo_start DESC, promo_end DESC, code"
+    return f"SELECT *, row_number() OVER (PARTITION BY country, store, sku, fiscal_year, fiscal_week {newest}) AS recency FROM ({source})"
 
-REUPLOAD_CFG = replace(CFG, week_reupload=True)
 
+VIEWS["v_final"] = f"SELECT * FROM ({numbered(overridden('v_backfilled'))}) WHERE $latest_only$"
 
-def _latest(spark: SparkSession, root: str) -> DataFrame:
-    return A.latest_promo_per_week(upload(spark, root).wide, REUPLOAD_CFG)
+
+def _override(spark: SparkSession, root: str) -> DataFrame:
+    u = upload(spark, root)
+    return A.holiday_override_wide(u.wide, u.holiday_weeks, ("country",))
 
 
+register("holiday_override_wide", _override, overridden("v_wide"), _wide)
 register(
     "latest_promo_per_week",
-    _latest,
-    """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country, store, sku, fiscal_year, fiscal_week
-        ORDER BY promo_start DESC, promo_end DESC, code) AS recency FROM v_wide) WHERE recency = 1""",
+    lambda spark, root: A.latest_promo_per_week(upload(spark, root).wide, REUPLOAD),
+    f"SELECT * FROM ({numbered('SELECT * FROM v_wide')}) WHERE recency = 1",
     _wide + " recency:i",
 )
 
-_capped = ", ".join(f"round(round(CASE WHEN target_{n} > 99.99 THEN 99.9 ELSE target_{n} END, 6), 1) AS target_{n}" for n in DAYS)
-register(
-    "upload_extract",
-    lambda spark, root: upload(spark, root).upload,
-    f"SELECT country, store, code AS sg_cd, sku, fiscal_year, fiscal_week, {_capped} FROM v_final",
-    f"country:s store:i sg_cd:s sku:i fiscal_year:i fiscal_week:s {TARGETS}",
-)
-
-_early = ", ".join(str(s) for _, s in CFG.early_start_stores)
-register(
-    "scope_audit",
-    lambda spark, root: upload(spark, root).audit,
-    f"""SELECT *, '' AS departments_selected, '' AS promo_week_selected, 'NO' AS week_reupload_selected,
-      'NO' AS added_promotions_selected FROM (
-      SELECT DISTINCT a.sku, a.promo_start, a.promo_end, 'excluded - not in event scope' AS message
-      FROM v_scoped a LEFT JOIN v_in_scope b ON a.sku = b.sku AND a.country = b.country AND a.store = b.store
-        AND a.promo_start = b.promo_start AND a.promo_end = b.promo_end AND a.promo_code = b.promo_code
-      WHERE b.promo_start IS NULL AND a.store_number NOT IN ({_early})
-      UNION ALL
-      SELECT DISTINCT sku, promo_start, promo_end, 'promo target generated' FROM v_final WHERE store + 1001 NOT IN ({_early}))""",
-    "sku:i promo_start:s promo_end:s message:s departments_selected:s promo_week_selected:s week_reupload_selected:s "
-    "added_promotions_selected:s",
-)
-
+_capped = ", ".join(f"round(round(IF(target_{n} > 99.99, 99.9, target_{n}), 6), 1) AS target_{n}" for n in DAYS)
+_audit = """
+WITH audited AS (SELECT country, store FROM v_selling_stores WHERE NOT ($early$)),
+listed AS (
+  SELECT DISTINCT country, sku, listed_start AS promo_start, promo_end,
+    coalesce(promo_end >= scope_from AND promo_start <= scope_to, FALSE) AS inside
+  FROM v_scoped JOIN audited USING (country, store) WHERE $added_interval$
+), generated AS (SELECT DISTINCT country, sku, promo_start, promo_end FROM v_final JOIN audited USING (country, store))
+SELECT *, 'promo target generated' AS message FROM generated
+UNION ALL
+SELECT country, sku, promo_start, promo_end, 'excluded - not in event scope' FROM listed ANTI JOIN generated
+  USING (country, sku, promo_start, promo_end) GROUP BY ALL HAVING NOT bool_or(inside)"""
+_parameters = """$departments$ AS departments_selected, $sections$ AS excluded_sections_selected, $week$ AS promo_week_selected,
+  $is_reupload$ AS week_reupload_selected, $is_added$ AS added_promotions_selected"""
+# The upload and its audit, for all promotions, for chosen departments, for one week in both modes, and for added promotions.
+for _name, _cfg in (("", CFG), ("selected_", SELECTED), ("week_", ONE_WEEK), ("reupload_", REUPLOAD), ("added_", ADDED)):
+    register(
+        f"{_name}upload_extract",
+        lambda spark, root, cfg=_cfg: upload(spark, root, cfg).upload,
+        f"SELECT country, store, code AS sg_cd, sku, fiscal_year, fiscal_week, {_capped} FROM v_final",
+        f"country:s store:i sg_cd:s sku:i fiscal_year:i fiscal_week:s {TARGETS}",
+        _cfg,
+    )
+    register(
+        f"{_name}scope_audit",
+        lambda spark, root, cfg=_cfg: upload(spark, root, cfg).audit,
+        f"SELECT *, {_parameters} FROM ({_audit})",
+        "country:s sku:i promo_start:s promo_end:s message:s departments_selected:s excluded_sections_selected:s promo_week_selected:s "
+        "week_reupload_selected:s added_promotions_selected:s",
+        _cfg,
+    )

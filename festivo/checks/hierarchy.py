@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from festivo.checks.registry import CFG, SCALED_GATES, register
-from festivo.checks.sales import model
-from festivo.checks.views import LY, NODE, VIEWS
+from festivo.checks.sales import model, register_runs
+from festivo.checks.views import NODE, VIEWS
 from festivo.operators import rollup as R, series as T
-from festivo.operators.sales import MEASURES as MEASURE_COLUMNS
 from festivo.sources.retail import Retail
 
 LEVELS = ["division", "department", "section", "grp", "subgroup"]
@@ -26,14 +25,13 @@ def level_node(depth: int) -> str:
 
 
 def level_arm(depth: int) -> str:
-    enforced = "coalesce(h.enforce, 0)" if depth >= 3 else "0"
-    exclusion = "WHERE coalesce(x.excl, 0) <> 1" if depth == 4 else ""
+    enforced = f"""coalesce((SELECT max(enforce) FROM v_enforced h WHERE h.country = b.country AND h.node_id = {level_node(depth)}), 0)"""
+    left_out = "WHERE (country, node_id) NOT IN (SELECT (country, node_id) FROM v_enforced WHERE level = 5 AND excl = 1)"
     return f"""
-SELECT {depth} AS level, country, {level_node(depth)} AS node_id, {codes(depth)}, store_cluster, {enforced} AS enforced, {DAY},
-  store, sum(avg_products) AS avg_products, {MEASURES}
-FROM v_baseline b LEFT JOIN (SELECT node_id AS hn, max(enforce) AS enforce FROM v_enforced GROUP BY 1) h ON hn = {level_node(depth)}
-LEFT JOIN (SELECT DISTINCT node_id AS xn, excl FROM v_enforced WHERE level = 5 AND excl = 1) x ON xn = b.node_id
-{exclusion} GROUP BY ALL"""
+SELECT *, {enforced if depth >= 3 else "0"} AS enforced FROM (
+  SELECT {depth} AS level, country, {level_node(depth)} AS node_id, {codes(depth)}, store_cluster, {DAY}, store,
+    sum(avg_products) AS avg_products, {MEASURES}
+  FROM v_baseline {left_out if depth == 4 else ""} GROUP BY ALL) b"""
 
 
 VIEWS["v_level_stores"] = " UNION ALL ".join(f"({level_arm(d)})" for d in range(1, 6))
@@ -57,11 +55,8 @@ register(
 
 def _enforced(spark: SparkSession, root: str) -> DataFrame:
     m = model(spark, root)
-    rows = R.explode_levels(m.baseline.withColumnRenamed("node_id", "finest_node"))
-    flagged = R.enforced_hierarchies(rows, m.retail.enforced, CFG.event_id)
-    return flagged.groupBy(*R.LEVEL_KEY, "enforced", *R.DAY_ATTRIBUTES, "store").agg(
-        *[F.sum(c).alias(c) for c in MEASURE_COLUMNS]
-    )
+    rows = R.store_levels(m.baseline, m.retail.enforced, CFG.event_id)
+    return R.enforced_hierarchies(rows, m.retail.enforced, CFG.event_id)
 
 
 register(
@@ -132,13 +127,12 @@ register(
     "week_sales:f week_ratio:f",
 )
 
-VIEWS["v_shift"] = f"""
-SELECT param, l.iso_date, f.weekday AS fy_weekday
-FROM v_controls JOIN v_cal l ON l.year_week >= '{CFG.latest_base_week}' AND l.iso_date <= date_to
-  AND l.fiscal_year = year(event_date)
-JOIN v_cal f ON f.fiscal_year = l.fiscal_year + 1
-  AND datediff('day', make_date(CAST(year(event_date) AS INTEGER) + 1, 12, 24), f.iso_date) = datediff('day', event_date, l.iso_date)
-WHERE year = {LY}"""
+VIEWS["v_shift"] = """
+SELECT k.country, k.param, l.iso_date, f.weekday AS fy_weekday
+FROM v_controls k JOIN v_controls n ON n.country = k.country AND n.param = k.param AND n.year = k.year + 1
+JOIN v_cal l ON l.iso_date >= $base_monday$ AND l.iso_date <= k.date_to AND l.fiscal_year = year(k.event_date)
+JOIN v_cal f ON f.fiscal_year = l.fiscal_year + 1 AND f.iso_date - n.event_date = l.iso_date - k.event_date
+WHERE k.year = $ly$"""
 VIEWS["v_uplift"] = f"""
 SELECT *, division AS param, sales / nullif(base_sales_ly, 0) AS uplift,
   coalesce(sum(sales) OVER ({_w} ORDER BY iso_date, is_base ROWS BETWEEN 5 FOLLOWING AND 8 FOLLOWING)
@@ -150,10 +144,10 @@ FROM (SELECT *,
     sum(CASE WHEN is_base = 1 THEN sales END) OVER ({_w}, fy_weekday) AS base_sales_fy,
     sum(CASE WHEN is_base = 1 THEN day_share END) OVER ({_w}, fy_weekday) AS base_share_fy
   FROM (SELECT g.*, CASE WHEN is_base = 1 THEN weekday ELSE s.fy_weekday END AS fy_weekday
-    FROM v_gated g LEFT JOIN v_shift s ON s.iso_date = g.iso_date AND s.param = g.division))"""
-register(
+    FROM v_gated g LEFT JOIN v_shift s ON s.iso_date = g.iso_date AND s.param = g.division AND s.country = g.country))"""
+register_runs(
     "all_levels_uplift",
-    lambda spark, root: model(spark, root).uplift,
+    lambda m: m.uplift,
     "SELECT * FROM v_uplift",
     "level:i country:s node_id:s store_cluster:s is_base:i iso_date:s weekday:i fy_weekday:i sales:f base_sales_ly:f "
     "base_share_ly:f base_date:s base_sales_fy:f base_share_fy:f uplift:f forward_ratio:f",
@@ -207,21 +201,24 @@ SELECT *, CASE WHEN 1 - cma / nullif(sales, 0) < -0.999 THEN -0.999
 FROM (SELECT *, avg(ma_6) OVER ({_w} ORDER BY event_offset, is_base ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS cma
   FROM (SELECT *, avg(sales) OVER ({_w} ORDER BY event_offset, is_base ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING) AS ma_6 FROM v_uplift))"""
 
-_norm_arm = f"""
-SELECT {NODE}, store_cluster, {{year}} AS norm_year, c.fiscal_year, datediff('day', event_date, sale_date) AS event_offset,
-  CASE WHEN datediff('day', event_date, sale_date) BETWEEN offset_from AND offset_to THEN 1 ELSE 0 END AS is_peak,
-  CASE WHEN holiday_date IS NULL THEN 0 ELSE 1 END AS is_holiday, sum(sales) AS sales
-FROM v_node_days n JOIN v_cal c ON c.iso_date = sale_date
-JOIN (SELECT k.param, e.event_date, k.offset_from, k.offset_to, datediff('day', k.event_date, date_from) AS min_diff,
-        datediff('day', k.event_date, date_to) AS max_diff
-      FROM v_controls k JOIN (SELECT param AS ep, event_date FROM v_controls WHERE year = {{year}}) e ON ep = k.param
-      WHERE k.year = {LY}) w
-  ON w.param = n.division AND sale_date BETWEEN event_date + CAST(min_diff AS INTEGER) AND event_date + CAST(max_diff AS INTEGER)
-LEFT JOIN v_holidays ON holiday_date = sale_date GROUP BY ALL"""
-VIEWS["v_aligned"] = " UNION ALL ".join(f"({_norm_arm.format(year=y)})" for y in CFG.norm_years)
-register(
+# The days of every year that are as far from its event as last year's event days from theirs.
+VIEWS["v_aligned"] = f"""
+WITH spans AS (
+  SELECT country, param, offset_from, offset_to, date_from - event_date AS first_offset, date_to - event_date AS last_offset
+  FROM v_controls WHERE year = $ly$
+), days AS (
+  SELECT country, param AS division, year AS norm_year, event_date + CAST(o AS INTEGER) AS sale_date, o AS event_offset,
+    CAST(o BETWEEN offset_from AND offset_to AS INTEGER) AS is_peak
+  FROM (SELECT country, param, year, event_date, unnest(range(first_offset, last_offset + 1)) AS o, s.offset_from, s.offset_to
+    FROM v_controls JOIN spans s USING (country, param) WHERE year IN ($norm_years$))
+)
+SELECT {", ".join("n." + c.strip() for c in NODE.split(","))}, store_cluster, norm_year, c.fiscal_year, event_offset, is_peak,
+  CAST(holiday_date IS NOT NULL AS INTEGER) AS is_holiday, sum(sales) AS sales
+FROM v_node_days n JOIN days d ON d.country = n.country AND d.division = n.division AND d.sale_date = n.sale_date
+JOIN v_cal c ON c.iso_date = n.sale_date LEFT JOIN v_holidays h ON h.country = n.country AND holiday_date = n.sale_date GROUP BY ALL"""
+register_runs(
     "aligned_multi_year_sales",
-    lambda spark, root: model(spark, root).aligned,
+    lambda m: m.aligned,
     "SELECT * FROM v_aligned",
     "country:s division:s department:s section:s grp:s subgroup:s store_cluster:s norm_year:i event_offset:i is_peak:i "
     "is_holiday:i sales:f",

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from festivo.checks.registry import CFG
-
 NODE = "country, division, department, section, grp, subgroup"
 DAYS = range(1, 8)
-LY, FY = CFG.ly_year, CFG.fy_year
 
 VIEWS: dict[str, str] = {}
 
@@ -28,8 +25,17 @@ SELECT s_suppkey, n_nationkey AS store, r_name AS country, r_regionkey AS countr
 FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 VIEWS["v_stores"] = """
-SELECT country, store, store + 1001 AS store_number, CASE WHEN count(*) >= 4 THEN 'HM' ELSE 'SM' END AS format
-FROM v_supply GROUP BY country, store"""
+SELECT country, store, store + 1001 AS store_number,
+  CASE WHEN k % 17 = 0 THEN 'ZBK' WHEN n >= 4 THEN 'HM' ELSE 'SM' END AS format,
+  $as_of$ - CAST(k * 37 % 400 AS INTEGER) AS open_date,
+  CASE WHEN k % 9 = 0 THEN $as_of$ + CAST(k % 120 AS INTEGER) END AS close_date, CASE WHEN k % 23 <> 0 THEN area END AS net_area
+FROM (SELECT country, store, sum(s_acctbal) AS area, count(*) AS n, sum(s_suppkey) AS k FROM v_supply GROUP BY ALL)"""
+
+VIEWS["v_selling_stores"] = """
+SELECT * FROM v_stores WHERE store_number BETWEEN 1001 AND 5999 AND format <> 'ZBK' AND open_date <= $as_of$ - 10
+  AND coalesce(close_date, DATE '9999-12-31') >= $as_of$ + 60 AND net_area IS NOT NULL"""
+
+VIEWS["v_countries"] = "SELECT r_name AS country FROM region"
 
 VIEWS["v_lines"] = """
 SELECT l.*, store, country, CAST(l_shipdate AS DATE) AS sale_date
@@ -43,7 +49,7 @@ FROM v_lines GROUP BY ALL"""
 
 VIEWS["v_promos"] = """
 SELECT l_orderkey AS promo_code, l_partkey + 1 AS sku, country, CAST(o_orderdate AS DATE) AS promo_start,
-  CAST(o_orderdate AS DATE) + CAST(l_orderkey % 28 AS INTEGER) AS promo_end,
+  CAST(o_orderdate AS DATE) + CAST(CASE WHEN l_orderkey % 50 = 0 THEN l_orderkey % 90 ELSE l_orderkey % 28 END AS INTEGER) AS promo_end,
   max(l_extendedprice) AS price_normal,
   max(l_extendedprice) * (1 - min(l_discount)) AS price_promo,
   max(l_extendedprice) * (1 - min(l_tax)) AS price_club,
@@ -61,19 +67,23 @@ FROM (SELECT *, coalesce(1 - round(price_promo / nullif(price_normal, 0), 2), 0)
         coalesce(1 - round(price_club / nullif(price_normal, 0), 2), 0) AS saving_club FROM v_promos)"""
 
 VIEWS["v_coef_department"] = """
-SELECT DISTINCT department, 0.625 + 0.125 * (CAST(substr(department, 7) AS INTEGER) % 3) AS coef FROM v_products"""
+SELECT DISTINCT country, department, 0.625 + 0.125 * ((CAST(substr(department, 7) AS INTEGER) + length(country)) % 3) AS coef
+FROM v_products, v_countries"""
 
 VIEWS["v_coef_section"] = """
-SELECT department, section, 0.5 + 0.125 * (count(*) % 4) AS coef FROM v_products
-GROUP BY department, section HAVING min(CAST(subgroup AS INTEGER)) <= 5"""
+SELECT country, department, section, 0.5 + 0.125 * ((count(*) + length(country)) % 4) AS coef FROM v_products, v_countries
+GROUP BY country, department, section HAVING min(CAST(subgroup AS INTEGER)) <= 5"""
 
 VIEWS["v_coef_division"] = """
-SELECT DISTINCT division, 0.25 + 0.125 * (length(division) % 3) AS coef FROM v_products"""
+SELECT DISTINCT country, division, 0.25 + 0.125 * ((length(division) + length(country)) % 3) AS coef FROM v_products, v_countries"""
 
-VIEWS["v_cal"] = f"""
+VIEWS["v_cal"] = """
 SELECT CAST(d AS DATE) AS iso_date, isoyear(d) AS fiscal_year, lpad(CAST(weekofyear(d) AS VARCHAR), 2, '0') AS fiscal_week,
   isodow(d) AS weekday, CAST(isoyear(d) AS VARCHAR) || lpad(CAST(weekofyear(d) AS VARCHAR), 2, '0') AS year_week
-FROM range(DATE '{CFG.calendar_years[0]}-01-01', DATE '{CFG.calendar_years[1] + 1}-01-01', INTERVAL 1 DAY) t(d)"""
+FROM (SELECT unnest(range(make_date(low - 1, 1, 1), make_date(high + 3, 1, 1), INTERVAL 1 DAY)) AS d
+  FROM (SELECT least(min(year(d)), min(y)) AS low, greatest(max(year(d)), max(y)) AS high
+    FROM (SELECT min(l_shipdate) AS d FROM lineitem UNION ALL SELECT max(l_shipdate) FROM lineitem
+      UNION ALL SELECT min(o_orderdate) FROM orders UNION ALL SELECT max(o_orderdate) FROM orders), (VALUES $years$) t(y)))"""
 
 VIEWS["v_fcal"] = """
 SELECT iso_date, CASE WHEN fiscal_week = '53' THEN fiscal_year + 1 ELSE fiscal_year END AS fiscal_year,
@@ -82,20 +92,27 @@ SELECT iso_date, CASE WHEN fiscal_week = '53' THEN fiscal_year + 1 ELSE fiscal_y
 FROM v_cal"""
 
 VIEWS["v_holidays"] = """
-SELECT iso_date AS holiday_date FROM v_cal WHERE strftime(iso_date, '%m-%d') IN ('12-25', '12-26', '01-01')"""
-
-VIEWS["v_controls"] = f"""
-SELECT param, year, event_date, -6 AS offset_from, 0 AS offset_to, 1 AS offset2_from, 4 AS offset2_to,
-  c.year_week, monday - 28 AS date_from, monday + 13 AS date_to
-FROM (SELECT param, year, make_date(year, 12, 24) AS event_date,
-        make_date(year, 12, 24) - CAST(isodow(make_date(year, 12, 24)) - 1 AS INTEGER) AS monday
-      FROM (VALUES ('ECONOMY'), ('LARGE'), ('MEDIUM'), ('PROMO'), ('SMALL'), ('STANDARD')) p(param),
-           (VALUES (1997), (1998), ({LY}), ({FY})) y(year))
-JOIN v_cal c ON c.iso_date = event_date"""
-
-VIEWS["v_range"] = f"""
+SELECT country, iso_date AS holiday_date FROM v_cal, v_countries
+WHERE strftime(iso_date, '%m-%d') IN ('12-25', '12-26', '01-01') OR (country, strftime(iso_date, '%m-%d')) IN (('AFRICA', '12-16'),
+  ('AMERICA', '11-25'), ('AMERICA', '04-02'), ('ASIA', '04-05'), ('EUROPE', '12-08'), ('EUROPE', '04-24'))"""
+
+VIEWS["v_event_dates"] = """
+SELECT country, param, year, $event_day$ + CASE country WHEN 'AMERICA' THEN 1 WHEN 'ASIA' THEN -1 ELSE 0 END
+  - CASE WHEN param = 'PROMO' THEN 1 ELSE 0 END AS event_date
+FROM v_countries, (SELECT DISTINCT p_type AS param FROM part), (VALUES $years$) y(year)"""
+
+VIEWS["v_controls"] = """
+SELECT e.*, -6 AS offset_from, 0 AS offset_to, 1 AS offset2_from, 4 AS offset2_to, c.year_week,
+  event_date - CAST(c.weekday + 27 AS INTEGER) AS date_from, event_date - CAST(c.weekday - 14 AS INTEGER) AS date_to
+FROM v_event_dates e JOIN v_cal c ON c.iso_date = event_date"""
+
+VIEWS["v_last_year"] = """
+SELECT country, param, iso_date, datediff('day', event_date, iso_date) AS event_offset, iso_date >= date_from AS in_event
+FROM v_controls JOIN v_cal ON iso_date BETWEEN least(date_from, $base_monday$) AND date_to WHERE year = $ly$"""
+
+VIEWS["v_range"] = """
 SELECT country, store, sku, min(sale_date) AS valid_from,
-  CASE WHEN max(sale_date) < DATE '{FY}-01-01' THEN max(sale_date) END AS valid_to
+  CASE WHEN max(sale_date) < make_date($fy$, 1, 1) THEN max(sale_date) END AS valid_to
 FROM v_daily GROUP BY country, store, sku"""
 
 VIEWS["v_hours"] = f"""
@@ -109,17 +126,19 @@ FROM (SELECT country, store + 1001 AS store_number, sale_date - CAST(isodow(sale
 GROUP BY country, store_number, monday"""
 
 VIEWS["v_enforced"] = """
-SELECT division || '-' || department || '-' || section AS node_id, 3 AS level, 1 AS enforce, 0 AS excl
-FROM v_products GROUP BY division, department, section HAVING count(*) >= 3
+SELECT country, division || '-' || department || '-' || section AS node_id, 3 AS level, 1 AS enforce, 0 AS excl
+FROM v_products, v_countries WHERE length(country) % 2 = 0 GROUP BY country, division, department, section HAVING count(*) >= 3
 UNION ALL
-SELECT DISTINCT division || '-' || department || '-' || section || '-' || grp || '-' || subgroup, 5, 0, 1
-FROM v_products WHERE subgroup = '50'"""
+SELECT DISTINCT country, division || '-' || department || '-' || section || '-' || grp || '-' || subgroup, 5, 0, 1
+FROM v_products, v_countries WHERE subgroup = CASE WHEN length(country) % 2 = 0 THEN '50' ELSE '49' END"""
 
 VIEWS["v_code_map"] = """
-SELECT division, department, NULL AS section, NULL AS grp, NULL AS subgroup, min(substr(code, 1, 4)) AS sg_cd
-FROM v_products GROUP BY division, department
+SELECT country, division, department, NULL AS section, NULL AS grp, NULL AS subgroup,
+  CASE WHEN length(country) % 2 = 0 THEN min(substr(code, 1, 4)) ELSE max(substr(code, 1, 4)) END AS sg_cd
+FROM v_products, v_countries GROUP BY country, division, department
 UNION ALL
-SELECT division, department, section, grp, subgroup, min(code) FROM v_products GROUP BY ALL"""
+SELECT country, division, department, section, grp, subgroup, CASE WHEN length(country) % 2 = 0 THEN min(code) ELSE max(code) END
+FROM v_products, v_countries GROUP BY country, division, department, section, grp, subgroup"""
 
 
 def shares(keys: str, source: str, having: str = "TRUE") -> str:
@@ -147,12 +166,12 @@ def _plan(rows: str, sku: str, code: str, week: str, following: str, by: str, ki
 
 
 _parts = [
-    _plan(shares("country, store, sku, code", "SELECT * FROM v_coded", "count(*) >= 3"),
+    _plan(shares("country, store, sku, code", "SELECT * FROM v_coded", "count(*) <> 2"),
           "sku", "code", "'200040'", "'209952'", "SYSTEM", "PTP"),
     _plan(shares("country, store, sku, code", "SELECT * FROM v_coded", "count(*) = 2"),
           "sku", "substr(code, 1, 5)", "'200040'", "'200048'", "SYSTEM", "PTP"),
     *[
-        _plan(shares("country, store, p", f"SELECT *, substr(code, 1, {n}) AS p FROM v_coded", "count(*) >= 3"),
+        _plan(shares("country, store, p", f"SELECT *, substr(code, 1, {n}) AS p FROM v_coded"),
               "0", "p", "'200040'", "'209952'", "SYSTEM", "PTP")
         for n in range(1, 6)
     ],
@@ -196,17 +215,18 @@ FROM v_sites s JOIN (SELECT DISTINCT country_number AS cn, reference_site AS zc,
 WHERE store_number BETWEEN 1001 AND 5999"""
 
 VIEWS["v_weekday_values"] = " UNION ALL ".join(
-    "SELECT * FROM (" + shares("store, department, section", src, having) + ")"
-    for src, having in (
-        ("SELECT * FROM v_coded", "count(*) >= 20"),
-        ("SELECT * REPLACE ('0' AS section) FROM v_coded", "count(*) >= 40"),
-        ("SELECT * REPLACE ('0' AS section, '0' AS department) FROM v_coded", "TRUE"),
+    "SELECT * FROM (" + shares("country, store, department, section", src) + ")"
+    for src in (
+        "SELECT * FROM v_coded WHERE CAST(substr(department, 7) AS INTEGER) % 3 <> 0",
+        "SELECT * REPLACE ('0' AS section) FROM v_coded WHERE CAST(substr(department, 7) AS INTEGER) % 2 = 0",
+        "SELECT * REPLACE ('0' AS section, '0' AS department) FROM v_coded",
     )
 )
 
 VIEWS["v_week_coef"] = f"""
-SELECT department, section, {", ".join(f"1.0 - 0.0625 * ((count(*) + {k}) % 5) AS coef_w{k}" for k in range(1, 11))}
-FROM v_products GROUP BY department, section"""
+SELECT country, department, section,
+  {", ".join(f"1.0 - 0.0625 * ((count(*) + length(country) + {k}) % 5) AS coef_w{k}" for k in range(1, 11))}
+FROM v_products, v_countries GROUP BY country, department, section"""
 
 VIEWS["v_default_clusters"] = """
 SELECT country, store, CASE WHEN format = 'HM' THEN 'Large-Moderate' ELSE 'Small-Moderate' END AS store_cluster
@@ -223,5 +243,4 @@ SELECT country, node_id, iso_date, store_cluster, CASE WHEN level = 3 THEN 'USER
     iso_date - CAST(isodow(iso_date) - 1 AS INTEGER)), 0) * 100 AS final_target
 FROM ({" UNION ALL ".join(
     f"SELECT {i} AS level, country, node_{lv} AS node_id, store_cluster, sale_date AS iso_date, sum(sales) AS sales "
-    f"FROM v_event_sales GROUP BY ALL" for i, lv in enumerate(_levels, start=1))})
-WHERE level = 1 OR sales >= 40"""
+    f"FROM v_event_sales GROUP BY ALL" for i, lv in enumerate(_levels, start=1))})"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 # --- fixed values -----------------------------------------------------------
 PROMO_STEP_CODES = ("P", "B")
@@ -17,6 +17,7 @@ EARLY_START_STORES = (("CZ", 1029), ("SK", 1014), ("SK", 1102), ("SK", 4155), ("
 EARLY_START_WEEKDAYS = (2, 3, 4)
 CLUSTERING_EXCLUDED_DAYS = ("12-25", "12-26", "01-01")
 NEVER_HOLIDAY = "12-24"
+MOVABLE_EVENT = "EASTER"
 SPECIAL_DAYS = ("12-23", "12-24", "12-30", "12-31")
 COUNTRY_SPECIAL_DAYS = (("SK", "01-05"),)
 FIXED_DATE_DAYS = ("12-04", "12-05", "12-06")
@@ -92,10 +93,8 @@ class RunConfig:
     country: str | None = None
     base_weeks: tuple[str, ...] = ("199944", "199945", "199946")
     norm_years: tuple[int, ...] = (1997, 1998, 1999)
-    event_month_day: tuple[int, int] = (12, 24)
     weeks_before: int = 4
     weeks_after: int = 1
-    calendar_years: tuple[int, int] = (1995, 2002)
     min_week_sales: float = 1000.0
     min_products_per_store: int = 100
     small_cluster: int = 6
@@ -107,7 +106,7 @@ class RunConfig:
     week_reupload: bool = False
     added_promotions: bool = False
     base_promo_division: str = "4"
-    hours_snapshot_days: int | None = 6
+    hours_snapshot_days: int = 6
     early_start_stores: tuple[tuple[str, int], ...] = EARLY_START_STORES
 
     @property
@@ -126,15 +125,12 @@ class RunConfig:
     def latest_base_week(self) -> str:
         return max(self.base_weeks)
 
-    def event_date(self, year: int) -> date:
-        return date(year, *self.event_month_day)
-
-    def event_window(self, year: int) -> tuple[date, date]:
-        """First Monday and last Sunday of the event weeks of a year."""
-        day = self.event_date(year)
-        monday = day - timedelta(days=day.isoweekday() - 1)
-        return monday - timedelta(weeks=self.weeks_before), monday + timedelta(weeks=self.weeks_after, days=6)
+    @property
+    def base_monday(self) -> date:
+        """First day of the latest base week."""
+        return monday_of(self.latest_base_week)
 
-    def model_window(self) -> tuple[date, date]:
-        """From the latest base week to the end of last year's event weeks."""
-        return monday_of(self.latest_base_week), self.event_window(self.ly_year)[1]
+    @property
+    def event_years(self) -> tuple[int, ...]:
+        """Years whose event dates a run looks at."""
+        return tuple(sorted({*self.norm_years, self.ly_year, self.fy_year}))

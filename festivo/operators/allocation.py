@@ -14,8 +14,8 @@ from festivo.config import (
     WEEKDAY_NAMES,
     RunConfig,
 )
-from festivo.functions.expressions import pick_by_weekday, ratio, year_week
-from festivo.operators.calendar import DAY_COLUMNS
+from festivo.functions.expressions import any_of, pick_by_weekday, ratio, year_week
+from festivo.operators.calendar import DAY_COLUMNS, on_calendar
 
 TARGET_COLUMNS = tuple(f"target_{n}" for n in range(1, 8))
 PROMO_STORE = ["country", "promo_code", "sku", "promo_start", "promo_end", "store"]
@@ -31,14 +31,10 @@ def promo_day_explode(base: DataFrame, calendar: DataFrame, cfg: RunConfig) -> D
     ordered = F.when(
         F.col("promo_end") >= F.col("promo_start"), F.sequence("promo_start", "promo_end")
     )
-    day = calendar.select(
-        F.col("iso_date").alias("promo_date"),
-        "fiscal_year",
-        "fiscal_week",
-        "weekday",
-        F.get(F.array(*map(F.lit, WEEKDAY_NAMES)), F.col("weekday") - 1).alias("weekday_name"),
-    )
-    rows = base.withColumn("promo_date", F.explode_outer(ordered)).join(day, "promo_date", "left")
+    named = {c: c for c in ("fiscal_year", "fiscal_week", "weekday")}
+    rows = on_calendar(base.withColumn("promo_date", F.explode_outer(ordered)), calendar, "promo_date", named)
+    name = F.get(F.array(*map(F.lit, WEEKDAY_NAMES)), F.col("weekday") - 1)
+    rows = rows.withColumn("weekday_name", name)
     if cfg.week_reupload and cfg.promo_week is not None:
         rows = rows.filter(year_week(F.col("fiscal_year"), F.col("fiscal_week")) == cfg.promo_week)
     if "scope_from" in base.columns:
@@ -145,14 +141,15 @@ def base_promo_target(rows: DataFrame, weekday_values: DataFrame, week_coefficie
     division = F.lit(cfg.base_promo_division).alias("division")
     days = [F.col(d) for d in DAY_COLUMNS]
     active = weekday_values.filter(F.col("is_active") == 1)
-    by_section = active.select(division, "department", "section", "store", F.struct(*days).alias("in_section"))
+    by_section = active.select("country", division, "department", "section", "store", F.struct(*days).alias("in_section"))
     by_department = active.filter(F.col("section") == "0").select(
-        division, "department", "store", F.struct(*days).alias("in_department")
+        "country", division, "department", "store", F.struct(*days).alias("in_department")
     )
     overall = active.filter((F.col("department") == "0") & (F.col("section") == "0")).select(
-        division, "store", F.struct(*days).alias("in_store")
+        "country", division, "store", F.struct(*days).alias("in_store")
     )
     coefficients = week_coefficients.select(
+        "country",
         "department",
         "section",
         F.array(*[F.col(f"coef_w{n}") for n in range(1, PROMO_WEEKS + 1)]).alias("coefs"),
@@ -168,10 +165,10 @@ def base_promo_target(rows: DataFrame, weekday_values: DataFrame, week_coefficie
         .otherwise(F.lit(1.0))
     )
     return (
-        rows.join(by_section, ["division", "department", "section", "store"], "left")
-        .join(by_department, ["division", "department", "store"], "left")
-        .join(overall, ["division", "store"], "left")
-        .join(coefficients, ["department", "section"], "left")
+        rows.join(by_section, ["country", "division", "department", "section", "store"], "left")
+        .join(by_department, ["country", "division", "department", "store"], "left")
+        .join(overall, ["country", "division", "store"], "left")
+        .join(coefficients, ["country", "department", "section"], "left")
         .withColumn("base_promo_value", value)
         .withColumn("base_promo_coefficient", coefficient)
         .withColumn(
@@ -186,12 +183,13 @@ def base_promo_target(rows: DataFrame, weekday_values: DataFrame, week_coefficie
 def closed_day_redistribution(rows: DataFrame) -> DataFrame:
     """Move the targets of closed days to the open days around them, in date order.
 
-    A day belongs to the pool of its promotion, product and store when it or one of the
-    next three days or the day before is closed. Pool sums are conditional sums over that
-    one key, so days outside every pool never gather in a partition of their own.
+    A day belongs to the pool of its product's promotion interval and store when it or one of the
+    next three rows or the row before is closed; promotions that share an interval share a pool, and follow one another
+    by code on each day. Pool sums are conditional sums over that one key, so days outside every pool never gather in
+    a partition of their own.
     """
-    key = Window.partitionBy(*PROMO_STORE)
-    by_day = key.orderBy("promo_date")
+    key = Window.partitionBy(*WIDE_KEY)
+    by_day = key.orderBy("promo_date", "promo_code")
     closed = F.col("store_open") == 0
     neighbours = [F.lead("store_open", n).over(by_day) == 0 for n in (1, 2, 3)] + [
         F.lag("store_open", 1).over(by_day) == 0
@@ -303,25 +301,35 @@ def upload_extract(wide: DataFrame) -> DataFrame:
     )
 
 
-def scope_audit(base: DataFrame, in_scope: DataFrame, final: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Promotions left out of the event's scope and promotions with targets, with the run's parameters.
+IN_SCOPE, GENERATED = 1, 2  # bits of a promotion's audit state
 
-    Stores with an early start are left out of the audit.
+
+def audit_states(promotions: DataFrame, scope: DataFrame, final: DataFrame, stores: DataFrame, cfg: RunConfig) -> DataFrame:
+    """(country, sku, promo_start, promo_end, state) of every promotion interval sold in an audited store.
+
+    ``promotions``: one row per promotion, product and country, before stores multiply them. The state is a sum of
+    bits: in the event's scope, target generated. Each interval has one state, so the states partition the promotions.
+    Stores with an early start, listed by country and number, are left out.
     """
-    early = [number for _, number in cfg.early_start_stores]
-    interval = ["sku", "promo_start", "promo_end"]
-    left_out = (
-        base.filter(~F.col("store_number").isin(*early))
-        .join(in_scope.select(*PROMO_STORE), PROMO_STORE, "left_anti")
-        .select(*interval)
-        .dropDuplicates()
-        .withColumn("message", F.lit("excluded - not in event scope"))
+    early = any_of([(F.col("country") == c) & (F.col("store_number") == n) for c, n in cfg.early_start_stores] or [F.lit(False)])
+    audited = stores.filter(~early)
+    interval = ["country", "sku", "promo_start", "promo_end"]
+    inside = (F.col("promo_end") >= F.col("scope_from")) & (F.col("promo_start") <= F.col("scope_to"))
+    listed = (
+        promotions.join(audited.select("country"), "country", "left_semi")
+        .join(scope, ["country", "division"], "left")
+        .select(*interval, F.when(inside, IN_SCOPE).otherwise(0).alias("state"))
+    )
+    generated = final.join(audited.select("country", "store"), ["country", "store"], "left_semi").select(
+        *interval, F.lit(GENERATED).alias("state")
     )
-    generated = (
-        final.filter(~F.col("store_number").isin(*early))
-        .select(*interval)
-        .dropDuplicates()
-        .withColumn("message", F.lit("promo target generated"))
+    return listed.unionByName(generated).groupBy(*interval).agg(F.expr("bit_or(state)").alias("state"))
+
+
+def scope_audit(states: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Promotion intervals left out of the event's scope and those with targets, with the run's parameters."""
+    message = F.when(F.col("state").bitwiseAND(GENERATED) > 0, "promo target generated").when(
+        F.col("state") == 0, "excluded - not in event scope"
     )
     parameters = {
         "departments_selected": ",".join(map(str, cfg.departments or ())),
@@ -330,4 +338,5 @@ def scope_audit(base: DataFrame, in_scope: DataFrame, final: DataFrame, cfg: Run
         "week_reupload_selected": "YES" if cfg.week_reupload else "NO",
         "added_promotions_selected": "YES" if cfg.added_promotions else "NO",
     }
-    return left_out.unionByName(generated).withColumns({k: F.lit(v) for k, v in parameters.items()})
+    shown = states.select("country", "sku", "promo_start", "promo_end", message.alias("message"))
+    return shown.filter("message IS NOT NULL").withColumns({k: F.lit(v) for k, v in parameters.items()})

@@ -19,7 +19,7 @@ from festivo.config import (
     RunConfig,
 )
 from festivo.functions.expressions import clamp, month_day, total_of
-from festivo.operators.calendar import COEFFICIENTS
+from festivo.operators.calendar import COEFFICIENTS, EVENT_KEY
 
 USER_SCHEMA = (
     "event_id string, country string, node_id string, iso_date date, store_cluster string, final_target double"
@@ -29,7 +29,7 @@ USER_SCHEMA = (
 def coefficient_select(rows: DataFrame, controls: DataFrame, cfg: RunConfig) -> DataFrame:
     """Per row the four uplift and two share coefficients that its day calls for."""
     own = controls.filter(F.col("year") == cfg.ly_year).select(
-        "param",
+        *EVENT_KEY,
         F.col("offset_from").alias("e_from"),
         F.col("offset_to").alias("e_to"),
         "offset2_from",
@@ -60,7 +60,7 @@ def coefficient_select(rows: DataFrame, controls: DataFrame, cfg: RunConfig) ->
     shared = F.coalesce(
         day.between(F.col("offset_from"), F.col("offset_to")), F.lit(False)
     ) | md.isin(*FIXED_DATE_DAYS)
-    return rows.join(own, "param", "left").select(
+    return rows.join(own, EVENT_KEY, "left").select(
         *rows.columns,
         chosen("c_off_bh_uplift", "c_off_uplift", "c_uplift").alias("coef_uplift"),
         chosen(None, "c_off_offset_uplift", None).alias("coef_offset_uplift"),
@@ -77,9 +77,9 @@ def coefficient_select(rows: DataFrame, controls: DataFrame, cfg: RunConfig) ->
 
 
 def hierarchy_code_map(rows: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Stock-group code of each node; a missing level of the mapping matches a rolled-up one."""
-    keyed = mapping.select(*[F.coalesce(c, F.lit(ROLLED_UP)).alias(c) for c in LEVELS], "sg_cd")
-    return rows.join(keyed, list(LEVELS), "left").withColumn("sg_cd", F.coalesce("sg_cd", F.lit(ROLLED_UP)))
+    """Stock-group code of each country's node; a missing level of the mapping matches a rolled-up one."""
+    keyed = mapping.select("country", *[F.coalesce(c, F.lit(ROLLED_UP)).alias(c) for c in LEVELS], "sg_cd")
+    return rows.join(keyed, ["country", *LEVELS], "left").withColumn("sg_cd", F.coalesce("sg_cd", F.lit(ROLLED_UP)))
 
 
 def blend_uplift(rows: DataFrame, cfg: RunConfig) -> DataFrame:

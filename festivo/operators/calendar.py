@@ -6,14 +6,10 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from festivo.config import (
-    HOURS_LABEL_SHIFTS,
-    NEVER_HOLIDAY,
-    WIDE_STORE_RANGE,
-    RunConfig,
-)
+from festivo.config import HOURS_LABEL_SHIFTS, MOVABLE_EVENT, NEVER_HOLIDAY, WIDE_STORE_RANGE
 from festivo.functions.expressions import month_day, week_monday, year_week
 
+EVENT_KEY = ["country", "param"]
 DAY_COLUMNS = tuple(f"day_{n}" for n in range(1, 8))
 INT_CONTROLS = ("year", "offset_from", "offset_to", "offset2_from", "offset2_to", "weeks_before", "weeks_after")
 COEFFICIENTS = (
@@ -49,6 +45,21 @@ def fiscal_calendar(days: DataFrame, day: str = "iso_date", fold_week_53: bool =
     )
 
 
+def on_calendar(rows: DataFrame, calendar: DataFrame, day: str, columns: dict[str, str], how: str = "left") -> DataFrame:
+    """Look up columns of a row's day (new name -> calendar's name); a day that the calendar lacks stops the run.
+
+    Without the guard such a row would go on without a week, or drop out of an inner join. An unknown day stays unknown, or
+    drops out of an inner join.
+    """
+    found = calendar.select(F.col("iso_date").alias(day), F.lit(True).alias("_dated"), *[F.col(c).alias(n) for n, c in columns.items()])
+    known = rows if how == "left" else rows.filter(F.col(day).isNotNull())
+    lacking = F.col("_dated").isNull() & F.col(day).isNotNull()
+    message = F.concat(F.lit("no calendar row for "), F.col(day).cast("string"))
+    joined = known.join(found, day, "left")
+    guarded = {n: F.when(lacking, F.raise_error(message).cast(joined.schema[n].dataType)).otherwise(F.col(n)) for n in columns}
+    return joined.withColumns(guarded).drop("_dated")
+
+
 def week_lookup(calendar: DataFrame) -> DataFrame:
     """Monday of every fiscal week: (year_week, monday)."""
     return calendar.filter(F.col("weekday") == 1).select(
@@ -98,14 +109,19 @@ def event_controls(controls: DataFrame, calendar: DataFrame, digit_arithmetic: b
 def shift_calendar(calendar: DataFrame, controls: DataFrame, from_monday: date | None = None) -> DataFrame:
     """Map each last-year day to this year's day with the same offset to the event.
 
-    ``controls`` holds one row per parameter group and last-year event. The window runs
-    from ``from_monday`` (default: the controls' first day) to the controls' last day.
+    ``controls`` holds one row per country, parameter group and year; a year's event is paired with
+    the next year's, so an event that moves with the calendar, or falls on February 29, maps to
+    where it is next year. The window runs from ``from_monday`` (default: the controls' first
+    day) to the controls' last day.
     """
-    start = F.lit(from_monday) if from_monday else F.col("date_from")
+    start = F.least(F.lit(from_monday), "date_to") if from_monday else F.col("date_from")
+    following = controls.select(*EVENT_KEY, (F.col("year") - 1).alias("year"), F.col("event_date").alias("fy_event_date"))
     ly = (
-        controls.select(
-            "param",
+        controls.join(following, [*EVENT_KEY, "year"])
+        .select(
+            *EVENT_KEY,
             "event_date",
+            "fy_event_date",
             F.explode(F.sequence(start, F.col("date_to"))).alias("iso_date"),
         )
         .join(
@@ -119,13 +135,7 @@ def shift_calendar(calendar: DataFrame, controls: DataFrame, from_monday: date |
         )
         .filter(F.col("ly_year") == F.year("event_date"))
         .withColumn("event_offset", F.datediff("iso_date", "event_date"))
-        .withColumn(
-            "fy_date",
-            F.date_add(
-                F.make_date(F.year("event_date") + 1, F.month("event_date"), F.dayofmonth("event_date")),
-                F.col("event_offset"),
-            ),
-        )
+        .withColumn("fy_date", F.date_add("fy_event_date", F.col("event_offset")))
     )
     fy = calendar.select(
         F.col("iso_date").alias("fy_date"),
@@ -137,27 +147,27 @@ def shift_calendar(calendar: DataFrame, controls: DataFrame, from_monday: date |
         ly.join(fy, "fy_date")
         .filter(F.col("fy_year") == F.col("ly_year") + 1)
         .withColumn("weekday_shift", F.pmod(F.col("fy_weekday") - F.col("ly_weekday"), F.lit(7)))
-        .drop("event_date")
+        .drop("event_date", "fy_event_date")
     )
 
 
 def year_offset(controls: DataFrame, event_id: str) -> DataFrame:
-    """Days between last year's and this year's weekday pattern, per parameter group.
+    """Days between last year's and this year's weekday pattern, per country and parameter group.
 
     Easter moves with the calendar and needs no shift; other events shift by the
     difference in day of month plus one, or plus two into a leap year.
     """
     ly = controls.select(
-        "param",
+        *EVENT_KEY,
         F.col("year").alias("ly_year"),
         F.col("event_date").alias("ly_event_date"),
         F.col("year_week").alias("peak_year_week"),
     )
     fy = controls.select(
-        "param", (F.col("year") - 1).alias("ly_year"), F.col("event_date").alias("fy_event_date")
+        *EVENT_KEY, (F.col("year") - 1).alias("ly_year"), F.col("event_date").alias("fy_event_date")
     )
-    pairs = ly.join(fy, ["param", "ly_year"])
-    if event_id.upper() == "EASTER":
+    pairs = ly.join(fy, [*EVENT_KEY, "ly_year"])
+    if event_id.upper() == MOVABLE_EVENT:
         days = F.lit(0)
         shift = F.lit(0)
     else:
@@ -166,7 +176,7 @@ def year_offset(controls: DataFrame, event_id: str) -> DataFrame:
         leap = (next_year % 4 == 0) & ((next_year % 100 != 0) | (next_year % 400 == 0))
         shift = days + F.when(leap, 2).otherwise(1)
     return pairs.select(
-        "param",
+        *EVENT_KEY,
         "ly_year",
         shift.cast("int").alias("days_shift"),
         days.cast("int").alias("days_shift_raw"),
@@ -180,6 +190,12 @@ def event_holidays(holidays: DataFrame) -> DataFrame:
     return holidays.filter(month_day(F.col("holiday_date")) != NEVER_HOLIDAY)
 
 
+def holiday_flags(holidays: DataFrame, day: str) -> DataFrame:
+    """(country, day, is_holiday = 1) of every country's holidays."""
+    free = event_holidays(holidays).select("country", F.col("holiday_date").alias(day))
+    return free.dropDuplicates().withColumn("is_holiday", F.lit(1))
+
+
 def holiday_week_pivot(calendar: DataFrame, holidays: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Fiscal week to seven columns: 0 where the weekday is a bank holiday, else NULL."""
     days = calendar.select(F.col("iso_date").alias("holiday_date"), "fiscal_year", "fiscal_week", "weekday")
@@ -230,51 +246,24 @@ def open_day_grid(
     )
 
 
-def fy_calendar_grid(calendar: DataFrame, holidays: DataFrame, nodes: DataFrame, controls: DataFrame) -> DataFrame:
+def fy_event_days(controls: DataFrame) -> DataFrame:
+    """(country, param, iso_date, event_offset) of the event days that the controls of a year span."""
+    days = F.explode(F.sequence("date_from", "date_to")).alias("iso_date")
+    return controls.select(*EVENT_KEY, "event_date", days).select(
+        *EVENT_KEY, "iso_date", F.datediff("iso_date", "event_date").alias("event_offset")
+    )
+
+
+def fy_calendar_grid(calendar: DataFrame, holidays: DataFrame, nodes: DataFrame, days: DataFrame) -> DataFrame:
     """This year's event days for every node and cluster known from last year.
 
-    ``nodes``: distinct (param, node_id, store_cluster); ``controls``: this year's rows.
-    The days come from each parameter group's own range, so the join is on the group.
+    ``nodes``: distinct (country, param, node_id, store_cluster); ``days``: this year's event days.
+    The days come from each country's and parameter group's own range, so the join is on both.
     """
-    days = controls.select(
-        "param",
-        F.col("event_date").alias("fy_event_date"),
-        F.explode(F.sequence("date_from", "date_to")).alias("iso_date"),
-    ).join(calendar.select("iso_date", "fiscal_year", "fiscal_week", "weekday"), "iso_date")
-    free = event_holidays(holidays).select(F.col("holiday_date").alias("iso_date"), F.lit(True).alias("is_holiday"))
-    days = (
-        days.join(free.dropDuplicates(), "iso_date", "left")
-        .withColumn("is_holiday", F.coalesce("is_holiday", F.lit(False)))
-        .withColumn("event_offset", F.datediff("iso_date", "fy_event_date"))
-        .drop("fy_event_date")
+    dated = (
+        days.join(calendar.select("iso_date", "fiscal_year", "fiscal_week", "weekday"), "iso_date")
+        .join(holiday_flags(holidays, "iso_date"), ["country", "iso_date"], "left")
+        .withColumn("is_holiday", F.col("is_holiday").isNotNull())
     )
-    return nodes.join(days, "param")
-
-
-def control_rows(cfg: RunConfig, params: list[str], values: dict[str, float | int]) -> list[tuple]:
-    """Control rows for parameter groups and the years a run looks at."""
-    years = sorted({*cfg.norm_years, cfg.ly_year, cfg.fy_year})
-    return [
-        (
-            cfg.event_id_key,
-            p,
-            y,
-            cfg.event_date(y),
-            values["offset_from"],
-            values["offset_to"],
-            values["offset2_from"],
-            values["offset2_to"],
-            cfg.weeks_before,
-            cfg.weeks_after,
-            *[float(values[c]) for c in COEFFICIENTS],
-        )
-        for p in params
-        for y in years
-    ]
+    return nodes.join(dated, EVENT_KEY)
 
-
-CONTROL_SCHEMA = (
-    "event_id string, param string, year int, event_date date, offset_from int, offset_to int, "
-    "offset2_from int, offset2_to int, weeks_before int, weeks_after int, "
-    + ", ".join(f"{c} double" for c in COEFFICIENTS)
-)

@@ -14,6 +14,7 @@ from festivo.config import (
     RunConfig,
 )
 from festivo.functions.expressions import any_of, month_day, year_week
+from festivo.operators.calendar import EVENT_KEY
 
 NODE = ["country", "node_id", "store_cluster"]
 PEAK, FIXED, OFF_PEAK, COMPANION = "peak", "fixed", "off_peak", "companion"
@@ -39,13 +40,13 @@ def ly_feature_join(
     key = [*NODE, "event_offset"]
     newest = Window.partitionBy(*NODE).orderBy(F.col("iso_date").desc(), "is_base")
     window = controls.filter(F.col("year") == cfg.ly_year).select(
-        "param", "event_date", "offset_from", "offset_to", "year_week"
+        *EVENT_KEY, "event_date", "offset_from", "offset_to", "year_week"
     )
     special = special_day(F.col("iso_date"), F.col("country"))
     return (
         uplift.join(series.select(*key, "is_base", "seasonal_factor"), [*key, "is_base"], "left")
         .join(norm.select(*key, "norm_factor"), key, "left")
-        .join(window.withColumnRenamed("year_week", "peak_year_week"), "param", "left")
+        .join(window.withColumnRenamed("year_week", "peak_year_week"), EVENT_KEY, "left")
         .withColumn("reverse_index", F.row_number().over(newest))
         .withColumn("seasonal_factor", F.coalesce("seasonal_factor", F.lit(0.0)))
         .withColumn("norm_factor", F.coalesce("norm_factor", F.lit(0.0)))
@@ -59,7 +60,7 @@ def _lagged(name: str, by: Column) -> Column:
     return F.when(F.col("is_holiday") == 1, F.lag(name).over(by)).otherwise(F.col(name))
 
 
-def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame) -> DataFrame:
+def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame, days: DataFrame) -> DataFrame:
     """Give every day of this year's grid the last-year day it should behave like.
 
     Every last-year row is sent to the day it serves: the same offset inside the event
@@ -67,9 +68,9 @@ def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame) -> Data
     (off-peak), and for any row the shifted offset as companion. One aggregation per
     node and day then lines the roles up, where three joins of the grid with the
     features would shuffle both sides each time. ``shifts``: one ``year_offset`` row per
-    parameter group.
+    country and parameter group; ``days``: this year's event days. Both are small written tables, so
+    the features meet them without an exchange.
     """
-    window = grid.select("param", "iso_date", "event_offset").dropDuplicates()
     in_peak = F.col("event_offset").between(F.col("offset_from"), F.col("offset_to"))
     on_fixed = month_day(F.col("iso_date")).isin(*FIXED_DATE_DAYS)
     shifted = F.col("event_offset") - F.col("days_shift")
@@ -86,14 +87,14 @@ def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame) -> Data
         F.struct(F.lit(COMPANION).alias("role"), shifted.alias("fy_offset")),
     )
     sent = (
-        features.join(shifts.select("param", "days_shift", "fy_event_date"), "param")
+        features.join(shifts.select(*EVENT_KEY, "days_shift", "fy_event_date"), EVENT_KEY)
         .withColumn("to", F.explode(F.filter(roles, lambda r: r.isNotNull())))
         .withColumn("role", F.col("to.role"))
         .withColumn("fy_offset", F.col("to.fy_offset"))
         .withColumn("source_date", F.col("iso_date"))
         .withColumn("uplift_original", F.col("uplift"))
         .drop("to", "iso_date", "days_shift", "fy_event_date")
-        .join(window.withColumnRenamed("event_offset", "fy_offset"), ["param", "fy_offset"])
+        .join(days.withColumnRenamed("event_offset", "fy_offset"), [*EVENT_KEY, "fy_offset"])
     )
     before = Window.partitionBy(*NODE, "role").orderBy("event_offset")
     hidden = (F.col("role") == OFF_PEAK) & (F.col("is_holiday") == 0) & (F.col("is_special") == 1)
@@ -120,7 +121,7 @@ def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame) -> Data
     wide = values.groupBy(*NODE, "iso_date").agg(
         *[F.max(F.when(F.col("role") == r, row)).alias(r) for r in (PEAK, FIXED, OFF_PEAK, COMPANION)]
     )
-    out = grid.join(wide, [*NODE, "iso_date"], "left").join(shifts, "param", "left")
+    out = grid.join(shifts, EVENT_KEY, "left").join(wide, [*NODE, "iso_date"], "left")
 
     def first_of(name: str) -> Column:
         return F.coalesce(*[F.col(f"{r}.{name}") for r in (PEAK, FIXED, OFF_PEAK)])
@@ -147,11 +148,11 @@ def ly_fy_match(grid: DataFrame, features: DataFrame, shifts: DataFrame) -> Data
 def gap_source_week(features: DataFrame, shifts: DataFrame) -> DataFrame:
     """Rows of the last full week before the event window that can stand in for missing days.
 
-    Per parameter group, the latest year-week with a positive shift, before the window
+    Per country and parameter group, the latest year-week with a positive shift, before the window
     and not the event's own week.
     """
     rows = features.join(
-        shifts.select("param", "days_shift"), "param"
+        shifts.select(*EVENT_KEY, "days_shift"), EVENT_KEY
     ).withColumn("year_week", year_week(F.col("fiscal_year"), F.col("fiscal_week")))
     chosen = (
         rows.filter(
@@ -159,10 +160,10 @@ def gap_source_week(features: DataFrame, shifts: DataFrame) -> DataFrame:
             & (F.col("event_offset") < F.col("offset_from"))
             & (F.col("year_week") != F.col("peak_year_week"))
         )
-        .groupBy("param")
+        .groupBy(*EVENT_KEY)
         .agg(F.max("year_week").alias("year_week"))
     )
-    return rows.join(chosen, ["param", "year_week"])
+    return rows.join(chosen, [*EVENT_KEY, "year_week"])
 
 
 def gap_fill_last_week(matched: DataFrame, features: DataFrame, shifts: DataFrame) -> DataFrame:

@@ -18,7 +18,8 @@ from festivo.config import (
     RunConfig,
 )
 from festivo.functions.expressions import any_of, node_id, store_in_range, year_week
-from festivo.operators.calendar import DAY_COLUMNS, week_lookup
+from festivo.operators.calendar import DAY_COLUMNS, on_calendar, week_lookup
+from festivo.operators.intervals import overlap_join
 
 FLAG_COLUMNS = tuple(f"promo_{n}" for n in range(1, 8))
 PROMO_KEY = ["country", "promo_code", "sku", "promo_start", "promo_end"]
@@ -89,8 +90,8 @@ def store_zone_link(stores: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def excluded_zone(zone: Column, references: Column) -> Column:
-    """1 where the zone is among the first seven of the third word's comma list."""
-    listed = F.slice(F.split(F.get(F.split(references, " "), F.lit(2)), ","), 1, 7)
+    """1 where the zone is in the third word's comma list."""
+    listed = F.split(F.get(F.split(references, " "), F.lit(2)), ",")
     return F.when(F.array_contains(listed, zone), 1).otherwise(0)
 
 
@@ -105,13 +106,11 @@ def week_filter(promos: DataFrame, cfg: RunConfig) -> DataFrame:
 
 
 def promo_weeks(promos: DataFrame, calendar: DataFrame, how: str = "left") -> DataFrame:
-    """Fiscal week of the first and last day, and the start weekday."""
+    """Fiscal week of the first and last day, and the start weekday; a day beyond the calendar is an error."""
     week = year_week(F.col("fiscal_year"), F.col("fiscal_week"))
-    start = calendar.select(
-        F.col("iso_date").alias("promo_start"), week.alias("start_week"), F.col("weekday").alias("start_weekday")
-    )
-    end = calendar.select(F.col("iso_date").alias("promo_end"), week.alias("end_week"))
-    return promos.join(start, "promo_start", how).join(end, "promo_end", how)
+    days = calendar.select("iso_date", week.alias("year_week"), "weekday")
+    start = on_calendar(promos, days, "promo_start", {"start_week": "year_week", "start_weekday": "weekday"}, how)
+    return on_calendar(start, days, "promo_end", {"end_week": "year_week"}, how)
 
 
 def added_promos(
@@ -201,124 +200,101 @@ def leaflet_week_flags(parsed: DataFrame) -> DataFrame:
     return rows.select(*parsed.columns, *flags)
 
 
+def prefix_tree(plan: DataFrame, rule: Column, keys: Sequence[str]) -> DataFrame:
+    """Plans of a rule by code prefix: (keys, prefix, depth, days), the days as one struct; shorter prefixes are parents."""
+    return plan.filter(rule).select(
+        *keys, F.trim("plan_code").alias("prefix"), F.length(F.trim("plan_code")).alias("depth"), F.struct(*DAY_COLUMNS).alias("days")
+    )
+
+
+def inherited(codes: DataFrame, tree: DataFrame, keys: Sequence[str], depths: Sequence[int]) -> DataFrame:
+    """Each distinct code's days, every day from the longest prefix that has a value for it.
+
+    ``codes``: distinct (keys, code). A code meets its prefixes of the given depths once, however many
+    products carry it; its row inherits from the longest prefix down to the shortest.
+    """
+    paths = F.array(*[F.substring("code", 1, n) for n in depths])
+    met = codes.withColumn("prefix", F.explode(F.array_distinct(paths))).join(tree, [*keys, "prefix"])
+    met = met.filter(F.col("depth").isin(*depths))
+
+    def longest(day: str) -> Column:
+        value = F.col(f"days.{day}")
+        return F.max(F.when(value.isNotNull(), F.struct("depth", value.alias("value"))))["value"].alias(day)
+
+    return met.groupBy(*keys, "code").agg(*[longest(d) for d in DAY_COLUMNS])
+
+
 def prefix_fallback_lookup(base: DataFrame, plan: DataFrame) -> DataFrame:
     """System day plan of a product and store, the most specific code prefix first.
 
-    Priorities: product + 6-char code, product + 5-char code valid for 56 days, then the
-    code level at 5, 4, 3, 2 and 1 characters. ``base``: country, store, sku, code.
-    Each day takes the first plan that has a value. The distinct lookup keys are melted
-    into one row per priority and joined once, and the base is joined once with the result.
+    Product + 6-char code, product + 5-char code valid for 56 days, then the code alone at 5 down to
+    1 characters; each day takes the first plan that has a value. ``base``: country, store, sku, code.
+    The distinct codes of a store inherit along their prefixes once for all products; the plans filed for a product are looked
+    up by product, and one join on the store and code brings both together.
     """
     system = plan.filter((F.col("updated_by") == "SYSTEM") & (F.col("kind") == "PTP"))
     no_expiry = F.col("next_calc_week") == NO_EXPIRY_WEEK
-    for_product = F.col("plan_sku") != 0
-    rules = F.array(
-        F.when(for_product & no_expiry, F.lit("product")),
-        F.when(for_product & (F.col("validity_days") == PLAN_VALIDITY_DAYS), F.lit("product_8_weeks")),
-        F.when(~for_product & no_expiry, F.lit("code")),
+    place = ["country", "store"]
+    keys = base.select(*place, "sku", "code").dropDuplicates()
+    by_code = inherited(
+        keys.select(*place, "code").dropDuplicates(),
+        prefix_tree(system, (F.col("plan_sku") == 0) & no_expiry, place),
+        place,
+        (5, 4, 3, 2, 1),
+    ).select(*place, "code", F.struct(*DAY_COLUMNS).alias("of_code"))
+    trimmed = F.trim("plan_code")
+    rank = F.when(no_expiry & (trimmed == F.substring("code", 1, 6)), 1).when(
+        (F.col("validity_days") == PLAN_VALIDITY_DAYS) & (trimmed == F.substring("code", 1, 5)), 2
     )
-    ranked = system.select(
-        "country",
-        "store",
-        "plan_sku",
-        F.trim("plan_code").alias("plan_code"),
-        F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"),
-        *DAY_COLUMNS,
-    )
-    keys = base.select("country", "store", "sku", "code").dropDuplicates()
-    code = F.col("code")
-
-    def option(priority: int, rule: str, sku: Column, chars: int) -> Column:
-        return F.struct(
-            F.lit(priority).alias("priority"),
-            F.lit(rule).alias("rule"),
-            sku.cast("bigint").alias("plan_sku"),
-            F.substring(code, 1, chars).alias("plan_code"),
-        )
+    filed = system.filter(F.col("plan_sku") != 0).withColumnRenamed("plan_sku", "sku")
+
+    def best(rank_of: int, day: str) -> Column:
+        return F.max(F.when(F.col("rank") == rank_of, F.col(day)))
 
-    options = F.array(
-        option(1, "product", F.col("sku"), 6),
-        option(2, "product_8_weeks", F.col("sku"), 5),
-        *[option(8 - n, "code", F.lit(0), n) for n in range(5, 0, -1)],
+    by_product = (
+        keys.join(filed, [*place, "sku"])
+        .withColumn("rank", rank)
+        .filter("rank IS NOT NULL")
+        .groupBy(*place, "sku", "code")
+        .agg(*[F.coalesce(best(1, d), best(2, d)).alias(f"own_{d}") for d in DAY_COLUMNS])
     )
-    melted = keys.select("*", F.explode(options).alias("o")).select("country", "store", "sku", "code", "o.*")
-    ranks = range(1, 8)
-    by_rank = [
-        F.max(F.when(F.col("priority") == p, F.col(d))).alias(f"{d}_{p}") for d in DAY_COLUMNS for p in ranks
-    ]
     resolved = (
-        melted.join(ranked, ["country", "store", "plan_sku", "plan_code", "rule"])
-        .groupBy("country", "store", "sku", "code")
-        .agg(*by_rank)
+        keys.join(by_code, [*place, "code"], "left")
+        .join(by_product, [*place, "sku", "code"], "left")
         .select(
-            "country",
-            "store",
-            "sku",
-            "code",
-            *[F.coalesce(*[F.col(f"{d}_{p}") for p in ranks]).alias(f"plan_{d}") for d in DAY_COLUMNS],
+            *place, "sku", "code", *[F.coalesce(f"own_{d}", f"of_code.{d}").alias(f"plan_{d}") for d in DAY_COLUMNS]
         )
     )
-    return base.join(resolved, ["country", "store", "sku", "code"], "left")
+    return base.join(resolved, [*place, "sku", "code"], "left")
 
 
 def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | None, cfg: RunConfig) -> DataFrame:
     """User plans for the promotion's start and end week: product level, and code prefix 5 then 4.
 
     The start-week product plan counts on days whose extract flag is set, or always when
-    the run is not restricted to added promotions. Product and code plans are keyed
-    once; start and end week then take one join each.
+    the run is not restricted to added promotions. A store's distinct codes inherit once per week for
+    all products; start and end week then take one join each for product and code plans.
     """
     user = plan.filter((F.col("updated_by") == "USER") & (F.col("kind") == "PTG"))
-    week_keys = base.select("country", "store", "sku", "code", F.col("start_week").alias("plan_week")).unionByName(
-        base.select("country", "store", "sku", "code", F.col("end_week").alias("plan_week"))
-    )
-    keys = week_keys.dropDuplicates()
+    place = ["country", "store", "plan_week"]
+    weeks = F.explode(F.array_distinct(F.array("start_week", "end_week"))).alias("plan_week")
+    codes = base.select("country", "store", "code", weeks).dropDuplicates()
+    by_code = inherited(codes, prefix_tree(user, F.col("plan_sku") == 0, place), place, (5, 4))
+    by_code = by_code.select(*place, "code", F.struct(*DAY_COLUMNS).alias("days"))
     product = (
         user.filter(F.col("plan_sku") != 0)
-        .select(
-            "country", "store", F.col("plan_sku").alias("sku"), "plan_week", F.struct(*DAY_COLUMNS).alias("product_plan")
-        )
+        .select("country", "store", F.col("plan_sku").alias("sku"), "plan_week", F.struct(*DAY_COLUMNS).alias("days"))
         .dropDuplicates()
     )
-    codes = user.filter(F.col("plan_sku") == 0).select(
-        "country", "store", F.trim("plan_code").alias("plan_code"), "plan_week", F.struct(*DAY_COLUMNS).alias("days")
-    )
-    by_code = (
-        keys.select(
-            "*",
-            F.explode(F.array(F.substring("code", 1, 5), F.substring("code", 1, 4))).alias("plan_code"),
-        )
-        .join(codes, ["country", "store", "plan_code", "plan_week"])
-        .groupBy("country", "store", "sku", "code", "plan_week")
-        .agg(
-            *[
-                F.max(F.when(F.length("plan_code") == n, F.col(f"days.{d}"))).alias(f"{d}_{n}")
-                for d in DAY_COLUMNS
-                for n in (5, 4)
-            ]
-        )
-        .select(
-            "country",
-            "store",
-            "sku",
-            "code",
-            "plan_week",
-            F.struct(*[F.coalesce(f"{d}_5", f"{d}_4").alias(d) for d in DAY_COLUMNS]).alias("code_plan"),
-        )
-    )
-    lookup = (
-        keys.join(product, ["country", "store", "sku", "plan_week"], "left")
-        .join(by_code, ["country", "store", "sku", "code", "plan_week"], "left")
-        .filter(F.col("product_plan").isNotNull() | F.col("code_plan").isNotNull())
-    )
-    join_key = ["country", "store", "sku", "code"]
-    at_start = lookup.withColumnsRenamed(
-        {"plan_week": "start_week", "product_plan": "start_product", "code_plan": "start_code"}
-    )
-    at_end = lookup.withColumnsRenamed(
-        {"plan_week": "end_week", "product_plan": "end_product", "code_plan": "end_code"}
-    )
-    rows = base.join(at_start, [*join_key, "start_week"], "left").join(at_end, [*join_key, "end_week"], "left")
+
+    def at(rows: DataFrame, plans: DataFrame, week: str, name: str, own: str) -> DataFrame:
+        named = plans.withColumnsRenamed({"plan_week": week, "days": name})
+        return rows.join(named, ["country", "store", own, week], "left")
+
+    rows = at(base, product, "start_week", "start_product", "sku")
+    rows = at(rows, product, "end_week", "end_product", "sku")
+    rows = at(rows, by_code, "start_week", "start_code", "code")
+    rows = at(rows, by_code, "end_week", "end_code", "code")
     if cfg.added_promotions:
         if flags is None:
             raise ValueError("added promotions need the extract flags")
@@ -340,48 +316,50 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
     )
 
 
-def promo_store_base(
-    promos: DataFrame,
-    products: DataFrame,
-    stores: DataFrame,
-    calendar: DataFrame,
-    clusters: DataFrame,
-    cfg: RunConfig,
+def dated_promotions(
+    promos: DataFrame, products: DataFrame, codes: DataFrame, calendar: DataFrame, cfg: RunConfig
 ) -> DataFrame:
-    """Promotion x eligible store with product attributes, node ids, cluster and leaflet flags.
+    """Distinct promotions of the chosen week with their weeks, product, code, node ids and leaflet flags.
 
-    A store without a cluster gets the default of its format. Promotions are made distinct,
-    dated and joined to products before the stores multiply the rows.
+    One row per promotion, product and country: stores come in later, and only for what an event reaches.
+    ``codes``: country, sku, code; a product without one keeps its row.
     """
     promotion = promos.select(*PROMO_KEY, "leaflet_dates").dropDuplicates()
-    dated = week_filter(promo_weeks(promotion, calendar), cfg).join(products, "sku")
-    flagged = leaflet_week_flags(leaflet_parse(dated))
-    with_store = flagged.join(stores.select("country", "store", "store_number", "format"), "country")
-    default = F.when(F.col("format") == "HM", "Large-Moderate").otherwise("Small-Moderate")
+    dated = week_filter(promo_weeks(promotion, calendar), cfg).join(products.drop("code"), "sku")
+    coded = dated.join(codes.select("country", "sku", "code"), ["country", "sku"], "left")
     ids = [
         node_id([F.col(c) for c in LEVELS[:depth]]).alias(f"node_{level}")
         for depth, level in enumerate(LEVELS, start=1)
     ]
+    return leaflet_week_flags(leaflet_parse(coded)).select(
+        *PROMO_KEY,
+        "start_week",
+        "end_week",
+        "start_weekday",
+        (F.datediff("promo_end", "promo_start") + 1).alias("promo_duration"),
+        *LEVELS,
+        "code",
+        *ids,
+        *[f"leaflet_w{n}" for n in range(1, PROMO_WEEKS + 1)],
+    )
+
+
+def promo_store_base(promotions: DataFrame, stores: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Promotion x eligible store with the store's cluster.
+
+    The stores of a country travel as one array, so promotions meet a table of one row per country and are
+    multiplied in place, without an exchange on the country. A store without a cluster gets the default of its format.
+    """
+    by_country = stores.groupBy("country").agg(F.collect_list(F.struct("store", "store_number", "format")).alias("sold_in"))
+    with_store = promotions.join(by_country, "country").withColumn("at", F.explode("sold_in"))
+    default = F.when(F.col("format") == "HM", "Large-Moderate").otherwise("Small-Moderate")
     return (
-        with_store.join(
+        with_store.select(*promotions.columns, "at.*")
+        .join(
             clusters.select("country", "division", "store", "store_cluster"), ["country", "division", "store"], "left"
         )
         .withColumn("store_cluster", F.coalesce("store_cluster", default))
-        .withColumn("promo_duration", F.datediff("promo_end", "promo_start") + 1)
-        .select(
-            *PROMO_KEY,
-            "start_week",
-            "end_week",
-            "start_weekday",
-            "promo_duration",
-            "store",
-            "store_number",
-            "store_cluster",
-            *LEVELS,
-            "code",
-            *ids,
-            *[f"leaflet_w{n}" for n in range(1, PROMO_WEEKS + 1)],
-        )
+        .drop("format")
     )
 
 
@@ -400,12 +378,26 @@ def early_start_shift(base: DataFrame, stores: Sequence[tuple[str, int]]) -> Dat
     )
 
 
-def scope_min_max(base: DataFrame, targets: DataFrame) -> DataFrame:
-    """First and last modelled day of each promotion's division."""
-    scope = targets.groupBy(F.substring_index("node_id", "-", 1).alias("division")).agg(
+def event_scope(targets: DataFrame) -> DataFrame:
+    """First and last modelled day of every country's divisions."""
+    return targets.groupBy("country", F.substring_index("node_id", "-", 1).alias("division")).agg(
         F.min("iso_date").alias("scope_from"), F.max("iso_date").alias("scope_to")
     )
-    return base.join(scope, "division", "left")
+
+
+def scope_min_max(base: DataFrame, targets: DataFrame) -> DataFrame:
+    """First and last modelled day of each promotion's country and division."""
+    return base.join(event_scope(targets), ["country", "division"], "left")
+
+
+def within_reach(promotions: DataFrame, scope: DataFrame, early_days: int = 1) -> DataFrame:
+    """Promotions that overlap their division's modelled days, or would if they began up to ``early_days`` earlier.
+
+    Decided before the stores multiply the promotions; some stores start a day early, so their exact test follows.
+    """
+    open_ = promotions.withColumn("_earliest", F.date_sub("promo_start", early_days))
+    met = overlap_join(open_, scope, ["country", "division"], ("_earliest", "promo_end"), ("scope_from", "scope_to"))
+    return met.drop("_earliest")
 
 
 def added_filter(base: DataFrame, added: DataFrame | None, cfg: RunConfig) -> DataFrame:

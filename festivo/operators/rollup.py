@@ -36,50 +36,68 @@ def explode_levels(rows: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame
 
 
 def enforced_hierarchies(rows: DataFrame, enforced: DataFrame, event_id: str) -> DataFrame:
-    """Attach the enforced flag of listed nodes and drop excluded finest nodes at group level.
+    """Attach the enforced flag of a country's listed nodes; the two coarsest levels are never enforced.
 
-    ``rows``: level-exploded rows. ``enforced``: event_id, node_id, level, enforce_calculation,
-    exclusion_grp. The two coarsest levels are never enforced.
+    ``rows``: rows of all levels, already aggregated. ``enforced``: event_id, country, node_id, level,
+    enforce_calculation, exclusion_grp.
+    """
+    listed = enforced.filter(F.col("event_id") == event_id.upper())
+    flags = listed.groupBy("country", "node_id").agg(F.max(F.col("enforce_calculation").cast("int")).alias("enforced"))
+    flag = F.when(F.col("level") >= LEVEL_NUMBER["section"], F.coalesce("enforced", F.lit(0))).otherwise(F.lit(0))
+    return rows.join(flags, ["country", "node_id"], "left").withColumn("enforced", flag)
+
+
+def store_levels(baseline: DataFrame, enforced: DataFrame, event_id: str) -> DataFrame:
+    """Daily totals per store of every node at all five levels, each level from the one below.
+
+    Finest nodes on the exclusion list are left out of their group, but not of the levels above it: groups carry their
+    totals with and without them. The rows are exchanged once, by country, division, cluster, day and store, which every
+    level's key contains; the levels are then added up where they are.
     """
     listed = enforced.filter(F.col("event_id") == event_id.upper())
-    flags = (
-        listed.groupBy("node_id")
-        .agg(F.max(F.col("enforce_calculation").cast("int")).alias("enforced"))
-    )
     excluded = (
         listed.filter((F.col("level").cast("int") == 5) & (F.col("exclusion_grp").cast("int") == 1))
-        .select(F.col("node_id").alias("finest_node"))
+        .select("country", "node_id", F.lit(True).alias("excluded"))
         .dropDuplicates()
-        .withColumn("excluded", F.lit(1))
     )
-    return (
-        rows.join(excluded, "finest_node", "left")
-        .filter((F.col("level") != LEVEL_NUMBER["grp"]) | F.col("excluded").isNull())
-        .drop("excluded")
-        .join(flags, "node_id", "left")
-        .withColumn(
-            "enforced",
-            F.when(F.col("level") >= LEVEL_NUMBER["section"], F.coalesce("enforced", F.lit(0))).otherwise(F.lit(0)),
-        )
+    sums = ("avg_products", *MEASURES)
+    held = ["store_cluster", *DAY_ATTRIBUTES, "store"]
+    rows = baseline.repartition("country", "division", "store_cluster", "iso_date", "is_base", "store")
+    finest = rows.groupBy("country", *LEVELS, "node_id", *held).agg(*[F.sum(c).alias(c) for c in sums])
+    marked = finest.join(excluded, ["country", "node_id"], "left").withColumn("kept", F.col("excluded").isNull())
+    groups = marked.groupBy("country", *LEVELS[:4], *held).agg(
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.sum(F.when(F.col("kept"), F.col(c))).alias(f"kept_{c}") for c in sums],
+        F.max("kept").alias("any_kept"),
     )
+    at = {5: finest, 4: groups.filter("any_kept").select("country", *LEVELS[:4], *held, *[F.col(f"kept_{c}").alias(c) for c in sums])}
+    below = groups
+    for depth in (3, 2, 1):
+        below = below.groupBy("country", *LEVELS[:depth], *held).agg(*[F.sum(c).alias(c) for c in sums])
+        at[depth] = below
+    parts = []
+    for depth, level in at.items():
+        codes = [F.col(c) if i < depth else F.lit(ROLLED_UP).alias(c) for i, c in enumerate(LEVELS)]
+        parts.append(level.select(F.lit(depth).alias("level"), "country", *codes, *held, *sums))
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union.withColumn("node_id", node_id([F.col(c) for c in LEVELS]))
 
 
 def hierarchy_rollup(baseline: DataFrame, enforced: DataFrame, event_id: str) -> DataFrame:
     """Store, then cluster totals of each day at all five levels.
 
-    The first aggregation is per store, so the second one counts stores as rows.
+    A store has one row per node and day, so counting stores is counting rows; the enforced flags join the totals.
     """
-    rows = explode_levels(baseline.withColumnRenamed("node_id", "finest_node"))
-    rows = enforced_hierarchies(rows, enforced, event_id)
-    per_store = rows.groupBy(*LEVEL_KEY, "enforced", *DAY_ATTRIBUTES, "store").agg(
-        F.sum("avg_products").alias("avg_products"), *[F.sum(m).alias(m) for m in MEASURES]
-    )
-    return per_store.groupBy(*LEVEL_KEY, "enforced", *DAY_ATTRIBUTES).agg(
+    per_store = store_levels(baseline, enforced, event_id)
+    totals = per_store.groupBy(*LEVEL_KEY, *DAY_ATTRIBUTES).agg(
         F.count("*").alias("store_count"),
         F.sum((F.col("sales") == 0).cast("int")).alias("zero_count"),
         F.round(F.avg("avg_products"), 0).alias("avg_products"),
         *[F.sum(m).alias(m) for m in MEASURES],
     )
+    return enforced_hierarchies(totals, enforced, event_id)
 
 
 def node_window_stats(levels: DataFrame) -> DataFrame:
@@ -174,15 +192,15 @@ def node_quality_gate(stats: DataFrame, gates: dict[str, GateRule]) -> DataFrame
 def all_levels_uplift(gated: DataFrame, shift: DataFrame) -> DataFrame:
     """Daily uplift of every node against its base weekday, on last year's and this year's weekday.
 
-    ``shift``: param, iso_date, fy_weekday from the shift calendar.
+    ``shift``: country, param, iso_date, fy_weekday from the shift calendar.
     """
-    this_year = shift.select(F.col("param").alias("division"), "iso_date", F.col("fy_weekday").alias("shifted"))
+    this_year = shift.select("country", F.col("param").alias("division"), "iso_date", F.col("fy_weekday").alias("shifted"))
     node = Window.partitionBy("level", *NODE_KEY)
     ly_day = Window.partitionBy("level", *NODE_KEY, "weekday")
     fy_day = Window.partitionBy("level", *NODE_KEY, "fy_weekday")
     base_sales = F.when(F.col("is_base") == 1, F.col("sales"))
     base_share = F.when(F.col("is_base") == 1, F.col("day_share"))
-    rows = gated.join(this_year, ["division", "iso_date"], "left").withColumn(
+    rows = gated.join(this_year, ["country", "division", "iso_date"], "left").withColumn(
         "fy_weekday", F.when(F.col("is_base") == 1, F.col("weekday")).otherwise(F.col("shifted"))
     )
     rows = rows.select(

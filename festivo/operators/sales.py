@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from festivo.config import LEVELS, RunConfig, monday_of
 from festivo.functions.expressions import node_id, ratio, week_monday
-from festivo.operators.calendar import event_holidays
+from festivo.operators.calendar import holiday_flags
 
 MEASURES = ("sales_promo", "sales_regular", "sales")
 NODE = ["country", *LEVELS]
@@ -68,8 +68,8 @@ def clustering_sales(
     """Sales per division, store and day with the section (else department) coefficient."""
     priced = (
         sales.join(products.select("sku", "division", "department", "section"), "sku")
-        .join(coef_department, "department")
-        .join(coef_section, ["department", "section"], "left")
+        .join(coef_department, ["country", "department"])
+        .join(coef_section, ["country", "department", "section"], "left")
     )
     factor = F.coalesce("coef_section", "coef_department").cast("double")
     return priced.groupBy("country", "division", "store", "sale_date").agg(
@@ -99,9 +99,9 @@ def promo_adjusted_sales(
     return (
         sales.join(cover, ["country", "sku", "sale_date"], "left")
         .join(products.drop("code"), "sku")
-        .join(coef_department, "department")
-        .join(coef_section, ["department", "section"], "left")
-        .join(coef_division, "division", "left")
+        .join(coef_department, ["country", "department"])
+        .join(coef_section, ["country", "department", "section"], "left")
+        .join(coef_division, ["country", "division"], "left")
         .withColumn("times", n_cut + n_flat + uncovered)
         .withColumn(
             "sales_promo", F.col("qty_promo") * ((n_cut + uncovered) * factor + n_flat * flat_factor)
@@ -124,14 +124,15 @@ def node_store_day(adjusted: DataFrame, clusters: DataFrame) -> DataFrame:
     )
 
 
-def base_week_sales(node_days: DataFrame, holidays: DataFrame, cfg: RunConfig) -> DataFrame:
+def base_week_sales(node_days: DataFrame, timeline: DataFrame, holidays: DataFrame, cfg: RunConfig) -> DataFrame:
     """Average of the base weeks per weekday, dated in the latest base week.
 
     Sums are divided by the number of weeks given, also where a week has no row.
+    ``timeline``: last year's event days, from the latest base week on.
     """
     mondays = [monday_of(w) for w in cfg.base_weeks]
     n_weeks = len(cfg.base_weeks)
-    latest = F.lit(monday_of(cfg.latest_base_week))
+    latest = F.lit(cfg.base_monday)
     weekday = (F.weekday("sale_date") + 1).alias("weekday")
     in_base = week_monday(F.col("sale_date")).isin(mondays)
     base = (
@@ -143,34 +144,24 @@ def base_week_sales(node_days: DataFrame, holidays: DataFrame, cfg: RunConfig) -
         )
         .withColumn("iso_date", F.date_add(latest, F.col("weekday") - 1))
     )
-    return _dated(base, holidays, cfg).withColumn("is_base", F.lit(1))
+    return _dated(base, timeline, holidays).withColumn("is_base", F.lit(1))
 
 
-def event_period_sales(node_days: DataFrame, controls: DataFrame, holidays: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Sales of last year's event weeks, per parameter group's own day range."""
-    days = controls.filter(F.col("year") == cfg.ly_year).select(
-        F.col("param").alias("division"),
-        F.explode(F.sequence("date_from", "date_to")).alias("sale_date"),
-    )
-    event = node_days.join(days, ["division", "sale_date"]).withColumn(
-        "weekday", F.weekday("sale_date") + 1
-    )
-    return _dated(event.withColumnRenamed("sale_date", "iso_date"), holidays, cfg).withColumn("is_base", F.lit(0))
+def event_period_sales(node_days: DataFrame, timeline: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Sales of last year's event weeks, in each country's and division's own day range."""
+    event = node_days.withColumnRenamed("sale_date", "iso_date").withColumn("weekday", F.weekday("iso_date") + 1)
+    return _dated(event, timeline.filter("in_event"), holidays).withColumn("is_base", F.lit(0))
 
 
-def _dated(rows: DataFrame, holidays: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Add fiscal year and week, holiday flag and days to last year's event."""
-    free = (
-        event_holidays(holidays)
-        .select(F.col("holiday_date").alias("iso_date"), F.lit(1).alias("is_holiday"))
-        .dropDuplicates()
-    )
+def _dated(rows: DataFrame, timeline: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Rows on the event's days, with fiscal year and week, the country's holiday flag and the offset to the event."""
+    days = timeline.select("country", "division", "iso_date", "event_offset")
     return (
-        rows.join(free, "iso_date", "left")
+        rows.join(days, ["country", "division", "iso_date"])
+        .join(holiday_flags(holidays, "iso_date"), ["country", "iso_date"], "left")
         .withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
         .withColumn("fiscal_year", F.extract(F.lit("yearofweek"), F.col("iso_date")).cast("int"))
         .withColumn("fiscal_week", F.lpad(F.weekofyear("iso_date").cast("string"), 2, "0"))
-        .withColumn("event_offset", F.datediff("iso_date", F.lit(cfg.event_date(cfg.ly_year))))
     )
 
 
@@ -199,8 +190,7 @@ def baseline_union(base: DataFrame, event: DataFrame) -> DataFrame:
     )
 
 
-def model_day_span(cfg: RunConfig) -> tuple:
-    """First and last day of the sales the baseline needs, for the scan filter."""
+def base_day_spans(cfg: RunConfig) -> list[tuple]:
+    """First and last day of each base week, for the scan's filter."""
     mondays = [monday_of(w) for w in cfg.base_weeks]
-    low, high = cfg.event_window(cfg.ly_year)
-    return min([*mondays, low]), max([*(m + timedelta(days=6) for m in mondays), high])
+    return [(m, m + timedelta(days=6)) for m in mondays]

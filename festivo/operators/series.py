@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from festivo.config import FACTOR_CAP, LEVEL_NUMBER, RunConfig
 from festivo.functions.expressions import clamp, ratio
-from festivo.operators.calendar import event_holidays
+from festivo.operators.calendar import holiday_flags
+from festivo.operators.events import aligned_days
 from festivo.operators.rollup import LEVEL_KEY, NODE_KEY, explode_levels
 from festivo.operators.sales import NODE
 
@@ -26,34 +27,6 @@ def centered_moving_average(
     )
 
 
-def norm_days(controls: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Days of each normalisation year whose offset to that year's event lies in last year's span.
-
-    A few hundred rows per parameter group: (division, sale_date, norm_year, event_offset, ...).
-    """
-    span = controls.filter(F.col("year") == cfg.ly_year).select(
-        "param",
-        "offset_from",
-        "offset_to",
-        F.datediff("date_from", "event_date").alias("min_offset"),
-        F.datediff("date_to", "event_date").alias("max_offset"),
-    )
-    years = controls.filter(F.col("year").isin(*cfg.norm_years)).select(
-        "param", F.col("year").alias("norm_year"), "event_date"
-    )
-    return (
-        years.join(span, "param")
-        .withColumn("event_offset", F.explode(F.sequence("min_offset", "max_offset")))
-        .select(
-            F.col("param").alias("division"),
-            "norm_year",
-            "event_offset",
-            F.date_add("event_date", F.col("event_offset")).alias("sale_date"),
-            F.col("event_offset").between(F.col("offset_from"), F.col("offset_to")).cast("int").alias("is_peak"),
-        )
-    )
-
-
 def aligned_multi_year_sales(
     node_days: DataFrame, controls: DataFrame, holidays: DataFrame, cfg: RunConfig
 ) -> DataFrame:
@@ -61,14 +34,10 @@ def aligned_multi_year_sales(
 
     One join against the aligned-day table serves all years.
     """
-    free = (
-        event_holidays(holidays)
-        .select(F.col("holiday_date").alias("sale_date"), F.lit(1).alias("is_holiday"))
-        .dropDuplicates()
-    )
+    days = aligned_days(controls, cfg.ly_year, cfg.norm_years)
     return (
-        node_days.join(norm_days(controls, cfg), ["division", "sale_date"])
-        .join(free, "sale_date", "left")
+        node_days.join(days, ["country", "division", "sale_date"])
+        .join(holiday_flags(holidays, "sale_date"), ["country", "sale_date"], "left")
         .withColumn("is_holiday", F.coalesce("is_holiday", F.lit(0)))
         .withColumn("fiscal_year", F.extract(F.lit("yearofweek"), F.col("sale_date")).cast("int"))
         .groupBy(*NODE, "store_cluster", "norm_year", "fiscal_year", "event_offset", "is_peak", "is_holiday")

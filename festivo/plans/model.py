@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from festivo.config import RunConfig
 from festivo.operators.blending import (
@@ -14,13 +14,14 @@ from festivo.operators.blending import (
     hierarchy_code_map,
     user_override_schema,
 )
-from festivo.operators.calendar import fy_calendar_grid, shift_calendar, year_offset
+from festivo.operators.calendar import fy_calendar_grid, fy_event_days, shift_calendar, year_offset
 from festivo.operators.clustering import (
     store_day_uplift,
     store_range_size,
     store_shape_cluster,
     uplift_percentiles,
 )
+from festivo.operators.events import event_spans, event_timeline
 from festivo.operators.matching import NODE, gap_fill_last_week, ly_feature_join, ly_fy_match, offset_companion
 from festivo.operators.rollup import (
     LEVELS,
@@ -32,11 +33,11 @@ from festivo.operators.rollup import (
     week_stats,
 )
 from festivo.operators.sales import (
+    base_day_spans,
     base_week_sales,
     baseline_union,
     clustering_sales,
     event_period_sales,
-    model_day_span,
     node_store_day,
     promo_adjusted_sales,
     promo_discount_depth,
@@ -48,7 +49,7 @@ from festivo.operators.series import (
     norm_union_cap,
 )
 from festivo.sources.retail import Retail
-from festivo.sources.tables import stage, write_table
+from festivo.sources.tables import stage, write_partitions
 
 
 class ModelRun:
@@ -65,28 +66,31 @@ class ModelRun:
     def sales(self) -> DataFrame:
         """Daily sales of all windows the run looks at: the only scan of the fact table.
 
-        One staged day span per year serves clustering, base weeks, event weeks and the
-        normalisation years.
+        One staged set of day spans serves clustering, base weeks, event weeks and the
+        normalisation years; the spans come from the dated controls and reach the scan as filters.
         """
-        low, high = model_day_span(self.cfg)
-        event = self.cfg.event_date(self.cfg.ly_year)
-        first, last = self.cfg.event_window(self.cfg.ly_year)
-        spans = [(min(low, self.cfg.model_window()[0]), high)]
-        for year in self.cfg.norm_years:
-            day = self.cfg.event_date(year)
-            spans.append((day + (first - event), day + (last - event)))
-        return stage(self.retail.daily_sales(spans), "daily_sales")
+        cfg = self.cfg
+        spans = event_spans(self.retail.controls, cfg.ly_year, (*cfg.norm_years, cfg.ly_year))
+        last_year = (cfg.base_monday, spans[cfg.ly_year][1])
+        return stage(self.retail.daily_sales([*base_day_spans(cfg), *spans.values(), last_year]), "daily_sales")
+
+    @cached_property
+    def timeline(self) -> DataFrame:
+        """Last year's event days by country and division, from the latest base week on."""
+        return stage(event_timeline(self.retail.controls, self.cfg.ly_year, self.cfg.base_monday), "timeline")
 
     # --- clustering ---------------------------------------------------------
     @cached_property
     def range_size(self) -> DataFrame:
-        return store_range_size(self.retail.product_range, self.cfg.as_of, self.cfg.min_products_per_store)
+        return store_range_size(
+            self.retail.product_range, self.retail.stores, self.cfg.as_of, self.cfg.min_products_per_store
+        )
 
     @cached_property
     def store_uplift(self) -> DataFrame:
         r = self.retail
         sales = clustering_sales(self.sales, r.products, r.coef_section, r.coef_department)
-        return store_day_uplift(sales, self.range_size, self.cfg)
+        return store_day_uplift(sales, self.range_size, self.timeline, self.cfg)
 
     @cached_property
     def percentiles(self) -> DataFrame:
@@ -110,11 +114,11 @@ class ModelRun:
 
     @cached_property
     def base_sales(self) -> DataFrame:
-        return base_week_sales(self.node_days, self.retail.holidays, self.cfg)
+        return base_week_sales(self.node_days, self.timeline, self.retail.holidays, self.cfg)
 
     @cached_property
     def event_sales(self) -> DataFrame:
-        return event_period_sales(self.node_days, self.retail.controls, self.retail.holidays, self.cfg)
+        return event_period_sales(self.node_days, self.timeline, self.retail.holidays)
 
     @cached_property
     def baseline(self) -> DataFrame:
@@ -135,8 +139,9 @@ class ModelRun:
 
     @cached_property
     def shift(self) -> DataFrame:
-        ly = self.retail.controls.filter(self.retail.controls.year == self.cfg.ly_year)
-        return shift_calendar(self.retail.calendar, ly, self.cfg.model_window()[0])
+        c = self.retail.controls
+        pair = c.filter(c.year.isin(self.cfg.ly_year, self.cfg.fy_year))
+        return shift_calendar(self.retail.calendar, pair, self.cfg.base_monday)
 
     @cached_property
     def uplift(self) -> DataFrame:
@@ -165,25 +170,26 @@ class ModelRun:
     def shifts(self) -> DataFrame:
         c = self.retail.controls
         years = [self.cfg.ly_year, self.cfg.fy_year]
-        return year_offset(c.filter(c.year.isin(years)), self.cfg.event_id)
+        return stage(year_offset(c.filter(c.year.isin(years)), self.cfg.event_id), "shifts")
 
     @cached_property
     def nodes(self) -> DataFrame:
         return self.features.select("param", *NODE, *LEVELS).dropDuplicates()
 
     @cached_property
-    def grid(self) -> DataFrame:
+    def this_year(self) -> DataFrame:
+        """This year's event days by country and parameter group."""
         c = self.retail.controls
-        return fy_calendar_grid(
-            self.retail.calendar,
-            self.retail.holidays,
-            self.nodes.select("param", *NODE),
-            c.filter(c.year == self.cfg.fy_year),
-        )
+        return stage(fy_event_days(c.filter(c.year == self.cfg.fy_year)), "event_days")
+
+    @cached_property
+    def grid(self) -> DataFrame:
+        nodes = self.nodes.select("param", *NODE)
+        return fy_calendar_grid(self.retail.calendar, self.retail.holidays, nodes, self.this_year)
 
     @cached_property
     def matched(self) -> DataFrame:
-        return ly_fy_match(self.grid, self.features, self.shifts)
+        return ly_fy_match(self.grid, self.features, self.shifts, self.this_year)
 
     @cached_property
     def filled(self) -> DataFrame:
@@ -207,7 +213,7 @@ class ModelRun:
         return final_targets(self.model, user)
 
     def write(self, root: str, user: DataFrame | None = None, fmt: str = "orc") -> None:
-        """Write the hand-off tables of the run."""
-        write_table(self.clusters, f"{root}/clusters", fmt)
-        write_table(self.model, f"{root}/model", fmt)
-        write_table(self.targets(user), f"{root}/targets", fmt, ["country"])
+        """Write the hand-off tables of the run; another event's or country's partitions under the root stay."""
+        event = F.lit(self.cfg.event_id_key)
+        for name, rows in (("clusters", self.clusters), ("model", self.model), ("targets", self.targets(user))):
+            write_partitions(rows.withColumn("event_id", event), f"{root}/{name}", ("event_id", "country"), fmt)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from festivo.config import PROMO_WEEKS, RunConfig
 from festivo.operators.allocation import (
     PROMO_STORE,
+    audit_states,
     base_promo_target,
     closed_day_redistribution,
     holiday_override_wide,
@@ -28,19 +29,24 @@ from festivo.operators.calendar import holiday_week_pivot, open_day_grid
 from festivo.operators.promotions import (
     added_filter,
     added_promos,
+    dated_promotions,
     early_start_shift,
+    eligible_stores,
+    event_scope,
     event_scope_filter,
+    latest_snapshot,
     plan_lookup_start_end,
     plan_validity,
     prefix_fallback_lookup,
+    product_dual_hierarchy,
     promo_day_flags,
     promo_store_base,
-    scope_min_max,
     store_zone_link,
+    within_reach,
 )
 from festivo.sources.retail import Retail
-from festivo.sources.tables import stage, write_table
-
+from festivo.sources.snapshots import SNAPSHOT
+from festivo.sources.tables import stage, write_partitions
 
 DAY_ROW_COLUMNS = (
     *PROMO_STORE,
@@ -58,29 +64,66 @@ DAY_ROW_COLUMNS = (
 
 
 class UploadRun:
-    """One upload run over given targets and store clusters."""
+    """One upload run over given targets and store clusters.
+
+    Deliveries are read by snapshot: extracts and day plans of the run's day, trading hours of the last days, stock-group
+    codes of each product's last delivery.
+    """
 
     def __init__(self, retail: Retail, targets: DataFrame, clusters: DataFrame, hours: DataFrame | None = None):
         self.retail, self.targets, self.clusters = retail, targets, clusters
-        self.hours = hours if hours is not None else retail.trading_hours
+        self.hours = retail.hours_deliveries(hours if hours is not None else retail.trading_hours)
 
     @property
     def cfg(self) -> RunConfig:
         return self.retail.cfg
 
+    # --- deliveries and selection ------------------------------------------------
     @cached_property
     def flags(self) -> DataFrame:
-        return promo_day_flags(self.retail.extracts)
+        extracts = [delivered.on(self.cfg.as_of) for delivered in self.retail.extract_deliveries]
+        return promo_day_flags(extracts, self.cfg.country, self.cfg.as_of)
 
     @cached_property
     def plan(self) -> DataFrame:
-        return plan_validity(self.retail.day_plan, self.retail.folded_calendar)
+        today = self.retail.plan_deliveries.on(self.cfg.as_of).drop(SNAPSHOT)
+        return plan_validity(today, self.retail.folded_calendar)
 
     @cached_property
-    def all_base(self) -> DataFrame:
-        """Promotion x store, without plans: the plans join only what the scope keeps."""
+    def recent_hours(self) -> DataFrame:
+        days = self.cfg.hours_snapshot_days
+        return self.hours.since(self.cfg.as_of - timedelta(days=days), self.cfg.as_of)
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Stock-group code of each country's products, from the product's last delivery."""
+        return latest_snapshot(self.retail.code_deliveries.read(), ["country", "sku"], SNAPSHOT)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        """Products of the chosen departments without the excluded sections."""
+        r, cfg = self.retail, self.cfg
+        if cfg.departments is None:
+            return r.products
+        chosen = product_dual_hierarchy(r.reporting_hierarchy, r.second_hierarchy, cfg.departments, cfg.excluded_sections)
+        return r.products.join(chosen.select("sku"), "sku", "left_semi")
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        """Stores that sell, written once: a table of true size."""
+        return stage(eligible_stores(self.retail.stores, self.cfg.as_of), "stores")
+
+    # --- promotions -----------------------------------------------------------------
+    @cached_property
+    def promotions(self) -> DataFrame:
+        """Promotions of the chosen products and week, before stores multiply them."""
         r = self.retail
-        return promo_store_base(r.promos, r.products, r.stores, r.folded_calendar, self.clusters, self.cfg)
+        return dated_promotions(r.promos, self.products, self.codes, r.folded_calendar, self.cfg)
+
+    @cached_property
+    def all_base(self) -> DataFrame:
+        """Every promotion in every store that sells, whatever the event."""
+        return promo_store_base(self.promotions, self.stores, self.clusters)
 
     @cached_property
     def zones(self) -> DataFrame:
@@ -91,26 +134,29 @@ class UploadRun:
         if not self.cfg.added_promotions:
             return None
         r = self.retail
-        return added_promos(r.zoned_promos, r.products, r.folded_calendar, self.flags, self.zones, self.cfg)
+        return added_promos(r.zoned_promos, self.products, r.folded_calendar, self.flags, self.zones, self.cfg)
+
+    @cached_property
+    def scope(self) -> DataFrame:
+        return event_scope(self.targets)
 
     @cached_property
     def base(self) -> DataFrame:
-        scoped = added_filter(scope_min_max(self.all_base, self.targets), self.added, self.cfg)
-        return stage(early_start_shift(scoped, self.cfg.early_start_stores), "promo_base")
+        """Promotions that the event can reach, with their stores: the scope comes first, then the stores."""
+        near = promo_store_base(within_reach(self.promotions, self.scope), self.stores, self.clusters)
+        return early_start_shift(added_filter(near, self.added, self.cfg), self.cfg.early_start_stores)
 
     @cached_property
     def in_scope(self) -> DataFrame:
-        return event_scope_filter(self.base)
+        return stage(event_scope_filter(self.base), "promo_base")
 
     @cached_property
     def holiday_weeks(self) -> DataFrame:
-        return holiday_week_pivot(self.retail.folded_calendar, self.retail.holidays)
+        return holiday_week_pivot(self.retail.folded_calendar, self.retail.holidays, ("country",))
 
     @cached_property
     def open_days(self) -> DataFrame:
-        days = self.cfg.hours_snapshot_days
-        since = self.cfg.as_of - timedelta(days=days) if days is not None else None
-        return open_day_grid(self.hours, self.retail.folded_calendar, self.holiday_weeks, since=since)
+        return open_day_grid(self.recent_hours, self.retail.folded_calendar, self.holiday_weeks, ("country",))
 
     @cached_property
     def days(self) -> DataFrame:
@@ -147,16 +193,26 @@ class UploadRun:
     @cached_property
     def final(self) -> DataFrame:
         filled = week_edge_backfill(self.wide, self.plans)
-        return latest_promo_per_week(holiday_override_wide(filled, self.holiday_weeks), self.cfg)
+        return latest_promo_per_week(holiday_override_wide(filled, self.holiday_weeks, ("country",)), self.cfg)
 
     @cached_property
     def upload(self) -> DataFrame:
         return upload_extract(self.final)
 
+    @cached_property
+    def audit_states(self) -> DataFrame:
+        listed = self.promotions
+        if self.added is not None:
+            interval = ["country", "sku", "promo_start", "promo_end"]
+            listed = listed.join(self.added.select(*interval), interval, "left_semi")
+        return audit_states(listed, self.scope, self.final, self.stores, self.cfg)
+
     @cached_property
     def audit(self) -> DataFrame:
-        numbered = self.final.join(self.retail.stores.select("country", "store", "store_number"), ["country", "store"])
-        return scope_audit(self.base, self.in_scope, numbered, self.cfg)
+        return scope_audit(self.audit_states, self.cfg)
 
-    def write(self, path: str, fmt: str = "csv") -> None:
-        write_table(self.upload, path, fmt)
+    def write(self, root: str, fmt: str = "csv") -> None:
+        """Write the upload and its audit; another event's or country's files under the root stay."""
+        event = F.lit(self.cfg.event_id_key).alias("event_id")
+        for name, rows in (("upload", self.upload), ("audit", self.audit)):
+            write_partitions(rows.select(event, "*"), f"{root}/{name}", ("event_id", "country"), fmt)

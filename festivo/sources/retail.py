@@ -14,15 +14,22 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from festivo.config import NO_EXPIRY_WEEK, RunConfig
+from festivo.config import MOVABLE_EVENT, NO_EXPIRY_WEEK, RunConfig
 from festivo.functions.expressions import any_of, month_day, ratio, week_monday, year_week
-from festivo.operators.calendar import CONTROL_SCHEMA, control_rows, event_controls, fiscal_calendar
+from festivo.operators.calendar import event_controls, fiscal_calendar
+from festivo.operators.events import control_rows, easter_sunday
 from festivo.operators.rollup import explode_levels
-from festivo.sources.tables import read_table, stage
+from festivo.sources.snapshots import SNAPSHOT, SnapshotTable
+from festivo.sources.tables import new_staging_path, read_table, stage
 
 PROMO_DISCOUNT = 0.05
 HOLIDAY_MONTH_DAYS = ("12-25", "12-26", "01-01")
-DIVISIONS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+COUNTRY_HOLIDAYS = {"AFRICA": ("12-16",), "AMERICA": ("11-25", "04-02"), "ASIA": ("04-05",), "EUROPE": ("12-08", "04-24")}
+# Where an event has another day: days after the common one, by country, and for one division in all countries.
+COUNTRY_EVENT_SHIFT = {"AMERICA": 1, "ASIA": -1}
+DIVISION_EVENT_SHIFT = {"PROMO": -1}
+CHRISTMAS = (12, 24)
+STALE_DAYS = 8  # age of the outdated deliveries next to the current ones
 CONTROL_VALUES = {
     "offset_from": -6,
     "offset_to": 0,
@@ -107,35 +114,84 @@ class Retail:
 
     @cached_property
     def stores(self) -> DataFrame:
-        """Store attributes: number, country, format, selling area."""
+        """Store attributes: number, country, format, selling area, first and last day."""
+        key = F.sum("l_suppkey")
         return (
             self.supplier_stores.groupBy("country", "store")
-            .agg(F.sum("s_acctbal").alias("net_area"), F.count("*").alias("n_suppliers"))
+            .agg(F.sum("s_acctbal").alias("area"), F.count("*").alias("n_suppliers"), key.alias("key"))
             .withColumn("store_number", F.col("store") + 1001)
-            .withColumn("format", F.when(F.col("n_suppliers") >= 4, "HM").otherwise("SM"))
-            .select("country", "store", "store_number", "format", "net_area")
+            .withColumn(
+                "format",
+                F.when(F.col("key") % 17 == 0, "ZBK").when(F.col("n_suppliers") >= 4, "HM").otherwise("SM"),
+            )
+            .withColumn("open_date", F.date_sub(F.lit(self.cfg.as_of), (F.col("key") * 37 % 400).cast("int")))
+            .withColumn(
+                "close_date",
+                F.when(F.col("key") % 9 == 0, F.date_add(F.lit(self.cfg.as_of), (F.col("key") % 120).cast("int"))),
+            )
+            .withColumn("net_area", F.when(F.col("key") % 23 != 0, F.col("area")))
+            .select("country", "store", "store_number", "format", "net_area", "open_date", "close_date")
         )
 
+    @cached_property
+    def countries(self) -> list[str]:
+        return sorted(r.r_name for r in self.table("region").select("r_name").collect())
+
+    def per_country(self, rows: DataFrame) -> DataFrame:
+        """One copy of a dimension's rows for every country."""
+        return rows.withColumn("country", F.explode(F.array(*map(F.lit, self.countries))))
+
     @cached_property
     def calendar(self) -> DataFrame:
-        first, last = self.cfg.calendar_years
-        days = self.spark.range(1).select(
-            F.explode(F.sequence(F.lit(date(first, 1, 1)), F.lit(date(last, 12, 31)))).alias("iso_date")
-        )
-        return fiscal_calendar(days, fold_week_53=False)
+        """Whole years around all dates of the facts and of the run, written once; one aggregate finds the range."""
+        days = self.table("lineitem").agg(F.min("l_shipdate").alias("a"), F.max("l_shipdate").alias("b"))
+        orders = self.table("orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+        low, high = F.year(F.min("a")), F.year(F.max("b"))
+        years = self.cfg.event_years
+        span = days.unionAll(orders).agg(
+            F.make_date(F.least(low, F.lit(years[0])) - 1, F.lit(1), F.lit(1)).alias("a"),
+            F.make_date(F.greatest(high, F.lit(years[-1])) + 2, F.lit(12), F.lit(31)).alias("b"),
+        )
+        all_days = span.select(F.explode(F.sequence("a", "b")).alias("iso_date"))
+        return stage(fiscal_calendar(all_days, fold_week_53=False), "calendar")
 
     @cached_property
     def holidays(self) -> DataFrame:
-        return self.calendar.filter(month_day(F.col("iso_date")).isin(*HOLIDAY_MONTH_DAYS)).select(
-            F.col("iso_date").alias("holiday_date")
-        )
+        """Bank holidays by country."""
+        own = F.create_map(
+            *[x for c in self.countries for x in (F.lit(c), F.array(*map(F.lit, (*HOLIDAY_MONTH_DAYS, *COUNTRY_HOLIDAYS.get(c, ())))))]
+        )
+        days = self.per_country(self.calendar.select(F.col("iso_date").alias("holiday_date")))
+        return days.filter(F.array_contains(own[F.col("country")], month_day(F.col("holiday_date")))).select(
+            "country", "holiday_date"
+        )
+
+    def event_date(self, country: Column, param: Column, year: Column, years: Sequence[int]) -> Column:
+        """The stand-in event's day: Christmas Eve or Easter Sunday, shifted in some countries and one division."""
+        if self.cfg.event_id_key == MOVABLE_EVENT:
+            dates = F.create_map(*[x for y in years for x in (F.lit(y), F.lit(easter_sunday(y)))])
+            day = F.try_element_at(dates, year)
+        else:
+            day = F.make_date(year, F.lit(CHRISTMAS[0]), F.lit(CHRISTMAS[1]))
+        shift = F.lit(0)
+        for names, column in ((COUNTRY_EVENT_SHIFT, country), (DIVISION_EVENT_SHIFT, param)):
+            for name, days in names.items():
+                shift = shift + F.when(column == name, days).otherwise(0)
+        return F.date_add(day, shift)
+
+    @cached_property
+    def event_dates(self) -> DataFrame:
+        """The event's day by country, division and year."""
+        years = self.cfg.event_years
+        groups = self.per_country(self.products.select(F.col("division").alias("param")).dropDuplicates())
+        dated = groups.withColumn("year", F.explode(F.array(*map(F.lit, years))))
+        return dated.withColumn("event_date", self.event_date(F.col("country"), F.col("param"), F.col("year"), years))
 
     @cached_property
     def controls(self) -> DataFrame:
         """Event controls, written once: nearly every step of the model reads them."""
-        raw = self.spark.createDataFrame(
-            control_rows(self.cfg, list(DIVISIONS), CONTROL_VALUES), CONTROL_SCHEMA
-        )
+        weeks = (self.cfg.weeks_before, self.cfg.weeks_after)
+        raw = control_rows(self.cfg.event_id_key, self.event_dates, CONTROL_VALUES, weeks)
         return stage(event_controls(raw, self.calendar), "controls")
 
     # --- facts --------------------------------------------------------------
@@ -178,6 +234,8 @@ class Retail:
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("promo_start")
         )
+        # One promotion in 50 runs for up to 90 days.
+        days = F.when(F.col("promo_code") % 50 == 0, F.col("promo_code") % 90).otherwise(F.col("promo_code") % 28)
         return (
             self.lines()
             .join(orders, "l_orderkey")
@@ -194,7 +252,7 @@ class Retail:
                 "sku",
                 "country",
                 "promo_start",
-                F.date_add("promo_start", (F.col("promo_code") % 28).cast("int")).alias("promo_end"),
+                F.date_add("promo_start", days.cast("int")).alias("promo_end"),
                 "price_normal",
                 (F.col("price_normal") * (1 - F.col("discount"))).alias("price_promo"),
                 (F.col("price_normal") * (1 - F.col("club_discount"))).alias("price_club"),
@@ -235,31 +293,28 @@ class Retail:
     # --- coefficient tables ---------------------------------------------------
     @cached_property
     def coef_department(self) -> DataFrame:
-        brand = F.substring("department", 7, 10).cast("int")
-        return self.products.select(
-            "department", (F.lit(0.625) + F.lit(0.125) * (brand % 3)).cast("decimal(10,3)").alias("coef_department")
-        ).dropDuplicates()
+        brand = F.substring("department", 7, 10).cast("int") + F.length("country")
+        return self.per_country(self.products.select("department").dropDuplicates()).select(
+            "country", "department", (F.lit(0.625) + F.lit(0.125) * (brand % 3)).cast("decimal(10,3)").alias("coef_department")
+        )
 
     @cached_property
     def coef_section(self) -> DataFrame:
-        return (
-            self.products.groupBy("department", "section")
-            .agg(F.count("*").alias("n"), F.min(F.col("subgroup").cast("int")).alias("smallest"))
-            .filter(F.col("smallest") <= 5)
-            .select(
-                "department",
-                "section",
-                (F.lit(0.5) + F.lit(0.125) * (F.col("n") % 4)).cast("decimal(10,3)").alias("coef_section"),
-            )
+        sections = self.products.groupBy("department", "section").agg(
+            F.count("*").alias("n"), F.min(F.col("subgroup").cast("int")).alias("smallest")
+        )
+        factor = F.lit(0.5) + F.lit(0.125) * ((F.col("n") + F.length("country")) % 4)
+        return self.per_country(sections.filter(F.col("smallest") <= 5)).select(
+            "country", "department", "section", factor.cast("decimal(10,3)").alias("coef_section")
         )
 
     @cached_property
     def coef_division(self) -> DataFrame:
         """Coefficient of promotions without a price cut."""
-        return self.products.select(
-            "division",
-            (F.lit(0.25) + F.lit(0.125) * (F.length("division") % 3)).cast("decimal(10,3)").alias("coef_zero"),
-        ).dropDuplicates()
+        factor = F.lit(0.25) + F.lit(0.125) * ((F.length("division") + F.length("country")) % 3)
+        return self.per_country(self.products.select("division").dropDuplicates()).select(
+            "country", "division", factor.cast("decimal(10,3)").alias("coef_zero")
+        )
 
     # --- ranging, plans, hours -------------------------------------------------
     @cached_property
@@ -306,10 +361,56 @@ class Retail:
             )
             .withColumn("label", label)
             .withColumn("created_date", F.date_add("monday", 2))
-            .withColumn("snapshot_date", F.col("created_date"))
             .drop("monday")
         )
 
+    # --- deliveries ---------------------------------------------------------------
+    def delivered(self, name: str, rows: DataFrame) -> SnapshotTable:
+        """Write snapshots of a stand-in table below the staging folder."""
+        return SnapshotTable(self.spark, new_staging_path(self.spark, name)).deliver(rows)
+
+    def outdated(self, rows: DataFrame, *changed: tuple[str, Column]) -> DataFrame:
+        """An old delivery of the same table with other values."""
+        old = F.lit(self.cfg.as_of - timedelta(days=STALE_DAYS))
+        return rows.withColumns(dict(changed)).withColumn(SNAPSHOT, old)
+
+    def hours_deliveries(self, hours: DataFrame) -> SnapshotTable:
+        """Trading hours over the last days, each store on a day of its own, and a delivery too old to count, all stores closed."""
+        age = (F.col("store_number") % 6).cast("int")
+        current = hours.withColumn(SNAPSHOT, F.date_sub(F.lit(self.cfg.as_of), age))
+        closed = [(f"hours_{n}", F.when(F.lit(n) == 3, F.lit(7)).otherwise(F.lit(0)).cast("long")) for n in range(1, 8)]
+        return self.delivered("hours", current.unionByName(self.outdated(hours.filter(F.col("store_number") % 2 == 0), *closed)))
+
+    @cached_property
+    def extract_deliveries(self) -> list[SnapshotTable]:
+        """The supplier extracts of the run's day, and older ones in which every step was promoted."""
+        today = F.lit(self.cfg.as_of)
+        promoted = [(f"step_{n}", F.lit("P")) for n in range(1, 8)]
+        return [
+            self.delivered(
+                "extract",
+                rows.withColumn(SNAPSHOT, today).unionByName(self.outdated(rows.filter(F.col("sku") % 5 == 0), *promoted)),
+            )
+            for rows in self.extracts
+        ]
+
+    @cached_property
+    def plan_deliveries(self) -> SnapshotTable:
+        """The day plan of the run's day, and an older one with other shares."""
+        halved = [(f"day_{n}", F.col(f"day_{n}") / 2) for n in range(1, 8)]
+        current = self.day_plan.withColumn(SNAPSHOT, F.lit(self.cfg.as_of))
+        return self.delivered("plan", current.unionByName(self.outdated(self.day_plan.filter(F.col("plan_sku") % 7 == 1), *halved)))
+
+    @cached_property
+    def code_deliveries(self) -> SnapshotTable:
+        """Stock-group codes by country and product: delivered on the product's last day, for some also before, with another code."""
+        codes = self.per_country(self.products.select("sku", "code"))
+        last = F.date_sub(F.lit(self.cfg.as_of), (F.col("sku") % 3).cast("int"))
+        before = F.date_sub(F.lit(self.cfg.as_of), (F.col("sku") % 3 + 1).cast("int"))
+        current = codes.withColumn(SNAPSHOT, last)
+        older = codes.filter(F.col("sku") % 2 == 0).withColumn("code", F.lit("ZZ9999")).withColumn(SNAPSHOT, before)
+        return self.delivered("codes", current.unionByName(older))
+
     @cached_property
     def folded_calendar(self) -> DataFrame:
         """The calendar with week 53 counted as week 01, as the upload uses it."""
@@ -317,15 +418,15 @@ class Retail:
 
     @cached_property
     def enforced(self) -> DataFrame:
-        """Nodes with relaxed thresholds (small sections) and finest nodes left out of groups."""
+        """Nodes with relaxed thresholds (small sections, in some countries) and finest nodes left out of groups."""
         p = self.products
         event = F.lit(self.cfg.event_id_key).alias("event_id")
         sections = (
-            p.groupBy("division", "department", "section")
-            .count()
-            .filter(F.col("count") >= 3)
+            self.per_country(p.groupBy("division", "department", "section").count())
+            .filter((F.col("count") >= 3) & (F.length("country") % 2 == 0))
             .select(
                 event,
+                "country",
                 F.concat_ws("-", "division", "department", "section").alias("node_id"),
                 F.lit(3).alias("level"),
                 F.lit(1).alias("enforce_calculation"),
@@ -333,9 +434,11 @@ class Retail:
             )
         )
         finest = (
-            p.filter(F.col("subgroup") == "50")
+            self.per_country(p)
+            .filter(F.col("subgroup") == F.when(F.length("country") % 2 == 0, "50").otherwise("49"))
             .select(
                 event,
+                "country",
                 F.concat_ws("-", "division", "department", "section", "grp", "subgroup").alias("node_id"),
                 F.lit(5).alias("level"),
                 F.lit(0).alias("enforce_calculation"),
@@ -347,18 +450,28 @@ class Retail:
 
     @cached_property
     def code_mapping(self) -> DataFrame:
-        """Stock-group code of each department, section and finest node; NULL = rolled up."""
+        """Stock-group code of each country's departments and finest nodes; NULL = rolled up."""
         p = self.products
         none = F.lit(None).cast("string")
-        department = p.groupBy("division", "department").agg(F.min(F.substring("code", 1, 4)).alias("sg_cd"))
-        finest = p.groupBy("division", "department", "section", "grp", "subgroup").agg(F.min("code").alias("sg_cd"))
+        low_high = F.when(F.length("country") % 2 == 0, F.col("low")).otherwise(F.col("high")).alias("sg_cd")
+        short = F.substring("code", 1, 4)
+        department = self.per_country(
+            p.groupBy("division", "department").agg(F.min(short).alias("low"), F.max(short).alias("high"))
+        )
+        finest = self.per_country(
+            p.groupBy("division", "department", "section", "grp", "subgroup").agg(
+                F.min("code").alias("low"), F.max("code").alias("high")
+            )
+        )
+        finest = finest.select("country", "division", "department", "section", "grp", "subgroup", low_high)
         return department.select(
+            "country",
             "division",
             "department",
             none.alias("section"),
             none.alias("grp"),
             none.alias("subgroup"),
-            "sg_cd",
+            low_high,
         ).unionByName(finest)
 
     @cached_property
@@ -406,7 +519,7 @@ class Retail:
         start, no_expiry = F.lit("200040"), F.lit(NO_EXPIRY_WEEK)
         by_product = self.day_shares(sales.withColumn("plan_code", F.col("code")), ["country", "store", "sku", "plan_code"])
         parts = [
-            tagged(by_product.filter(F.col("n_rows") >= 3), F.col("sku"), start, no_expiry, "SYSTEM", "PTP"),
+            tagged(by_product.filter(F.col("n_rows") != 2), F.col("sku"), start, no_expiry, "SYSTEM", "PTP"),
             tagged(
                 by_product.filter(F.col("n_rows") == 2).withColumn("plan_code", F.substring("plan_code", 1, 5)),
                 F.col("sku"), start, F.lit("200048"), "SYSTEM", "PTP",
@@ -414,7 +527,7 @@ class Retail:
         ]
         prefixes = F.array(*[F.substring("code", 1, n) for n in range(1, 6)])
         by_code = self.day_shares(
-            sales.withColumn("plan_code", F.explode(prefixes)), ["country", "store", "plan_code"], 3
+            sales.withColumn("plan_code", F.explode(prefixes)), ["country", "store", "plan_code"]
         )
         parts.append(tagged(by_code, F.lit(0), start, no_expiry, "SYSTEM", "PTP"))
         promoted = weekly.filter(F.col("qty_promo") > 0)
@@ -437,23 +550,24 @@ class Retail:
         """Weekday shares per store by department and section; '0' stands for all."""
         sales = self.daily_sales().join(self.products.select("sku", "department", "section"), "sku")
         zero = F.lit("0")
+        key = ["country", "store", "department", "section"]
         parts = [
-            self.day_shares(sales, ["store", "department", "section"], 20),
-            self.day_shares(sales.withColumn("section", zero), ["store", "department", "section"], 40),
-            self.day_shares(
-                sales.withColumn("section", zero).withColumn("department", zero), ["store", "department", "section"]
-            ),
+            self.day_shares(sales.filter(F.substring("department", 7, 10).cast("int") % 3 != 0), key),
+            self.day_shares(sales.withColumn("section", zero).filter(F.substring("department", 7, 10).cast("int") % 2 == 0), key),
+            self.day_shares(sales.withColumn("section", zero).withColumn("department", zero), key),
         ]
         return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("is_active", F.lit(1)).drop("n_rows")
 
     @cached_property
     def week_coefficients(self) -> DataFrame:
-        """Promo-week coefficients of each department and section."""
-        per_section = self.products.groupBy("department", "section").agg(F.count("*").alias("n"))
+        """Promo-week coefficients of each country's departments and sections."""
+        per_section = self.per_country(self.products.groupBy("department", "section").agg(F.count("*").alias("n")))
+        n = F.col("n") + F.length("country")
         return per_section.select(
+            "country",
             "department",
             "section",
-            *[(F.lit(1.0) - F.lit(0.0625) * ((F.col("n") + k) % 5)).alias(f"coef_w{k}") for k in range(1, 11)],
+            *[(F.lit(1.0) - F.lit(0.0625) * ((n + k) % 5)).alias(f"coef_w{k}") for k in range(1, 11)],
         )
 
     @cached_property
@@ -507,7 +621,6 @@ class Retail:
             explode_levels(sales.drop("sku", "store", "qty_promo", "qty_regular"))
             .groupBy("country", "level", "node_id", "store_cluster", F.col("sale_date").alias("iso_date"))
             .agg(F.sum("sales").alias("sales"))
-            .filter((F.col("level") == 1) | (F.col("sales") >= 40))
         )
         week = Window.partitionBy("country", "node_id", "store_cluster", week_monday(F.col("iso_date")))
         return per_day.select(
@@ -520,7 +633,7 @@ class Retail:
             (ratio(F.col("sales"), F.sum("sales").over(week)) * 100).alias("final_target"),
         )
 
-    def day_shares(self, sales: DataFrame, keys: list[str], min_rows: int = 1) -> DataFrame:
+    def day_shares(self, sales: DataFrame, keys: list[str]) -> DataFrame:
         """Per key, the percentage of its sales on each weekday (day_1..day_7)."""
         qty = F.col("qty_promo") + F.col("qty_regular")
         day = F.weekday("sale_date") + 1
@@ -531,7 +644,6 @@ class Retail:
                 F.sum(qty).alias("total"),
                 *[F.sum(F.when(day == n, qty)).alias(f"q{n}") for n in range(1, 8)],
             )
-            .filter(F.col("n_rows") >= min_rows)
             .select(
                 *keys,
                 "n_rows",

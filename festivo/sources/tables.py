@@ -23,6 +23,16 @@ def write_table(
     df.write.mode("overwrite").partitionBy(*partition_by).format(fmt).save(path)
 
 
+def write_partitions(df: DataFrame, path: str, keys: Sequence[str], fmt: str = "orc") -> None:
+    """Write a table of several runs: the partitions that ``df`` holds replace their predecessors, all others stay.
+
+    Spark writes the new files to a staging folder and moves them when the job commits, so a run that fails leaves the old
+    partitions in place, and running it again gives the same table.
+    """
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*keys).format(fmt).save(path)
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the session's checkpoint folder.
 
@@ -39,6 +49,11 @@ def staging_root(spark: SparkSession) -> str:
     return root
 
 
+def new_staging_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own for one staged table."""
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once and read it back.
 
@@ -46,6 +61,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     written table survives the loss of executors and keeps its column statistics.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
