@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from festivo.checks.calendar import open_grid
-from festivo.checks.promotions import select_columns, upload
+from festivo.checks.promotions import select_columns
 from festivo.checks.registry import ADDED, CFG, ONE_WEEK, REUPLOAD, SELECTED, register
+from festivo.checks.runs import upload
 from festivo.checks.views import DAYS, VIEWS
 from festivo.operators import allocation as A
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from festivo.checks.registry import CFG, EASTER, register
+from festivo.checks.runs import retail
 from festivo.checks.views import DAYS, VIEWS
 from festivo.config import HOURS_LABEL_SHIFTS, RunConfig
 from festivo.operators import calendar as C
@@ -16,7 +17,7 @@ DAY_SPEC = " ".join(f"day_{n}:i" for n in DAYS)
 
 
 def _fiscal_calendar(spark: SparkSession, root: str) -> DataFrame:
-    lines = Retail(spark, root, CFG).table("lineitem")
+    lines = retail(spark, root).table("lineitem")
     days = lines.groupBy(F.to_date("l_shipdate").alias("iso_date")).agg(F.count("*").alias("n_lines"))
     return C.fiscal_calendar(days, fold_week_53=True)
 
@@ -30,11 +31,11 @@ register(
 )
 
 
-def sold_controls(retail: Retail) -> DataFrame:
+def sold_controls(r: Retail) -> DataFrame:
     """Control rows for every country and division in all years with sales, and in the year after."""
     sold = (
-        retail.lines()
-        .join(retail.table("part"), F.col("p_partkey") == F.col("l_partkey"))
+        r.lines()
+        .join(r.table("part"), F.col("p_partkey") == F.col("l_partkey"))
         .select("country", F.col("p_type").alias("param"), F.year("l_shipdate").alias("sold"))
         .dropDuplicates()
         .select("country", "param", F.explode(F.array("sold", F.col("sold") + 1)).alias("year"))
@@ -42,8 +43,8 @@ def sold_controls(retail: Retail) -> DataFrame:
     )
     values = {**CONTROL_VALUES, "weeks_before": CFG.weeks_before, "weeks_after": CFG.weeks_after}
     text = {k: F.lit(str(v)) for k, v in values.items()}
-    day = retail.event_date(F.col("country"), F.col("param"), F.col("year"), range(1900, 2100))
-    return C.event_controls(sold.withColumn("event_date", day.cast("string")).withColumns(text), retail.calendar)
+    day = r.event_date(F.col("country"), F.col("param"), F.col("year"), range(1900, 2100))
+    return C.event_controls(sold.withColumn("event_date", day.cast("string")).withColumns(text), r.calendar)
 
 
 VIEWS["v_sold_controls"] = """
@@ -59,7 +60,7 @@ LEFT JOIN v_cal c ON c.weekday = 7 AND c.iso_date BETWEEN event_date + 7 AND eve
 
 
 def _shift_calendar(spark: SparkSession, root: str, cfg: RunConfig) -> DataFrame:
-    r = Retail(spark, root, cfg)
+    r = retail(spark, root, cfg)
     shift = C.shift_calendar(r.calendar, sold_controls(r))
     sales = (
         r.daily_sales()
@@ -73,7 +74,7 @@ def _shift_calendar(spark: SparkSession, root: str, cfg: RunConfig) -> DataFrame
 for _prefix, _cfg in (("", CFG), ("easter_", EASTER)):
     register(
         f"{_prefix}event_controls",
-        lambda spark, root, cfg=_cfg: sold_controls(Retail(spark, root, cfg)),
+        lambda spark, root, cfg=_cfg: sold_controls(retail(spark, root, cfg)),
         """SELECT country, param, year, event_date, year_week, year_week_from, year_week_to, date_from, date_to,
         0.625 AS c_uplift, 0.25 AS c_off_offset_uplift FROM v_sold_controls""",
         "country:s param:s year:i event_date:s year_week:s year_week_from:s year_week_to:s date_from:s date_to:s c_uplift:f "
@@ -97,7 +98,7 @@ for _prefix, _cfg in (("", CFG), ("easter_", EASTER)):
     )
     register(
         f"{_prefix}year_offset",
-        lambda spark, root, cfg=_cfg: C.year_offset(sold_controls(Retail(spark, root, cfg)), cfg.event_id),
+        lambda spark, root, cfg=_cfg: C.year_offset(sold_controls(retail(spark, root, cfg)), cfg.event_id),
         """SELECT a.country, a.param, a.year AS ly_year, a.year_week AS peak_year_week,
           CASE WHEN $event_id$ = 'EASTER' THEN 0 ELSE day(b.event_date) - day(a.event_date)
             + CASE WHEN a.year % 4 = 3 THEN 2 ELSE 1 END END AS days_shift,
@@ -109,7 +110,7 @@ for _prefix, _cfg in (("", CFG), ("easter_", EASTER)):
 
 
 def _holiday_week_pivot(spark: SparkSession, root: str) -> DataFrame:
-    r = Retail(spark, root, CFG)
+    r = retail(spark, root)
     sold = r.lines().select("country", F.col("sale_date").alias("holiday_date")).dropDuplicates()
     holidays = sold.join(r.holidays, ["country", "holiday_date"], "left_semi")
     return C.holiday_week_pivot(r.folded_calendar, holidays, ("country",))
@@ -155,7 +156,7 @@ VIEWS["v_open"] = open_grid("SELECT * FROM v_hours_delivered")
 
 
 def _open_day_grid(spark: SparkSession, root: str) -> DataFrame:
-    r = Retail(spark, root, CFG)
+    r = retail(spark, root)
     return UploadRun(r, r.spark.range(0), r.stores, r.trading_hours).open_days
 
 
@@ -168,7 +169,7 @@ register(
 
 
 def _fy_calendar_grid(spark: SparkSession, root: str, cfg: RunConfig) -> DataFrame:
-    r = Retail(spark, root, cfg)
+    r = retail(spark, root, cfg)
     nodes = (
         r.daily_sales()
         .join(r.products, "sku")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from festivo.checks.registry import CFG, SCALED_GATES, register
-from festivo.checks.sales import model, register_runs
+from festivo.checks.runs import model, retail
+from festivo.checks.sales import register_runs
 from festivo.checks.views import NODE, VIEWS
 from festivo.operators import rollup as R, series as T
-from festivo.sources.retail import Retail
 
 LEVELS = ["division", "department", "section", "grp", "subgroup"]
 KEY = "level, country, node_id, store_cluster"
@@ -155,7 +155,7 @@ register_runs(
 
 
 def _forward_ratio(spark: SparkSession, root: str) -> DataFrame:
-    r = Retail(spark, root, CFG)
+    r = retail(spark, root)
     series = (
         r.daily_sales()
         .join(r.products.select("sku", "division"), "sku")
@@ -179,7 +179,7 @@ register(
 
 
 def _moving_average(spark: SparkSession, root: str) -> DataFrame:
-    events = Retail(spark, root, CFG).table("events")
+    events = retail(spark, root).table("events")
     series = events.groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum("value").alias("sales"))
     return T.centered_moving_average(series, ["event_type"], ["day"])
 

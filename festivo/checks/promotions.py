@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from festivo.checks.registry import ADDED, CFG, register
+from festivo.checks.runs import retail, upload
 from festivo.checks.views import DAYS, VIEWS
 from festivo.operators import promotions as P
-from festivo.plans.upload import UploadRun
-from festivo.sources.retail import Retail
-from festivo.sources.tables import stage
 
 PROMO = "country:s promo_code:i sku:i promo_start:s promo_end:s"
 
 
-def upload(spark: SparkSession, root: str, cfg=CFG) -> UploadRun:
-    """Upload run over the stand-in targets and clusters."""
-    r = Retail(spark, root, cfg)
-    return UploadRun(r, stage(r.event_targets, "targets"), r.sales_clusters, r.this_week_hours)
-
-
 def select_columns(prefix: str, suffix: str = "i") -> str:
     return " ".join(f"{prefix}{n}:{suffix}" for n in DAYS)
 
@@ -42,7 +34,7 @@ DEPARTMENTS, SECTIONS = (103, 107, 112, 5, 9, 21), (4, 17, 33)
 
 
 def _dual(spark: SparkSession, root: str) -> DataFrame:
-    r = Retail(spark, root, CFG)
+    r = retail(spark, root)
     return P.product_dual_hierarchy(r.reporting_hierarchy, r.second_hierarchy, DEPARTMENTS, SECTIONS)
 
 
@@ -59,7 +51,7 @@ register(
 
 
 def _zones(spark: SparkSession, root: str) -> DataFrame:
-    r = Retail(spark, root, CFG)
+    r = retail(spark, root)
     return P.store_zone_link(r.store_sites, r.zones)
 
 
@@ -132,7 +124,7 @@ _leaflets = ", ".join(
 VIEWS["v_leaflets"] = f"SELECT *, {_leaflets} FROM v_promo_weeks"
 register(
     "leaflet_parse",
-    lambda spark, root: P.leaflet_parse(Retail(spark, root, CFG).promos),
+    lambda spark, root: P.leaflet_parse(retail(spark, root).promos),
     "SELECT * FROM v_leaflets",
     PROMO + " " + " ".join(f"leaflet_{k}:s" for k in range(1, 11)),
 )
@@ -146,7 +138,7 @@ VIEWS["v_leaflet_weeks"] = "SELECT *, " + ", ".join(
 ) + " FROM v_leaflets"
 register(
     "leaflet_week_flags",
-    lambda spark, root: P.leaflet_week_flags(P.leaflet_parse(Retail(spark, root, CFG).promos)),
+    lambda spark, root: P.leaflet_week_flags(P.leaflet_parse(retail(spark, root).promos)),
     "SELECT * FROM v_leaflet_weeks",
     PROMO + " " + " ".join(f"leaflet_w{n}:i" for n in range(1, 11)),
 )

@@ -32,7 +32,7 @@ CFG = RunConfig(
 # The other kinds of run that queries are registered for.
 EASTER = replace(CFG, event_id="EASTER", as_of=date(2000, 3, 1), base_weeks=("199905", "199906", "199907"))
 SELECTED = replace(CFG, departments=(103, 107, 112, 118, 124, 5, 9, 21, 33), excluded_sections=(4, 17, 33))
-ONE_WEEK = replace(CFG, promo_week="199950")
+ONE_WEEK = replace(CFG, promo_week="200049")
 REUPLOAD = replace(ONE_WEEK, week_reupload=True)
 ADDED = replace(CFG, added_promotions=True)
 DECIMALS = 4

@@ -196,9 +196,10 @@ VIEWS["v_flags"] = " UNION ALL ".join(
 SELECT country, store, store + 1001 AS store_number, sku, year_week,
   {", ".join(f"max(CASE WHEN wd = {n} THEN step END) AS step_{n}" for n in DAYS)},
   {", ".join(f"CASE WHEN coalesce(max(CASE WHEN wd = {n} THEN step END), '') IN ('P', 'B') THEN 1 ELSE 0 END AS promo_{n}" for n in DAYS)}
-FROM (SELECT country, store, l_partkey + 1 AS sku, c.year_week, isodow(sale_date) AS wd,
+FROM (SELECT country, store, l_partkey + 1 AS sku, c.year_week, c.weekday AS wd,
         CASE WHEN l_discount >= 0.05 THEN CASE WHEN l_linestatus = 'O' THEN 'P' ELSE 'B' END ELSE 'N' END AS step
-      FROM v_lines JOIN v_fcal c ON c.iso_date = sale_date WHERE l_returnflag = '{flag}')
+      FROM v_lines JOIN orders ON o_orderkey = l_orderkey JOIN v_fcal c ON c.iso_date = CAST(o_orderdate AS DATE)
+      WHERE l_returnflag = '{flag}')
 GROUP BY country, store, sku, year_week"""
     for flag in ("A", "N", "R")
 )
@@ -234,9 +235,10 @@ FROM v_stores"""
 
 _levels = ["division", "department", "section", "grp", "subgroup"]
 VIEWS["v_event_sales"] = """
-SELECT d.*, n.* EXCLUDE (sku), store_cluster, qty_promo + qty_regular AS sales
+SELECT d.country, sale_date, n.*, store_cluster, qty_promo + qty_regular AS sales
 FROM v_daily d JOIN v_nodes n USING (sku) JOIN v_default_clusters USING (country, store)
-WHERE datediff('day', make_date(CAST(year(sale_date) AS INTEGER), 12, 24), sale_date) BETWEEN -27 AND 7"""
+JOIN (SELECT country, param, date_from, date_to FROM v_controls WHERE year = $fy$) k
+  ON k.country = d.country AND k.param = n.division AND sale_date BETWEEN date_from AND date_to"""
 VIEWS["v_targets"] = f"""
 SELECT country, node_id, iso_date, store_cluster, CASE WHEN level = 3 THEN 'USER' ELSE 'SYSTEM' END AS target_type,
   sales / nullif(sum(sales) OVER (PARTITION BY country, node_id, store_cluster,

@@ -316,21 +316,23 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
     )
 
 
-def dated_promotions(
-    promos: DataFrame, products: DataFrame, codes: DataFrame, calendar: DataFrame, cfg: RunConfig
-) -> DataFrame:
-    """Distinct promotions of the chosen week with their weeks, product, code, node ids and leaflet flags.
+def dated_promotions(promos: DataFrame, products: DataFrame, calendar: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Distinct promotions of the chosen week with their weeks and product: one row per promotion, product and country."""
+    promotion = promos.select(*PROMO_KEY, "leaflet_dates").dropDuplicates()
+    return week_filter(promo_weeks(promotion, calendar), cfg).join(products.drop("code"), "sku")
+
+
+def described_promotions(dated: DataFrame, codes: DataFrame) -> DataFrame:
+    """Promotions with duration, code, node ids and leaflet flags: worked out for those that an event reaches.
 
-    One row per promotion, product and country: stores come in later, and only for what an event reaches.
     ``codes``: country, sku, code; a product without one keeps its row.
     """
-    promotion = promos.select(*PROMO_KEY, "leaflet_dates").dropDuplicates()
-    dated = week_filter(promo_weeks(promotion, calendar), cfg).join(products.drop("code"), "sku")
     coded = dated.join(codes.select("country", "sku", "code"), ["country", "sku"], "left")
     ids = [
         node_id([F.col(c) for c in LEVELS[:depth]]).alias(f"node_{level}")
         for depth, level in enumerate(LEVELS, start=1)
     ]
+    kept = [c for c in dated.columns if c not in (*PROMO_KEY, *LEVELS, "start_week", "end_week", "start_weekday", "leaflet_dates")]
     return leaflet_week_flags(leaflet_parse(coded)).select(
         *PROMO_KEY,
         "start_week",
@@ -341,6 +343,7 @@ def dated_promotions(
         "code",
         *ids,
         *[f"leaflet_w{n}" for n in range(1, PROMO_WEEKS + 1)],
+        *kept,
     )
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from festivo.config import RunConfig
+from festivo.functions.expressions import any_of
 from festivo.operators.blending import (
     blend_uplift,
     coefficient_select,
@@ -69,10 +71,22 @@ class ModelRun:
         One staged set of day spans serves clustering, base weeks, event weeks and the
         normalisation years; the spans come from the dated controls and reach the scan as filters.
         """
+        return stage(self.retail.daily_sales(self.spans), "daily_sales")
+
+    @cached_property
+    def spans(self) -> list[tuple[date, date]]:
+        """First and last day of every stretch of sales that the run looks at."""
         cfg = self.cfg
         spans = event_spans(self.retail.controls, cfg.ly_year, (*cfg.norm_years, cfg.ly_year))
         last_year = (cfg.base_monday, spans[cfg.ly_year][1])
-        return stage(self.retail.daily_sales([*base_day_spans(cfg), *spans.values(), last_year]), "daily_sales")
+        return [*base_day_spans(cfg), *spans.values(), last_year]
+
+    @cached_property
+    def depth(self) -> DataFrame:
+        """Promotions that run on any of those days, with their savings."""
+        promos = self.retail.promos
+        runs = [(promos.promo_start <= F.lit(high)) & (promos.promo_end >= F.lit(low)) for low, high in self.spans]
+        return promo_discount_depth(promos.filter(any_of(runs)))
 
     @cached_property
     def timeline(self) -> DataFrame:
@@ -105,7 +119,7 @@ class ModelRun:
     def adjusted(self) -> DataFrame:
         r = self.retail
         return promo_adjusted_sales(
-            self.sales, r.products, r.coef_section, r.coef_department, r.coef_division, promo_discount_depth(r.promos)
+            self.sales, r.products, r.coef_section, r.coef_department, r.coef_division, self.depth
         )
 
     @cached_property

@@ -30,6 +30,7 @@ from festivo.operators.promotions import (
     added_filter,
     added_promos,
     dated_promotions,
+    described_promotions,
     early_start_shift,
     eligible_stores,
     event_scope,
@@ -118,12 +119,12 @@ class UploadRun:
     def promotions(self) -> DataFrame:
         """Promotions of the chosen products and week, before stores multiply them."""
         r = self.retail
-        return dated_promotions(r.promos, self.products, self.codes, r.folded_calendar, self.cfg)
+        return dated_promotions(r.promos, self.products, r.folded_calendar, self.cfg)
 
     @cached_property
     def all_base(self) -> DataFrame:
         """Every promotion in every store that sells, whatever the event."""
-        return promo_store_base(self.promotions, self.stores, self.clusters)
+        return promo_store_base(described_promotions(self.promotions, self.codes), self.stores, self.clusters)
 
     @cached_property
     def zones(self) -> DataFrame:
@@ -143,7 +144,8 @@ class UploadRun:
     @cached_property
     def base(self) -> DataFrame:
         """Promotions that the event can reach, with their stores: the scope comes first, then the stores."""
-        near = promo_store_base(within_reach(self.promotions, self.scope), self.stores, self.clusters)
+        reached = described_promotions(within_reach(self.promotions, self.scope), self.codes)
+        near = promo_store_base(reached, self.stores, self.clusters)
         return early_start_shift(added_filter(near, self.added, self.cfg), self.cfg.early_start_stores)
 
     @cached_property
@@ -184,16 +186,17 @@ class UploadRun:
     @cached_property
     def plans(self) -> DataFrame:
         """System and user plans of every promotion and store in scope."""
-        plan = stage(self.plan, "day_plan")
         keys = ["country", "store", "sku", "code", "promo_start", "promo_end", "start_week", "end_week"]
-        with_plan = prefix_fallback_lookup(self.in_scope.select(*keys).dropDuplicates(), plan)
+        with_plan = prefix_fallback_lookup(self.in_scope.select(*keys).dropDuplicates(), self.plan)
         flags = self.flags if self.cfg.added_promotions else None
-        return plan_lookup_start_end(with_plan, plan, flags, self.cfg)
+        return plan_lookup_start_end(with_plan, self.plan, flags, self.cfg)
 
     @cached_property
     def final(self) -> DataFrame:
+        """Week rows behind both the upload and its audit, written once."""
         filled = week_edge_backfill(self.wide, self.plans)
-        return latest_promo_per_week(holiday_override_wide(filled, self.holiday_weeks, ("country",)), self.cfg)
+        overridden = holiday_override_wide(filled, self.holiday_weeks, ("country",))
+        return stage(latest_promo_per_week(overridden, self.cfg), "final")
 
     @cached_property
     def upload(self) -> DataFrame:

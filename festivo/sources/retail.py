@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from festivo.config import MOVABLE_EVENT, NO_EXPIRY_WEEK, RunConfig
-from festivo.functions.expressions import any_of, month_day, ratio, week_monday, year_week
-from festivo.operators.calendar import event_controls, fiscal_calendar
+from festivo.functions.expressions import any_of, month_day, ratio, total_of, week_monday, year_week
+from festivo.operators.calendar import event_controls, fiscal_calendar, fy_event_days
 from festivo.operators.events import control_rows, easter_sunday
 from festivo.operators.rollup import explode_levels
 from festivo.sources.snapshots import SNAPSHOT, SnapshotTable
@@ -216,8 +216,16 @@ class Retail:
     def daily_sales(self, spans: Sequence[tuple[date, date]] = ()) -> DataFrame:
         """Sales fact: one row per country, store, product and day.
 
-        Aggregated before any product join, so counting products later is counting rows.
+        Aggregated before any product join, so counting products later is counting rows. Without day spans it is the whole
+        history, written once for all inputs derived from it.
         """
+        return self.summed_by_day(spans) if spans else self.all_sales
+
+    @cached_property
+    def all_sales(self) -> DataFrame:
+        return stage(self.summed_by_day(()), "all_sales")
+
+    def summed_by_day(self, spans: Sequence[tuple[date, date]]) -> DataFrame:
         promo = F.col("l_discount") >= PROMO_DISCOUNT
         return (
             self.lines(spans)
@@ -230,7 +238,11 @@ class Retail:
 
     @cached_property
     def promos(self) -> DataFrame:
-        """Promotions: one row per order, product and country, with interval and prices."""
+        """Promotions: one row per order, product and country, with interval and prices; written once for all readers."""
+        return stage(self.priced_orders, "promos")
+
+    @property
+    def priced_orders(self) -> DataFrame:
         orders = self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("promo_start")
         )
@@ -476,10 +488,12 @@ class Retail:
 
     @cached_property
     def extracts(self) -> list[DataFrame]:
-        """Three supplier extracts of step codes per store, product and week, by return flag."""
+        """Three supplier extracts of step codes per store, product and week of the order, by return flag."""
+        orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("step_date"))
         week = year_week(F.col("fiscal_year"), F.col("fiscal_week"))
         code = F.when(F.col("l_discount") >= PROMO_DISCOUNT, F.when(F.col("l_linestatus") == "O", "P").otherwise("B"))
-        rows = fiscal_calendar(self.lines(), "sale_date").withColumn("step", F.coalesce(code, F.lit("N")))
+        lines = self.lines().join(orders, "l_orderkey")
+        rows = fiscal_calendar(lines, "step_date").withColumn("step", F.coalesce(code, F.lit("N")))
         return [
             rows.filter(F.col("l_returnflag") == flag)
             .groupBy(
@@ -497,66 +511,54 @@ class Retail:
     def day_plan(self) -> DataFrame:
         """Day plans: system plans by code prefix and product, user plans by week."""
         sales = self.daily_sales().join(self.products.select("sku", "code"), "sku")
-        weekly = fiscal_calendar(sales, "sale_date").withColumn(
-            "plan_week", year_week(F.col("fiscal_year"), F.col("fiscal_week"))
-        )
         columns = [
             "country", "store", "plan_sku", "plan_code", "plan_week", "next_calc_week", "updated_by", "kind",
             *[f"day_{n}" for n in range(1, 8)],
         ]
 
-        def tagged(rows: DataFrame, sku: Column, week: Column, following: Column, by: str, kind: str) -> DataFrame:
-            return rows.withColumns(
-                {
-                    "plan_sku": sku.cast("bigint"),
-                    "plan_week": week,
-                    "next_calc_week": following,
-                    "updated_by": F.lit(by),
-                    "kind": F.lit(kind),
-                }
-            ).select(*columns)
+        def tagged(sums: DataFrame, sku: Column, code: Column, week: Column, following: Column, by: str, kind: str) -> DataFrame:
+            named = {
+                "plan_sku": sku.cast("bigint"),
+                "plan_code": code,
+                "plan_week": week,
+                "next_calc_week": following,
+                "updated_by": F.lit(by),
+                "kind": F.lit(kind),
+            }
+            return shares(sums).withColumns(named).select(*columns)
 
         start, no_expiry = F.lit("200040"), F.lit(NO_EXPIRY_WEEK)
-        by_product = self.day_shares(sales.withColumn("plan_code", F.col("code")), ["country", "store", "sku", "plan_code"])
+        place = ["country", "store"]
+        sold_once = F.col("n_rows") == 2
+        by_product = weekday_sums(sales, [*place, "sku", "code"])
+        code = F.when(sold_once, F.substring("code", 1, 5)).otherwise(F.col("code"))
+        following = F.when(sold_once, F.lit("200048")).otherwise(no_expiry)
+        prefixes = F.explode(F.array(*[F.substring("code", 1, n) for n in range(1, 6)])).alias("prefix")
+        by_code = add_up(weekday_sums(sales, [*place, "code"]).select("*", prefixes), [*place, "prefix"])
+        week = year_week(F.col("fiscal_year"), F.col("fiscal_week"))
+        weekly = fiscal_calendar(sales.filter(F.col("qty_promo") > 0), "sale_date").withColumn("week", week)
+        product_weeks = weekday_sums(weekly, [*place, "sku", "code", "week"])
+        both = F.explode(F.array(F.substring("code", 1, 5), F.substring("code", 1, 4))).alias("prefix")
+        code_weeks = add_up(add_up(product_weeks, [*place, "code", "week"]).select("*", both), [*place, "prefix", "week"])
         parts = [
-            tagged(by_product.filter(F.col("n_rows") != 2), F.col("sku"), start, no_expiry, "SYSTEM", "PTP"),
-            tagged(
-                by_product.filter(F.col("n_rows") == 2).withColumn("plan_code", F.substring("plan_code", 1, 5)),
-                F.col("sku"), start, F.lit("200048"), "SYSTEM", "PTP",
-            ),
-        ]
-        prefixes = F.array(*[F.substring("code", 1, n) for n in range(1, 6)])
-        by_code = self.day_shares(
-            sales.withColumn("plan_code", F.explode(prefixes)), ["country", "store", "plan_code"]
-        )
-        parts.append(tagged(by_code, F.lit(0), start, no_expiry, "SYSTEM", "PTP"))
-        promoted = weekly.filter(F.col("qty_promo") > 0)
-        product_weeks = self.day_shares(
-            promoted.withColumn("plan_code", F.col("code")), ["country", "store", "sku", "plan_code", "plan_week"]
-        )
-        parts.append(tagged(product_weeks, F.col("sku"), F.col("plan_week"), no_expiry, "USER", "PTG"))
-        code_weeks = self.day_shares(
-            promoted.withColumn("plan_code", F.explode(F.array(F.substring("code", 1, 5), F.substring("code", 1, 4)))),
-            ["country", "store", "plan_code", "plan_week"],
-        )
-        parts.append(tagged(code_weeks, F.lit(0), F.col("plan_week"), no_expiry, "USER", "PTG"))
-        plan = parts[0]
-        for part in parts[1:]:
-            plan = plan.unionByName(part)
-        return plan
+            tagged(by_product, F.col("sku"), code, start, following, "SYSTEM", "PTP"),
+            tagged(by_code, F.lit(0), F.col("prefix"), start, no_expiry, "SYSTEM", "PTP"),
+            tagged(product_weeks, F.col("sku"), F.col("code"), F.col("week"), no_expiry, "USER", "PTG"),
+            tagged(code_weeks, F.lit(0), F.col("prefix"), F.col("week"), no_expiry, "USER", "PTG"),
+        ]
+        return reduce(DataFrame.unionByName, parts)
 
     @cached_property
     def weekday_values(self) -> DataFrame:
         """Weekday shares per store by department and section; '0' stands for all."""
         sales = self.daily_sales().join(self.products.select("sku", "department", "section"), "sku")
-        zero = F.lit("0")
+        zero, brand = F.lit("0"), F.substring("department", 7, 10).cast("int")
         key = ["country", "store", "department", "section"]
-        parts = [
-            self.day_shares(sales.filter(F.substring("department", 7, 10).cast("int") % 3 != 0), key),
-            self.day_shares(sales.withColumn("section", zero).filter(F.substring("department", 7, 10).cast("int") % 2 == 0), key),
-            self.day_shares(sales.withColumn("section", zero).withColumn("department", zero), key),
-        ]
-        return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("is_active", F.lit(1)).drop("n_rows")
+        sections = weekday_sums(sales, key)
+        departments = add_up(sections.filter(brand % 2 == 0).withColumn("section", zero), key)
+        overall = add_up(sections.withColumn("section", zero).withColumn("department", zero), key)
+        rows = shares(sections.filter(brand % 3 != 0).unionByName(departments).unionByName(overall))
+        return rows.select(*key, *[f"day_{n}" for n in range(1, 8)], F.lit(1).alias("is_active"))
 
     @cached_property
     def week_coefficients(self) -> DataFrame:
@@ -607,13 +609,13 @@ class Retail:
 
     @cached_property
     def event_targets(self) -> DataFrame:
-        """Targets around each year's event: day shares of each level's sales; sections by hand."""
-        day = F.col("sale_date")
-        offset = F.datediff(day, F.make_date(F.year(day), F.lit(12), F.lit(24)))
+        """Targets of this year's event days: day shares of each level's sales; sections by hand."""
+        days = fy_event_days(self.controls.filter(F.col("year") == self.cfg.fy_year))
+        days = days.select("country", F.col("param").alias("division"), F.col("iso_date").alias("sale_date"))
         sales = (
             self.daily_sales()
-            .filter(offset.between(-27, 7))
             .join(self.products.drop("code"), "sku")
+            .join(days, ["country", "division", "sale_date"])
             .join(self.default_clusters, ["country", "store"])
             .withColumn("sales", F.col("qty_promo") + F.col("qty_regular"))
         )
@@ -633,23 +635,25 @@ class Retail:
             (ratio(F.col("sales"), F.sum("sales").over(week)) * 100).alias("final_target"),
         )
 
-    def day_shares(self, sales: DataFrame, keys: list[str]) -> DataFrame:
-        """Per key, the percentage of its sales on each weekday (day_1..day_7)."""
-        qty = F.col("qty_promo") + F.col("qty_regular")
-        day = F.weekday("sale_date") + 1
-        return (
-            sales.groupBy(*keys)
-            .agg(
-                F.count("*").alias("n_rows"),
-                F.sum(qty).alias("total"),
-                *[F.sum(F.when(day == n, qty)).alias(f"q{n}") for n in range(1, 8)],
-            )
-            .select(
-                *keys,
-                "n_rows",
-                *[ratio(F.col(f"q{n}") * 100.0, F.col("total")).alias(f"day_{n}") for n in range(1, 8)],
-            )
-        )
+
+def weekday_sums(sales: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key the number of rows and the quantity on each weekday (q1..q7)."""
+    qty = F.col("qty_promo") + F.col("qty_regular")
+    day = F.weekday("sale_date") + 1
+    return sales.groupBy(*keys).agg(
+        F.count("*").alias("n_rows"), *[F.sum(F.when(day == n, qty)).alias(f"q{n}") for n in range(1, 8)]
+    )
+
+
+def add_up(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """Weekday sums of a coarser key."""
+    return sums.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("n_rows", *[f"q{n}" for n in range(1, 8)])])
+
+
+def shares(sums: DataFrame) -> DataFrame:
+    """Weekday sums as percentages of the key's total (day_1..day_7)."""
+    total = total_of([F.col(f"q{n}") for n in range(1, 8)])
+    return sums.withColumns({f"day_{n}": ratio(F.col(f"q{n}") * 100.0, total) for n in range(1, 8)})
 
 
 def leaflet_text(start: Column, sku: Column, code: Column) -> Column:

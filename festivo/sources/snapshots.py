@@ -21,7 +21,7 @@ class SnapshotTable:
 
     def deliver(self, rows: DataFrame) -> SnapshotTable:
         """Write the days that ``rows`` holds; a day delivered again replaces that day alone."""
-        writer = rows.repartition(SNAPSHOT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(SNAPSHOT).parquet(self.root)
         return self
 
