@@ -27,7 +27,7 @@ def test_week_53_folds_into_next_year(spark):
 def controls(spark, event_days: list[date]):
     row = {"weeks_before": "2", "weeks_after": "1", "offset_from": "-5", "offset_to": "0"}
     row |= {"offset2_from": "1", "offset2_to": "2", **{c: "0.5" for c in C.COEFFICIENTS}}
-    data = [{"param": "d", "year": str(d.year), "event_date": d.isoformat(), **row} for d in event_days]
+    data = [{"country": "X", "param": "d", "year": str(d.year), "event_date": d.isoformat(), **row} for d in event_days]
     return spark.createDataFrame(data)
 
 
