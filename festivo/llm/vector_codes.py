@@ -86,7 +86,7 @@ class Codebook:
             walking = walking[np.argsort(current[walking], kind="stable")]
             begins = np.flatnonzero(np.diff(current[walking], prepend=-1))
             jumped = []
-            for begin, end in zip(begins, [*begins[1:], len(walking)], strict=True):
+            for begin, end in zip(begins, np.append(begins, len(walking))[1:], strict=True):
                 rows = walking[begin:end]
                 at, reach = current[rows[0]], 4 * distance[rows]
                 stop = int(np.searchsorted(self.gaps[at], reach.max(), side="right"))
