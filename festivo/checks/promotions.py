@@ -152,7 +152,7 @@ VIEWS["v_all_base"] = """
 SELECT DISTINCT p.country, promo_code, p.sku, promo_start, promo_end, start_week, end_week, start_weekday,
   datediff('day', promo_start, promo_end) + 1 AS promo_duration, s.store, store_number,
   coalesce(c.store_cluster, IF(format = 'HM', 'Large-Moderate', 'Small-Moderate')) AS store_cluster,
-  n.* EXCLUDE (sku, code), d.code, leaflet_w1, leaflet_w2, leaflet_w3, leaflet_w4, leaflet_w5, leaflet_w6, leaflet_w7, leaflet_w8,
+  n.* EXCLUDE (sku, code, description), CAST(contains(description, 'I/O') AS INTEGER) AS in_out_check, d.code, leaflet_w1, leaflet_w2, leaflet_w3, leaflet_w4, leaflet_w5, leaflet_w6, leaflet_w7, leaflet_w8,
   leaflet_w9, leaflet_w10
 FROM v_leaflet_weeks p JOIN v_chosen_products USING (sku) JOIN v_nodes n ON n.sku = p.sku
 LEFT JOIN v_codes d ON d.country = p.country AND d.sku = p.sku JOIN v_selling_stores s ON s.country = p.country
@@ -162,7 +162,7 @@ register(
     "promo_store_base",
     lambda spark, root: upload(spark, root).all_base,
     "SELECT * FROM v_all_base",
-    _base + " start_week:s end_week:s store_cluster:s code:s node_subgroup:s node_department:s leaflet_w1:i leaflet_w2:i",
+    _base + " start_week:s end_week:s store_cluster:s code:s node_subgroup:s node_department:s in_out_check:i leaflet_w1:i leaflet_w2:i",
 )
 
 VIEWS["v_early"] = """

@@ -10,6 +10,7 @@ VIEWS: dict[str, str] = {}
 VIEWS["v_products"] = """
 SELECT p_partkey + 1 AS sku, p_type AS division, p_brand AS department, split_part(p_name, ' ', 1) AS section,
   split_part(p_name, ' ', 2) AS grp, CAST(p_size AS VARCHAR) AS subgroup,
+  p_name || IF(p_size % 10 = 0, ' I/O', '') AS description,
   substr(p_type, 1, 2) || lpad(substr(p_brand, 7), 2, '0') || lpad(CAST(p_size AS VARCHAR), 2, '0') AS code
 FROM part"""
 

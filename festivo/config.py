@@ -42,6 +42,7 @@ PLACEHOLDER_COUNTRY = "XX"
 GAP_FILL_SOURCE_DATE = date(1900, 1, 1)
 WEEKDAY_NAMES = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
 PROMO_WEEKS = 10
+IN_OUT_MARK = "I/O"
 LEAFLET_DATES = 10
 EXCLUDED_DEPARTMENTS = ("0011", "0012", "0014")
 PARTLY_EXCLUDED_DEPARTMENT = "0012"

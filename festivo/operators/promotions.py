@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from festivo.config import (
     EARLY_START_WEEKDAYS,
+    IN_OUT_MARK,
     LEAFLET_DATES,
     LEVELS,
     NO_EXPIRY_WEEK,
@@ -180,18 +181,18 @@ def eligible_stores(stores: DataFrame, as_of: date) -> DataFrame:
 
 
 def leaflet_parse(promos: DataFrame, text: str = "leaflet_dates") -> DataFrame:
-    """Comma list of up to ten leaflet dates to ten date columns; bad or missing parts are NULL."""
+    """Comma list of leaflet dates to an array of all of them and ten date columns; bad or missing parts are NULL."""
     dates = F.transform(F.split(F.col(text), ","), lambda part: F.substring(part, 1, 10).try_cast("date"))
     return promos.withColumn("leaflets", dates).select(
         *promos.columns,
+        "leaflets",
         *[F.get("leaflets", F.lit(i)).alias(f"leaflet_{i + 1}") for i in range(LEAFLET_DATES)],
     )
 
 
 def leaflet_week_flags(parsed: DataFrame) -> DataFrame:
-    """For promo weeks 1 to 10: 1 when some leaflet date falls in that week of the promotion."""
-    dates = F.array(*[F.col(f"leaflet_{i}") for i in range(1, LEAFLET_DATES + 1)])
-    weeks = F.transform(dates, lambda d: F.floor(F.datediff(d, F.col("promo_start")) / 7) + 1)
+    """For promo weeks 1 to 10: 1 when any leaflet date, however many are listed, falls in that week of the promotion."""
+    weeks = F.transform("leaflets", lambda d: F.floor(F.datediff(d, F.col("promo_start")) / 7) + 1)
     rows = parsed.withColumn("leaflet_weeks", weeks)
     flags = [
         F.when(F.array_contains("leaflet_weeks", F.lit(n).cast("bigint")), 1).otherwise(0).alias(f"leaflet_w{n}")
@@ -317,9 +318,14 @@ def plan_lookup_start_end(base: DataFrame, plan: DataFrame, flags: DataFrame | N
 
 
 def dated_promotions(promos: DataFrame, products: DataFrame, calendar: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Distinct promotions of the chosen week with their weeks and product: one row per promotion, product and country."""
+    """Distinct promotions of the chosen week with their weeks and product: one row per promotion, product and country.
+
+    ``in_out_check`` marks products whose description says that they are in and out of the range.
+    """
     promotion = promos.select(*PROMO_KEY, "leaflet_dates").dropDuplicates()
-    return week_filter(promo_weeks(promotion, calendar), cfg).join(products.drop("code"), "sku")
+    in_out = (F.instr("description", IN_OUT_MARK) > 0).cast("int").alias("in_out_check")
+    marked = products.select("sku", *LEVELS, F.coalesce(in_out, F.lit(0)).alias("in_out_check"))
+    return week_filter(promo_weeks(promotion, calendar), cfg).join(marked, "sku")
 
 
 def described_promotions(dated: DataFrame, codes: DataFrame) -> DataFrame:

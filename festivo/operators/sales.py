@@ -98,7 +98,7 @@ def promo_adjusted_sales(
     flat_factor = F.coalesce(F.col("coef_zero").cast("double"), F.lit(0.0))
     return (
         sales.join(cover, ["country", "sku", "sale_date"], "left")
-        .join(products.drop("code"), "sku")
+        .join(products.select("sku", *LEVELS), "sku")
         .join(coef_department, ["country", "department"])
         .join(coef_section, ["country", "department", "section"], "left")
         .join(coef_division, ["country", "division"], "left")

@@ -72,6 +72,7 @@ class Retail:
             F.get(words, F.lit(0)).alias("section"),
             F.get(words, F.lit(1)).alias("grp"),
             F.col("p_size").cast("string").alias("subgroup"),
+            F.concat("p_name", F.when(F.col("p_size") % 10 == 0, " I/O").otherwise("")).alias("description"),
             F.concat(
                 F.substring("p_type", 1, 2),
                 F.lpad(brand, 2, "0"),
@@ -614,7 +615,7 @@ class Retail:
         days = days.select("country", F.col("param").alias("division"), F.col("iso_date").alias("sale_date"))
         sales = (
             self.daily_sales()
-            .join(self.products.drop("code"), "sku")
+            .join(self.products.drop("code", "description"), "sku")
             .join(days, ["country", "division", "sale_date"])
             .join(self.default_clusters, ["country", "store"])
             .withColumn("sales", F.col("qty_promo") + F.col("qty_regular"))

@@ -94,6 +94,9 @@ def test_leaflets(spark):
     assert out[1].leaflet_3 is None and out[1].leaflet_4 == date(2000, 3, 8) and out[1].leaflet_10 is None
     assert [n for n in range(1, 11) if out[1][f"leaflet_w{n}"]] == [1, 2, 10]
     assert not any(out[2][f"leaflet_w{n}"] for n in range(1, 11))
+    many = spark.createDataFrame([(start, ",".join(["2000-03-02"] * 11 + ["2000-03-20"]))], "promo_start date, leaflet_dates string")
+    flags = P.leaflet_week_flags(P.leaflet_parse(many)).first()
+    assert [n for n in range(1, 11) if flags[f"leaflet_w{n}"]] == [1, 3]
 
 
 def test_latest_snapshot_keeps_ties(spark):
