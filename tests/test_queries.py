@@ -16,7 +16,11 @@ import __spark_entry__ as entry
 from festivo.checks import all_checks
 
 ROOT = "/root/testdata/sf0.001"
-QUICK = ("fiscal_calendar", "holiday_week_pivot", "promo_adjusted_sales", "store_shape_cluster", "leaflet_week_flags", "weekday_pivot")
+QUICK = (
+    "fiscal_calendar", "holiday_week_pivot", "easter_shift_calendar", "open_day_grid", "promo_adjusted_sales", "store_shape_cluster",
+    "hierarchy_rollup", "leaflet_week_flags", "eligible_stores", "latest_snapshot", "added_filter", "event_scope_filter",
+    "prefix_fallback_lookup", "weekday_pivot", "closed_day_redistribution", "scope_audit",
+)
 NAMES = sorted(all_checks()) if os.environ.get("ALL_QUERIES") else QUICK
 
 pytestmark = pytest.mark.skipif(not Path(ROOT).exists(), reason="no test tables")
