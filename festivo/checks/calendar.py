@@ -142,14 +142,15 @@ FROM v_hours WHERE store_number % 2 = 0"""
 def open_grid(hours: str) -> str:
     """Open flags by store and week of the hours that the last six days' deliveries project, one weeks-ahead row a label and week."""
     ahead = ", ".join(f"('{label}', {days})" for label, shifts in HOURS_LABEL_SHIFTS.items() for days in shifts)
-    flags = ", ".join(f"CASE WHEN h.day_{n} = 0 THEN 0 WHEN g.hours_{n} > 1 THEN 1 ELSE 0 END AS day_{n}" for n in DAYS)
+    flags = ", ".join(f"CAST(hours_{n} > 1 AS INTEGER) AS open_{n}" for n in DAYS)
     return f"""
-SELECT DISTINCT g.country, g.store_number, c.fiscal_year, c.fiscal_week, {flags}
-FROM ({hours}) g JOIN (VALUES {ahead}) w(ahead_label, days) ON ahead_label = label
-JOIN v_fcal c ON c.iso_date = created_date + days AND c.weekday = 3
-LEFT JOIN v_holiday_weeks h ON h.country = g.country AND h.fiscal_year = c.fiscal_year AND h.fiscal_week = c.fiscal_week
-WHERE {" + ".join(f"hours_{n}" for n in DAYS)} > 6 AND store_number BETWEEN 1001 AND 5999
-  AND snapshot_date BETWEEN $as_of$ - 6 AND $as_of$"""
+SELECT g.* EXCLUDE ({", ".join(f"open_{n}" for n in DAYS)}), {", ".join(f"coalesce(h.day_{n}, open_{n}) AS day_{n}" for n in DAYS)}
+FROM (SELECT DISTINCT country, store_number, c.fiscal_year, c.fiscal_week, {flags}
+  FROM ({hours}) JOIN (VALUES {ahead}) w(ahead_label, days) ON ahead_label = label
+  JOIN v_fcal c ON c.iso_date = created_date + days AND c.weekday = 3
+  WHERE {" + ".join(f"hours_{n}" for n in DAYS)} > 6 AND store_number BETWEEN 1001 AND 5999
+    AND snapshot_date BETWEEN $as_of$ - 6 AND $as_of$) g
+LEFT JOIN v_holiday_weeks h USING (country, fiscal_year, fiscal_week)"""
 
 
 VIEWS["v_open"] = open_grid("SELECT * FROM v_hours_delivered")

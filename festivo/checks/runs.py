@@ -43,6 +43,6 @@ def upload(spark: SparkSession, root: str, cfg: RunConfig = CFG) -> UploadRun:
 
     def make() -> UploadRun:
         r = retail(spark, root, cfg)
-        return UploadRun(r, stage(r.event_targets, "targets"), r.sales_clusters, r.this_week_hours)
+        return UploadRun(r, lambda: stage(r.event_targets, "targets"), lambda: stage(r.sales_clusters, "clusters"), r.this_week_hours)
 
     return shared("upload", spark, root, cfg, make)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import timedelta
 from functools import cached_property
 
@@ -46,7 +47,7 @@ from festivo.operators.promotions import (
     within_reach,
 )
 from festivo.sources.retail import Retail
-from festivo.sources.snapshots import SNAPSHOT
+from festivo.sources.snapshots import SNAPSHOT, SnapshotTable
 from festivo.sources.tables import stage, write_partitions
 
 DAY_ROW_COLUMNS = (
@@ -71,9 +72,29 @@ class UploadRun:
     codes of each product's last delivery.
     """
 
-    def __init__(self, retail: Retail, targets: DataFrame, clusters: DataFrame, hours: DataFrame | None = None):
-        self.retail, self.targets, self.clusters = retail, targets, clusters
-        self.hours = retail.hours_deliveries(hours if hours is not None else retail.trading_hours)
+    def __init__(
+        self,
+        retail: Retail,
+        targets: DataFrame | Callable[[], DataFrame],
+        clusters: DataFrame | Callable[[], DataFrame],
+        hours: DataFrame | None = None,
+    ):
+        """``targets`` and ``clusters``: tables, or functions that make them when a step first reads them."""
+        self.retail, self.given_hours = retail, hours
+        self.given_targets, self.given_clusters = targets, clusters
+
+    @cached_property
+    def targets(self) -> DataFrame:
+        return self.given_targets() if callable(self.given_targets) else self.given_targets
+
+    @cached_property
+    def clusters(self) -> DataFrame:
+        return self.given_clusters() if callable(self.given_clusters) else self.given_clusters
+
+    @cached_property
+    def hours(self) -> SnapshotTable:
+        given = self.given_hours
+        return self.retail.hours_deliveries(given if given is not None else self.retail.trading_hours)
 
     @property
     def cfg(self) -> RunConfig:
@@ -82,8 +103,7 @@ class UploadRun:
     # --- deliveries and selection ------------------------------------------------
     @cached_property
     def flags(self) -> DataFrame:
-        extracts = [delivered.on(self.cfg.as_of) for delivered in self.retail.extract_deliveries]
-        return promo_day_flags(extracts, self.cfg.country, self.cfg.as_of)
+        return promo_day_flags(self.retail.extracts(self.cfg.as_of), self.cfg.country, self.cfg.as_of)
 
     @cached_property
     def plan(self) -> DataFrame:

@@ -29,6 +29,7 @@ COUNTRY_HOLIDAYS = {"AFRICA": ("12-16",), "AMERICA": ("11-25", "04-02"), "ASIA":
 COUNTRY_EVENT_SHIFT = {"AMERICA": 1, "ASIA": -1}
 DIVISION_EVENT_SHIFT = {"PROMO": -1}
 CHRISTMAS = (12, 24)
+SUPPLIERS = ("A", "N", "R")
 STALE_DAYS = 8  # age of the outdated deliveries next to the current ones
 CONTROL_VALUES = {
     "offset_from": -6,
@@ -395,17 +396,19 @@ class Retail:
         return self.delivered("hours", current.unionByName(self.outdated(hours.filter(F.col("store_number") % 2 == 0), *closed)))
 
     @cached_property
-    def extract_deliveries(self) -> list[SnapshotTable]:
-        """The supplier extracts of the run's day, and older ones in which every step was promoted."""
-        today = F.lit(self.cfg.as_of)
+    def extract_deliveries(self) -> SnapshotTable:
+        """The suppliers' extracts of the run's day, and older ones in which every step was promoted."""
         promoted = [(f"step_{n}", F.lit("P")) for n in range(1, 8)]
-        return [
-            self.delivered(
-                "extract",
-                rows.withColumn(SNAPSHOT, today).unionByName(self.outdated(rows.filter(F.col("sku") % 5 == 0), *promoted)),
-            )
-            for rows in self.extracts
-        ]
+        rows = self.step_codes.withColumn("age", F.explode(F.when(F.col("sku") % 5 == 0, F.array(F.lit(0), F.lit(STALE_DAYS))).otherwise(F.array(F.lit(0)))))
+        current = F.col("age") == 0
+        steps = {name: F.when(current, F.col(name)).otherwise(old) for name, old in promoted}
+        dated = rows.withColumns(steps).withColumn(SNAPSHOT, F.date_sub(F.lit(self.cfg.as_of), F.col("age")))
+        return self.delivered("extracts", dated.drop("age"))
+
+    def extracts(self, day: date) -> list[DataFrame]:
+        """Each supplier's extract of a day."""
+        delivered = self.extract_deliveries.on(day)
+        return [delivered.filter(F.col("supplier") == s).drop("supplier") for s in SUPPLIERS]
 
     @cached_property
     def plan_deliveries(self) -> SnapshotTable:
@@ -487,26 +490,21 @@ class Retail:
             low_high,
         ).unionByName(finest)
 
-    @cached_property
-    def extracts(self) -> list[DataFrame]:
-        """Three supplier extracts of step codes per store, product and week of the order, by return flag."""
+    @property
+    def step_codes(self) -> DataFrame:
+        """Step codes of three suppliers per store, product and week of the order, by return flag."""
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("step_date"))
         week = year_week(F.col("fiscal_year"), F.col("fiscal_week"))
         code = F.when(F.col("l_discount") >= PROMO_DISCOUNT, F.when(F.col("l_linestatus") == "O", "P").otherwise("B"))
-        lines = self.lines().join(orders, "l_orderkey")
-        rows = fiscal_calendar(lines, "step_date").withColumn("step", F.coalesce(code, F.lit("N")))
-        return [
-            rows.filter(F.col("l_returnflag") == flag)
-            .groupBy(
-                "country",
-                "store",
-                (F.col("store") + 1001).alias("store_number"),
-                (F.col("l_partkey") + 1).alias("sku"),
-                week.alias("year_week"),
-            )
-            .agg(*[F.max(F.when(F.col("weekday") == n, F.col("step"))).alias(f"step_{n}") for n in range(1, 8)])
-            for flag in ("A", "N", "R")
-        ]
+        rows = fiscal_calendar(self.lines().join(orders, "l_orderkey"), "step_date").withColumn("step", F.coalesce(code, F.lit("N")))
+        return rows.groupBy(
+            F.col("l_returnflag").alias("supplier"),
+            "country",
+            "store",
+            (F.col("store") + 1001).alias("store_number"),
+            (F.col("l_partkey") + 1).alias("sku"),
+            week.alias("year_week"),
+        ).agg(*[F.max(F.when(F.col("weekday") == n, F.col("step"))).alias(f"step_{n}") for n in range(1, 8)])
 
     @cached_property
     def day_plan(self) -> DataFrame:
