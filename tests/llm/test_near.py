@@ -104,10 +104,13 @@ def test_components(spark):
 
 
 def line_rows() -> list[tuple]:
-    base = re.sub("[0-9]", lambda m: "klmnopqrst"[int(m[0])], prose(77, 260))
-    near = [base, f"{base} extra", base, f"{base} other"]
-    rows = [(i, f"{prose(i, 30, 10**6)}\n{line} {i}!\nshort\n{prose(i + 50, 30, 10**6)}") for i, line in enumerate(near)]
-    return rows + [(20, f"{base.upper()}\n\n{base}\nshort"), (21, None), (22, ""), (23, "short\nshort"), (None, base), (24, f"{base}\n")]
+    base = re.sub("[0-9]", lambda m: "klmnopqrst"[int(m[0])], prose(77, 60))
+    changed = base.split()
+    changed[20] = "altogether"
+    near = [base, f"{base} extra", base, f"{base} other", " ".join(changed), base.replace(" ", ", ")]
+    rows = [(i, f"{prose(i, 30, 10**6)}\n{line}!\nshort\n{prose(i + 50, 30, 10**6)}") for i, line in enumerate(near)]
+    chairs = [(30 + k, f"Price of the blue chair is {n}\nOf.\n---\n") for k, n in enumerate((100, 250, 100))]
+    return rows + chairs + [(20, f"{base.upper()}\n\n{base}\nshort"), (21, None), (22, ""), (23, "short\nshort"), (None, base), (24, f"{base}\n"), (25, f"{base} 7"), (24, f"{base}\n")]
 
 
 def levenshtein(a: str, b: str) -> int:
@@ -125,19 +128,18 @@ def levenshtein(a: str, b: str) -> int:
 
 
 def test_lines_equal_brute_force(spark):
-    """Links are recomputed over all pairs from the operator's own SimHashes."""
+    """Links are recomputed over all pairs from the definition alone; near lines of the rows differ in one word."""
     rows = line_rows()
     docs = documents(spark, rows)
-    seen = lines.occurrences(docs.select("doc_id", "text")).collect()
-    texts = {(i, p): re.sub(r"[^a-z]+", " ", s.lower()).strip() for i, t in rows if i is not None and t for p, s in enumerate(t.split("\n"))}
-    assert {(r.doc_id, r.place) for r in seen} == {k for k, s in texts.items() if len(s) >= lines.MIN_CHARS}
-    sims = {(r.doc_id, r.place): r.sim & (2**64 - 1) for r in seen}
+    texts = {(i, p): re.sub(r"[^a-z0-9]+", " ", s.lower()).strip() for i, t in rows if i is not None and t for p, s in enumerate(t.split("\n"))}
+    texts = {k: s for k, s in texts.items() if s}
     links = []
-    for a, b in combinations(sorted(sims), 2):
+    for a, b in combinations(sorted(texts), 2):
         x, y = texts[a], texts[b]
-        if (sims[a] ^ sims[b]).bit_count() <= lines.DISTANCE and (x == y or 1 - levenshtein(x, y) / max(len(x), len(y)) >= lines.SIMILARITY):
+        alike = min(len(x), len(y)) >= lines.MIN_CHARS and re.findall("[0-9]+", x) == re.findall("[0-9]+", y)
+        if x == y or alike and 1 - levenshtein(x, y) / max(len(x), len(y)) >= lines.SIMILARITY:
             links.append((a, b))
-    wanted = components(sorted(sims), links)
+    wanted = components(sorted(texts), links)
     assert any(texts[a] != texts[b] for a, b in links)
     got = lines.without_repeated_lines(docs)
     assert got.columns == [*docs.columns, "_n_lines", "_n_removed"]
@@ -145,18 +147,51 @@ def test_lines_equal_brute_force(spark):
     assert len(found) == len(rows)
     for r in found:
         text = dict(rows)[r.doc_id]
+        assert (r.row, r.score, r.bin, r._key) == ("x", 0.5, 3, None)
         if r.doc_id is None or text is None:
             assert r.text == text and r._n_removed == 0
             continue
         kept = [s for p, s in enumerate(text.split("\n")) if wanted.get((r.doc_id, p), (r.doc_id, p)) == (r.doc_id, p)]
         assert r.text == "\n".join(kept) and r._n_removed == r._n_lines - len(kept)
+    by = {r.doc_id: r.text for r in found}
+    assert [by[30], by[31], by[32]] == ["Price of the blue chair is 100\nOf.\n---\n", "Price of the blue chair is 250\n---\n", "---\n"]
+    again = lines.without_repeated_lines(got)
+    assert again.columns == got.columns and {r._n_removed for r in again.collect()} == {0}
+
+
+@pytest.mark.parametrize("n_words", [8, 12, 30, 120])
+def test_lines_of_one_changed_word_are_found(spark, n_words):
+    """Recall over lines of which a copy has one word replaced; unrelated lines all stay."""
+    rng = random.Random(n_words)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, pairs = [], 120
+    for k in range(pairs):
+        line = ["".join(rng.choices(letters, k=rng.randrange(4, 9))) for _ in range(n_words)]
+        copy = list(line)
+        copy[rng.randrange(n_words)] = "".join(rng.choices(letters, k=5))
+        rows += [(k, " ".join(line)), (pairs + k, " ".join(copy))]
+    got = {r.doc_id: r._n_removed for r in lines.without_repeated_lines(documents(spark, rows)).collect()}
+    close = [k for k in range(pairs) if n_words > 8 or 1 - levenshtein(dict(rows)[k], dict(rows)[pairs + k]) / max(len(dict(rows)[k]), len(dict(rows)[pairs + k])) >= lines.SIMILARITY]
+    assert not any(got[k] for k in range(pairs))
+    assert sum(got[pairs + k] for k in close) >= 0.9 * len(close) > 0
+
+
+def test_simhash_blocks_are_majorities_of_word_bits(spark):
+    line = "alpha beta gamma delta alpha epsilon zeta 12"
+    got = lines.distinct_lines(lines.occurrences(documents(spark, [(1, line), (2, line)]).select("doc_id", "text"))).collect()
+    assert len(got) == 1 and got[0].n == 2 and (got[0].doc_id, got[0].place) == (1, 0)
+    hashed = [r[0] & (2**64 - 1) for r in spark.createDataFrame([(w,) for w in line.split()], "w string").selectExpr("xxhash64(w)").collect()]
+    places = [*range(lines.LANES), *range(32, 32 + lines.LANES)]
+    for block in range(lines.BLOCKS):
+        mine = [h for h in hashed if h >> 62 == block]
+        assert got[0][f"n{block}"] == len(mine)
+        assert got[0][f"b{block}"] == sum(1 << k for k, p in enumerate(places) if 2 * sum(h >> p & 1 for h in mine) > len(mine))
 
 
-def test_simhash_is_the_majority_of_word_bits(spark):
-    line = "alpha beta gamma delta alpha epsilon zeta"
-    got = lines.occurrences(documents(spark, [(1, line)]).select("doc_id", "text")).first().sim & (2**64 - 1)
-    hashed = [r[0] & (2**64 - 1) for r in spark.createDataFrame([(w,) for w in line.split()], "w string").selectExpr("xxhash64(w)").collect()]
-    assert got == sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashed) > len(hashed))
+def test_a_very_long_line(spark):
+    line = prose(5, 20_000)
+    got = lines.without_repeated_lines(documents(spark, [(1, line), (2, f"{line} "), (3, "x\n" * 5000)]))
+    assert {r.doc_id: (r._n_lines, r._n_removed) for r in got.collect()} == {1: (1, 0), 2: (1, 1), 3: (5001, 4999)}
 
 
 def brute_tiles(item: list[str], doc: list[str], least: int) -> list[int]:
