@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,11 +14,12 @@ from festivo.sources.tables import read_table
 
 from .common import slices
 
+#: Every alternative matches once it has begun, so no place of a page is scanned twice; quotes count after an equals sign only.
 _MARKUP = re.compile(
-    r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|(?:[!?]|/[^a-zA-Z])[^>]*>)""",
+    r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>=]|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?)*+)(?:>|\Z)|(?:[!?]|/[^a-zA-Z])[^>]*+(?:>|\Z))""",
     re.S,
 )
-_ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTR = re.compile(r"""([^\s=/"'>]++)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++)))?""")
 _WORD = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 
@@ -38,8 +40,17 @@ DROPPED_WORDS = frozenset(
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe "
     "subscription signup social share sharing related recommended recommendations widget toolbar pagination pager login search skip".split()
 )
+#: Those of them that may be a part of a longer name inside an article without its text being something else.
+AMBIGUOUS_WORDS = frozenset(
+    "alert banner footer header login masthead menu nav navigation notice notices overlay pager pagination popup promotion recommended related search "
+    "share sharing skip social toolbar widget".split()
+)
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond reader responses".split())
 ARTICLE_WORDS = frozenset("article articlebody body content entry hentry main page post story text".split())
+TEXT = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+BESIDE = TEXT | frozenset("ul ol dl figure table".split())
+SHORT = 80  # characters below which a part of an article with an ambiguous name goes
+LINKED = 0.25  # share of text in links from which a part counts as navigation
 #: An element that one of these tags opens inside ends first.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -51,12 +62,17 @@ TAG_POINTS = {"article": 25.0, "main": 20.0, "section": 2.0, "div": 2.0, "td": 1
 
 
 class Node:
-    __slots__ = ("tag", "words", "role", "parent", "children", "dropped", "points", "chars", "linked", "score")
+    __slots__ = ("tag", "words", "names", "role", "parent", "children", "dropped", "suspect", "block", "link", "in_article", "points", "chars", "linked", "score")
 
-    def __init__(self, tag: str, parent: Node | None, words: frozenset[str] = frozenset(), role: str = "", hidden: bool = False) -> None:
-        self.tag, self.parent, self.words, self.role = tag, parent, words, role
+    def __init__(self, tag: str, parent: Node | None, names: frozenset[str] = frozenset(), role: str = "", hidden: bool = False) -> None:
+        self.tag, self.parent, self.names, self.role = tag, parent, names, role
+        self.words = frozenset(w for name in names for w in _WORD.findall(name))
         self.children: list[Node | str] = []
         self.points = self.chars = self.linked = self.score = 0.0
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        self.link = self.block is not self and (tag == "a" or parent.link)
+        self.in_article = bool(parent) and (parent.in_article or parent.tag == "article")
+        self.suspect = False
         self.dropped = bool(parent and parent.dropped) or hidden or self._unwanted()
 
     def _unwanted(self) -> bool:
@@ -68,42 +84,32 @@ class Node:
             return True
         if self.tag == "article" or self.words & ARTICLE_WORDS:
             return False
-        return bool(self.words & DROPPED_WORDS) or self.tag == "header" and not self.inside("article")
-
-    def inside(self, tag: str) -> bool:
-        at = self.parent
-        while at is not None and at.tag != tag:
-            at = at.parent
-        return at is not None
+        said = self.words & DROPPED_WORDS
+        if said and self.in_article and said <= AMBIGUOUS_WORDS and not self.names & said:
+            self.suspect = True
+            return False
+        return bool(said) or self.tag == "header" and not self.in_article
 
 
 def parse(page: str) -> Node:
     """A tree of the page's elements; text is decoded. Tags that HTML lets be left out are supplied, stray end tags skipped."""
-    root = node = Node("html", None)
-    opened: dict[str, int] = {}
+    root = Node("html", None)
+    path = [root]  # the open elements
+    opened: dict[str, list[int]] = {}  # places in the path by tag
     at, end = 0, len(page)
 
-    def leave(to: Node) -> Node:
-        nonlocal node
-        while node is not to:
-            opened[node.tag] -= 1
-            node = node.parent
-        opened[node.tag] -= 1
-        return node.parent
-
-    def nearest(tags: set[str], fences: set[str]) -> Node | None:
-        x = node
-        while x is not root and x.tag not in fences:
-            if x.tag in tags:
-                return x
-            x = x.parent
-        return None
+    def leave(depth: int) -> None:
+        while len(path) > depth:
+            opened[path.pop().tag].pop()
+
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[-1] for t in tags if (places := opened.get(t))), default=0)
 
     while at < end:
         found = _MARKUP.search(page, at)
         text = page[at : found.start() if found else end]
         if text:
-            node.children.append(html.unescape(text))
+            path[-1].children.append(html.unescape(text))
         if not found:
             break
         at = found.end()
@@ -112,35 +118,35 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if found["close"]:
-            if opened.get(tag):
-                node = leave(nearest({tag}, set()))
+            if depth := nearest((tag,)):
+                leave(depth)
             continue
         if tag in ("html", "body"):
-            if tag == "body" and opened.get("head"):
-                node = leave(nearest({"head"}, set()))
+            if tag == "body" and (depth := nearest(("head",))):
+                leave(depth)
             continue
-        if tag in ENDS_P and opened.get("p") and (x := nearest({"p"}, {"td", "th", "button", "object"})):
-            node = leave(x)
+        if tag in ENDS_P and (depth := nearest(("p",))) > nearest(("td", "th", "button", "object")):
+            leave(depth)
         if tag in ENDS:
-            while any(opened.get(t) for t in ENDS[tag]) and (x := nearest(ENDS[tag], FENCES.get(tag, {"table"}))):
-                node = leave(x)
-        words, role, hidden = frozenset(), "", False
+            while (depth := nearest(ENDS[tag])) > nearest(FENCES.get(tag, ("table",))):
+                leave(depth)
+        names, role, hidden = frozenset(), "", False
         if attrs := found["attrs"]:
             said = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
             if "class" in said or "id" in said:
-                words = frozenset(_WORD.findall(f"{said.get('class', '')} {said.get('id', '')}".lower()))
+                names = frozenset(f"{said.get('class', '')} {said.get('id', '')}".lower().split())
             role = said.get("role", "").lower()
             hidden = "hidden" in said or said.get("aria-hidden") == "true" or bool(_HIDDEN.search(said.get("style", "").lower()))
-        child = Node(tag, node, words, role, hidden)
-        node.children.append(child)
+        child = Node(tag, path[-1], names, role, hidden)
+        path[-1].children.append(child)
         if tag in VOID:
             continue
         if tag in RAW:
-            close = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+            close = re.compile(f"</{tag}(?=[\\s/>])[^>]*+(?:>|\\Z)", re.I).search(page, at)
             at = close.end() if close else end
             continue
-        node = child
-        opened[tag] = opened.get(tag, 0) + 1
+        opened.setdefault(tag, []).append(len(path))
+        path.append(child)
     return root
 
 
@@ -162,12 +168,9 @@ def score(root: Node) -> list[Node]:
     for node in nodes:
         own = "".join(c for c in node.children if isinstance(c, str)).strip()
         if own:
-            block, link = node, False
-            while block.tag not in BLOCK and block.parent is not None:
-                link |= block.tag == "a"
-                block = block.parent
+            block = node.block
             block.chars += len(own)
-            block.linked += len(own) if link else 0
+            block.linked += len(own) if node.link else 0
             block.points += own.count(",") + own.count("，") + own.count("、") + len(own) / 100
     for node in nodes:
         if node.chars:
@@ -180,6 +183,9 @@ def score(root: Node) -> list[Node]:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.linked += node.linked
+    for node in nodes:
+        if node.suspect and node.tag not in TEXT and (node.chars < SHORT or node.linked >= node.chars * LINKED):
+            node.dropped = True
     for node in nodes:
         if node.score:
             extra = TAG_POINTS.get(node.tag, 0.0) + (10.0 if node.words & ARTICLE_WORDS else 0.0)
@@ -188,7 +194,7 @@ def score(root: Node) -> list[Node]:
 
 
 def main_parts(root: Node) -> list[Node]:
-    """The best container, widened to the article that holds it, and those of its siblings that read like it."""
+    """The best container, widened to the article that holds it, its headline, and those of its siblings that read like it."""
     nodes = score(root)
     scored = [n for n in nodes if n.score > 0 and n.tag in BLOCK]
     if not scored:
@@ -201,17 +207,23 @@ def main_parts(root: Node) -> list[Node]:
         best = holder
     if best.parent is None:
         return [best]
-    least = max(10.0, best.score * 0.2)
+    marked, least = best.tag in ("article", "main"), max(10.0, best.score * 0.2)
 
     def like(node: Node) -> bool:
         if node is best:
             return True
-        density = node.linked / max(1.0, node.chars)
-        if node.tag in ("p", "pre", "blockquote"):
-            return node.chars >= 80 and density < 0.25
-        return node.score >= least and (best.tag != "article" or node.tag == "article") and density < 0.25
+        if node.linked >= LINKED * max(1.0, node.chars):
+            return False
+        if marked and node.tag in TEXT:
+            return node.tag == "h1" or node.chars >= SHORT
+        return not marked and node.tag in BESIDE or node.score >= least and (best.tag != "article" or node.tag == "article")
 
-    return [c for c in best.parent.children if isinstance(c, Node) and not c.dropped and like(c)]
+    parts, above = [c for c in best.parent.children if isinstance(c, Node) and not c.dropped and like(c)], best.parent
+    if not any(n.tag == "h1" for part in parts for n in _in_order(part)):
+        while above.parent is not None:  # the headline stands above the container
+            ahead = takewhile(lambda c, end=above: c is not end, above.parent.children)
+            parts, above = [c for c in ahead if isinstance(c, Node) and c.tag == "h1" and not c.dropped] + parts, above.parent
+    return parts
 
 
 def blocks(parts: list[Node]) -> list[str]:
@@ -251,8 +263,9 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages(page_id, url, html)``, in one pass without a shuffle.
 
-    A null or empty page, or one without an article, has an empty text. Null ids and urls are passed on; repeated
-    rows give equal rows; other columns are not read. Time and memory are linear in the page.
+    A null or empty page, or one without an article, has an empty text; a table without rows gives one without rows. Null ids
+    and urls are passed on; repeated rows give equal rows; other columns are not read. Malformed markup is read as browsers do: an
+    element that is never closed ends with the page. Time and memory are linear in the page, however long or malformed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

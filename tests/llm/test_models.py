@@ -95,6 +95,32 @@ def test_html_text(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+LONG = "A sentence that is long enough, with commas, to count as the text of an article, surely. " * 3
+#: Pages without an article element, or with names in it that could mean something else, and their text.
+BARE = [
+    (f"<body><nav><a href=/>Home</a></nav><h1>Headline</h1><div><p>{LONG}</p><p>Short.</p><h2>Next</h2><p>{LONG}</p></div><div class=footer>Copyright</div></body>", ["Headline", LONG, "Short.", "Next", LONG]),
+    (f"<body><div id=wrap><h1>Up</h1><div class=x><div><p>{LONG}</p><p>{LONG}</p></div></div></div></body>", ["Up", LONG, LONG]),
+    (f"<article><h1>H</h1><p class=share-price>{LONG}</p><div class='search-history'><p>{LONG}</p></div><div class='share-links'><a href=1>Mail this</a></div><div class='ad-slot'>{LONG}</div></article>", ["H", LONG, LONG]),
+    (f"<table><tr><td><p>{LONG}<td><p>{LONG}</table>", [LONG, LONG]),
+    (f"<div><h1>One</h1><p>{LONG}<ul><li>a <b>b<li>c</ul><p>last", ["One", LONG, "a b", "c", "last"]),
+    (f"<div><p title='a > b' class=\"x\">{LONG}</p><p>{LONG}</p></div>", [LONG, LONG]),
+]
+
+
+@pytest.mark.parametrize("page, wanted", BARE)
+def test_page_text_without_an_article_element(page, wanted):
+    assert html_text.main_text(page).split("\n") == [" ".join(w.split()) for w in wanted]
+
+
+@pytest.mark.parametrize("piece", ["<b>x", '<a "', "<a b='", "<!", "</3", "<p><td><b>", "<li><ul><b>", "</script ", "<div class=share>x", "<!--"])
+def test_malformed_pages_take_linear_time(piece):
+    import time
+
+    start = time.perf_counter()
+    html_text.main_text("<div>" + piece * 100_000)
+    assert time.perf_counter() - start < 20
+
+
 @pytest.mark.skipif(not Path(ROOT).exists(), reason="no test tables")
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{ROOT}/documents.parquet")
