@@ -24,11 +24,11 @@ class Scratch:
         self.root = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, codec: str = "snappy") -> DataFrame:
         """Write a table once and read it back: lineage is cut and lost executors recompute nothing before it."""
         self.n += 1
         path = f"{self.root}/{self.n}"
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:
