@@ -233,11 +233,11 @@ def without_near_duplicates(docs: DataFrame, percent: int = 85, width: int = WID
     Rows repeated with one doc_id leave one row, that of the smallest text hash. Rows with a null doc_id all stay.
     """
     kept = near_duplicates(docs, percent, width, scratch).where("kept and doc_id is not null")
-    ids = kept.select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.withColumn("_id", F.col("doc_id").cast("long")).join(ids, F.col("_id") == F.col("_kept_id"), "left_semi")
-    order = Window.partitionBy("_id").orderBy(F.xxhash64("text"))
-    one = named.withColumn("_row", F.row_number().over(order)).where("_row = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return one.unionAll(docs.where(F.col("doc_id").isNull()))
+    ids = kept.select(F.col("doc_id").alias("key")).distinct()
+    given = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("given"), F.col("doc_id").cast("long").alias("key"))
+    order = Window.partitionBy("key").orderBy(F.xxhash64("given.text"))
+    one = given.join(ids, "key", "left_semi").withColumn("place", F.row_number().over(order)).where("place = 1")
+    return one.select(*[F.col("given").getField(c).alias(c) for c in docs.columns]).unionAll(docs.where(F.col("doc_id").isNull()))
 
 
 def op6_minhash_near_dedup(spark: SparkSession, root: str) -> DataFrame:

@@ -240,6 +240,15 @@ def test_tiles_equal_brute_force(spark):
     assert {30, 31, 20} <= set(ids) and not {10, 14, 32, None} & set(ids)
 
 
+def test_near_duplicates_keep_columns_of_any_name(spark):
+    text = prose(3, 40)
+    rows = [(1, text, "a", 7, "k"), (2, text, "b", 8, "k"), (3, prose(4, 40), "c", 9, "k"), (3, prose(4, 40), "c", 9, "k"), (None, text, "d", 10, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id string, _row int, key string")
+    got = minhash.without_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id or 0, r._id, r._row, r.key) for r in got.collect()) == [(0, "d", 10, "k"), (1, "a", 7, "k"), (3, "c", 9, "k")]
+
+
 @pytest.mark.parametrize("empty", ["docs", "benchmark"])
 def test_empty_tables(spark, empty):
     docs = documents(spark, [(1, prose(1, 50))])
