@@ -176,6 +176,21 @@ def test_lines_of_one_changed_word_are_found(spark, n_words):
     assert sum(got[pairs + k] for k in close) >= 0.9 * len(close) > 0
 
 
+@pytest.mark.parametrize("n_words", [3, 5])
+def test_short_lines_with_a_changed_letter_are_found(spark, n_words):
+    """Links of lines of few words: the blocks that a changed word leaves alone may hold one word or none."""
+    rng = random.Random(n_words)
+    letters, pairs, rows = "abcdefghijklmnopqrstuvwxyz", 60, []
+    for k in range(pairs):
+        line = ["".join(rng.choices(letters, k=rng.randrange(7, 10))) for _ in range(n_words)]
+        copy = list(line)
+        copy[k % n_words] = copy[k % n_words][:-1] + ("a" if copy[k % n_words][-1] != "a" else "b")
+        rows += [(k, " ".join(line)), (pairs + k, " ".join(copy))]
+    rows = [(i, t) for i, t in rows if len(t) >= lines.MIN_CHARS]
+    got = {r.doc_id: r._n_removed for r in lines.without_repeated_lines(documents(spark, rows)).collect()}
+    assert {i: n for i, n in got.items()} == {i: int(i >= pairs) for i, _ in rows}
+
+
 def test_simhash_blocks_are_majorities_of_word_bits(spark):
     line = "alpha beta gamma delta alpha epsilon zeta 12"
     got = lines.distinct_lines(lines.occurrences(documents(spark, [(1, line), (2, line)]).select("doc_id", "text"))).collect()
