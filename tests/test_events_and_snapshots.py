@@ -229,3 +229,27 @@ def test_store_range_counts_stores_of_the_model_only(spark):
     )
     out = {r.store: (r.n_products, r.cluster_size) for r in K.store_range_size(ranged, stores, day, 2).collect()}
     assert out == {0: (3, "Small-"), 5: (8, "Large-")}
+
+
+def test_promotions_of_other_seasons_go_before_their_product_is_looked_up(spark):
+    """near_event keeps all that within_reach can keep, by country alone; nothing of another season or country passes."""
+    day = lambda text: date.fromisoformat(text)
+    scope = spark.createDataFrame(
+        [("A", "D1", day("2000-12-10"), day("2000-12-20")), ("A", "D2", day("2000-12-22"), day("2000-12-28")), ("B", "D1", None, None)],
+        "country string, division string, scope_from date, scope_to date",
+    )
+    spans = [("2000-11-01", "2000-12-09"), ("2000-11-01", "2000-12-10"), ("2000-12-21", "2000-12-21"), ("2000-12-29", "2001-01-05"), ("2000-12-30", "2001-01-05"), ("2000-12-28", None)]
+    rows = [(i, c, day(a), b and day(b)) for c in ("A", "B", "C", None) for i, (a, b) in enumerate(spans)]
+    promos = spark.createDataFrame(rows, "i int, country string, promo_start date, promo_end date")
+    near = P.near_event(promos, scope)
+    assert near.columns == promos.columns
+    assert sorted((r.country, r.i) for r in near.collect()) == [("A", 1), ("A", 2), ("A", 3)]
+
+
+def test_equal_promotions_may_stay_for_the_audit(spark):
+    day = date(2000, 12, 1)
+    promos = spark.createDataFrame([("A", 1, 2, day, day, "")] * 2, "country string, promo_code long, sku long, promo_start date, promo_end date, leaflet_dates string")
+    products = spark.createDataFrame([(2, "D", "E", "F", "G", "H", "ring I/O")], "sku long, division string, department string, section string, grp string, subgroup string, description string")
+    calendar = spark.createDataFrame([(day, 2000, "48", 5)], "iso_date date, fiscal_year int, fiscal_week string, weekday int")
+    counts = [P.dated_promotions(promos, products, calendar, RunConfig(), distinct).count() for distinct in (True, False)]
+    assert counts == [1, 2]
