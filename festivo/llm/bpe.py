@@ -18,8 +18,8 @@ from .common import slices
 
 LEAF_BYTES = 48  # a piece up to this long is merged directly
 LEAF_CHARS = 4096  # a text up to this long is split by the pattern directly
-CACHE_WORDS = 500_000
-SLICE = 4 << 20
+CACHE_WORDS = 1 << 16  # pieces of a generation of the cache; two are held
+SLICE = 1 << 20
 # Characters that decide a match beyond its own end: the pattern looks ahead one character past a run of white space, and
 # a contraction is three characters long.
 LOOK = 4
@@ -34,6 +34,7 @@ class Tokenizer:
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.cache: dict[str, Ids] = {}
+        self.older: dict[str, Ids] = {}
 
     # Pieces: the monoid of encodings of byte strings.
 
@@ -156,15 +157,19 @@ class Tokenizer:
             reach *= 4
 
     def encode(self, text: str) -> list[int]:
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        """Ids of a text. A piece of the older generation moves to the new one, which becomes the older one when it is full: frequent
+        pieces stay, and a text of many rare ones takes no more memory than two generations."""
+        cache, older = self.cache, self.older
         out = []
         for piece in self.split(text):
             ids = cache.get(piece)
             if ids is None:
-                ids = self.encode_bytes(piece.encode("utf-8", "surrogatepass"))
+                ids = older.get(piece)
+                if ids is None:
+                    ids = self.encode_bytes(piece.encode("utf-8", "surrogatepass"))
                 if len(piece) <= 64:
+                    if len(cache) >= CACHE_WORDS:
+                        self.cache, self.older = cache, older = {}, cache
                     cache[piece] = ids
             out.append(ids)
         return list(chain.from_iterable(out))

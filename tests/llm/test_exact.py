@@ -41,6 +41,16 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
     assert digests[1].ids_sha256 == hashlib.sha256(",".join(map(str, enc.encode_ordinary(texts[1]))).encode()).hexdigest()
 
 
+def test_bpe_holds_two_generations_of_pieces(monkeypatch):
+    """A text of more pieces than the cache may hold, with frequent ones among them."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    tokenizer = bpe.Tokenizer(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+    text = " often".join(f" rare{chr(97 + i % 26)}q{i:x}z" for i in range(2000))
+    assert tokenizer.encode(text) == tiktoken_encoding().encode_ordinary(text)
+    assert max(len(tokenizer.cache), len(tokenizer.older)) <= 50
+    assert " often" in tokenizer.cache or " often" in tokenizer.older
+
+
 def brute_repeats(texts: list[str | None], length: int = 400) -> list[tuple]:
     data = [(t or "").encode() for t in texts]
     seen = collections.Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
