@@ -9,6 +9,7 @@ from itertools import combinations
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -203,6 +204,25 @@ def test_simhash_blocks_are_majorities_of_word_bits(spark):
         assert got[0][f"b{block}"] == sum(1 << k for p, k in places.items() if 2 * sum(h >> p & 1 for h in mine) > len(mine))
 
 
+def test_sketches_and_middles_keep_every_link_of_a_bucket(spark):
+    """All pairs of one bucket: the sketches part most unrelated lines, and what passes is linked as the edit distance has it."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefghiklmnoprstué", k=rng.randrange(2, 9))) for _ in range(9)) for _ in range(40)]
+    for t in texts[:20]:
+        copy = list(t)
+        for _ in range(rng.randrange(1, 12)):
+            copy[rng.randrange(len(copy))] = rng.choice("xyz ")
+        texts += ["".join(copy), t[5:] + t[:5], f"{t}{t[:4]}", t[:1]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, norm string")
+    drawn = rows.join(lines.sketches(rows), "id", "left").na.fill(0).withColumn("chars", F.length("norm"))
+    pairs = drawn.join(drawn.select(*[F.col(c).alias(f"x_{c}") for c in drawn.columns]), F.col("x_id") < F.col("id"))
+    passed = pairs.where(lines.may_be_near("x_", lines.SIMILARITY)).select("id", "x_id", "norm", "x_norm")
+    got = {(r.x_id, r.id) for r in lines.near_texts(passed, "norm", "x_norm", lines.SIMILARITY).collect()}
+    wanted = {(i, j) for i, j in combinations(range(len(texts)), 2) if 1 - levenshtein(texts[i], texts[j]) / max(len(texts[i]), len(texts[j])) >= lines.SIMILARITY - 1e-9}
+    assert got == wanted and len(wanted) > 40
+    assert passed.count() < 0.2 * pairs.count()
+
+
 def test_a_very_long_line(spark):
     line = prose(5, 20_000)
     got = lines.without_repeated_lines(documents(spark, [(1, line), (2, f"{line} "), (3, "x\n" * 5000)]))
