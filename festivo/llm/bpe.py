@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import reduce
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -14,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from festivo.sources.tables import read_table
 
-from .common import slices
+from .common import received, share, slices
+from .word_bpe import Merges
 
-LEAF_BYTES = 48  # a piece up to this long is merged directly
+LEAF_BYTES = 48  # a part of a long piece up to this long is merged directly
+PIECE_BYTES = 256  # new pieces up to this long are merged together, longer ones by halves
 LEAF_CHARS = 4096  # a text up to this long is split by the pattern directly
-CACHE_WORDS = 1 << 16  # pieces of a generation of the cache; two are held
+CACHE_WORDS = 1 << 17  # pieces of a generation of the cache; two are held
+GROUP = 1 << 16  # pieces that are looked up together
+TOKENS = 1 << 20  # tokens that are decoded together
 SLICE = 1 << 20
 # Characters that decide a match beyond its own end: the pattern looks ahead one character past a run of white space, and
 # a contraction is three characters long.
@@ -27,14 +31,27 @@ LOOK = 4
 Ids = tuple[int, ...]
 
 
+def all_merges(ranks: dict[bytes, int]) -> Merges | None:
+    """Every pair of tokens that makes a token; None where a byte has no rank."""
+    if any(bytes([b]) not in ranks for b in range(256)):
+        return None
+    halves = ((token[:k], token[k:], i) for token, i in ranks.items() for k in range(1, len(token)))
+    found = [(ranks[a], ranks[b], i) for a, b, i in halves if a in ranks and b in ranks]
+    return Merges(found, np.array([i for _, _, i in found], np.int64), {i: b for b, i in ranks.items()}, [ranks[bytes([b])] for b in range(256)])
+
+
 class Tokenizer:
-    """Ranks of a byte-level vocabulary, the pattern that splits a text into pieces, and a bounded cache of pieces."""
+    """Ranks of a byte-level vocabulary, the pattern that splits a text into pieces, and a bounded cache of pieces.
+
+    The cache and ``pack`` hold the ids of a piece as the bytes of 32-bit integers.
+    """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.ranks, self.pattern = ranks, regex.compile(pattern)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: Merges | None = None) -> None:
+        self.ranks, self.pattern, self.merges = ranks, regex.compile(pattern), merges
         self.bytes_of = {i: b for b, i in ranks.items()}
-        self.cache: dict[str, Ids] = {}
-        self.older: dict[str, Ids] = {}
+        self.tokens = pa.array([self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)], pa.binary())
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # Pieces: the monoid of encodings of byte strings.
 
@@ -156,30 +173,62 @@ class Tokenizer:
                     return left[:keep] + found[: k + 1] + right[ends[at] :]
             reach *= 4
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text. A piece of the older generation moves to the new one, which becomes the older one when it is full: frequent
+    def encode_new(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of pieces that the cache does not hold: short ones that are no token are merged all together where the order is the same."""
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        together = [b for b in raw if self.merges and len(b) <= PIECE_BYTES and b not in self.ranks]
+        if together:
+            ids, ends, doubtful = self.merges.merge(np.frombuffer(b"".join(together), np.uint8), np.cumsum([0, *map(len, together)]))
+            data, ends = ids.astype(np.int32).tobytes(), (ends * 4).tolist()
+            merged = dict(zip(together, map(data.__getitem__, map(slice, ends[:-1], ends[1:])), strict=True))
+            for i in doubtful.tolist():
+                del merged[together[i]]
+        else:
+            merged = {}
+        return (merged[b] if b in merged else np.array(self.encode_bytes(b), np.int32).tobytes() for b in raw)
+
+    def pack(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. A piece of the older generation moves to the new one, which becomes the older one when it is full: frequent
         pieces stay, and a text of many rare ones takes no more memory than two generations."""
-        cache, older = self.cache, self.older
-        out = []
-        for piece in self.split(text):
-            ids = cache.get(piece)
-            if ids is None:
-                ids = older.get(piece)
-                if ids is None:
-                    ids = self.encode_bytes(piece.encode("utf-8", "surrogatepass"))
-                if len(piece) <= 64:
-                    if len(cache) >= CACHE_WORDS:
-                        self.cache, self.older = cache, older = {}, cache
-                    cache[piece] = ids
-            out.append(ids)
-        return list(chain.from_iterable(out))
-
-    def decode(self, ids: list[int]) -> bytes:
-        """Bytes of the ids: concatenated leaf by leaf, then up the tree."""
-        level = [b"".join(map(self.bytes_of.__getitem__, ids[i : i + LEAF_CHARS])) for i in range(0, len(ids), LEAF_CHARS)]
-        while len(level) > 1:
-            level = [reduce(bytes.__add__, level[i : i + 2]) for i in range(0, len(level), 2)]
-        return level[0] if level else b""
+        out, step = [], min(GROUP, CACHE_WORDS)
+        for start in range(0, len(pieces), step):
+            group = pieces[start : start + step]
+            wanted = set(group)
+            missing = wanted.difference(self.cache)
+            if len(self.cache) + len(missing) > CACHE_WORDS:
+                self.cache, self.older, missing = {}, self.cache, wanted
+            new = list(missing.difference(self.older))
+            self.cache |= {p: self.older[p] for p in missing.difference(new)}
+            self.cache |= zip(new, self.encode_new(new), strict=True)
+            out += map(self.cache.__getitem__, group)
+            for piece in new:
+                if len(piece) > 64:
+                    del self.cache[piece]
+        return out
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the offsets of the texts."""
+        pieces, ends = [], [0]
+        for text in texts:
+            pieces += self.split(text)
+            ends.append(len(pieces))
+        packed = self.pack(pieces)
+        data = [b"".join(packed[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        return np.frombuffer(b"".join(data), np.int32), np.cumsum([0, *[len(d) // 4 for d in data]])
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text."""
+        return self.encode_all([text])[0].tolist()
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """Bytes of the ids, some tokens at a time."""
+        parts = []
+        for start in range(0, len(ids), TOKENS):
+            taken = self.tokens.take(pa.array(ids[start : start + TOKENS]))
+            _, ends, data = taken.buffers()
+            ends = np.frombuffer(ends, np.int32)
+            parts.append(data.to_pybytes()[ends[0] : ends[len(taken)]] if data else b"")
+        return b"".join(parts)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -192,14 +241,16 @@ def encode_documents(docs: DataFrame, path: str | None = None, pattern: str = pu
 
     A null text is encoded as an empty one. A null doc_id is passed on; repeated rows give equal rows; other columns are not read.
     """
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken")))
+    ranks = read_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    shared = share(docs.sparkSession, (ranks, pattern, all_merges(ranks)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(ranks.value, pattern)
+        tokenizer = Tokenizer(*received(shared))
         for batch in slices(batches, "text", SLICE):
-            ids = [tokenizer.encode(t or "") for t in batch.column("text").to_pylist()]
-            decoded = [tokenizer.decode(i) for i in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
+            ids, offsets = tokenizer.encode_all([t or "" for t in batch.column("text").to_pylist()])
+            decoded = [tokenizer.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 

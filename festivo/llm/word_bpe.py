@@ -34,32 +34,20 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
 
 
-class Vocabulary:
-    """Merges as sorted pair keys with their ranks and results, the bytes of every token, and the tokens matched before all else."""
+class Merges:
+    """Pairs of tokens as sorted keys with their ranks and results."""
 
-    def __init__(self, merges: list[tuple[int, int, int]], tokens: dict[int, bytes], byte_ids: list[int], added: dict[str, int], pattern: str) -> None:
+    def __init__(self, merges: list[tuple[int, int, int]], ranks: np.ndarray, tokens: dict[int, bytes], byte_ids: list[int]) -> None:
         self.size = max(tokens) + 1
         left, right, made = (np.array(c, np.int64) for c in (zip(*merges, strict=True) if merges else ([], [], [])))
         keys = left * self.size + right
         order = np.argsort(keys)
-        self.keys, self.ranks, self.made = keys[order], order.astype(np.int32), made[order].astype(np.int32)
-        first = np.full(self.size, -1)
-        first[byte_ids] = -2
-        for rank, (a, b, c) in enumerate(merges):
-            if first[a] == -1 or first[b] == -1 or first[c] != -1:
-                raise ValueError("merges must make each token once, after its parts")
-            first[c] = rank
+        self.keys, self.ranks, self.made = keys[order], ranks[order].astype(np.int32), made[order].astype(np.int32)
         self.byte_ids = np.array(byte_ids, np.int32)
-        self.lengths = np.zeros(self.size, np.int64)
-        for i, b in tokens.items():
-            self.lengths[i] = len(b)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(self.size)), np.uint8)
         self.inside = np.zeros((256, 256), bool)  # adjacent bytes that some token holds
-        for _, _, c in merges:
+        for c in set(made.tolist()):
             b = np.frombuffer(tokens[c], np.uint8)
             self.inside[b[:-1], b[1:]] = True
-        self.added, self.pattern = added, pattern
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Place of each pair among the sorted keys, -1 where the pair has no merge."""
@@ -69,13 +57,14 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
         return np.where(self.keys[at] == wanted, at, -1)
 
-    def merge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and offsets of the encodings of the words ``data[offsets[i]:offsets[i + 1]]``.
+    def merge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and offsets of the encodings of the words ``data[offsets[i]:offsets[i + 1]]``, and the words to be merged one by one instead.
 
         A word is cut where no token holds the two adjacent bytes; nothing can be merged across such a place. A round
         takes the lowest rank of each piece and merges all pairs of that rank in it, in a run of equal symbols every other
-        one from the left, as the merges one by one would do: a pair with the new symbol has a higher rank. Pieces without a pair leave
-        the arrays, so that later rounds touch what is left of the longest ones.
+        one from the left, as the merges one by one would do: a pair with the new symbol has a higher rank. Where it has not, the order of
+        the merges may count, and the word is among the last result. Pieces without a pair leave the arrays, so that later rounds touch what
+        is left of the longest ones.
         """
         n = len(data)
         symbols = self.byte_ids[data]
@@ -88,6 +77,7 @@ class Vocabulary:
         result = symbols.copy()
         last = cut[1:].copy()  # the symbol ends its piece
         at = np.full(n, -1)
+        doubtful = [np.empty(0, np.int64)]
         pairs = np.flatnonzero(~last)
         at[pairs] = self.lookup(symbols[pairs], symbols[pairs + 1])
         while len(place):
@@ -103,11 +93,17 @@ class Vocabulary:
                 sizes, low = sizes[~done], low[~done]
                 if not len(place):
                     break
-            hits = np.flatnonzero(rank == np.repeat(low, sizes))
+            low = np.repeat(low, sizes)
+            hits = np.flatnonzero(rank == low)
             # A run of adjacent hits is a run of one symbol: take every other one.
             run = np.concatenate([[True], np.diff(hits) != 1]) | np.concatenate([[True], last[hits[:-1]]])
             first = np.flatnonzero(run)
             hits = hits[(np.arange(len(hits)) - np.repeat(first, np.diff(np.append(first, len(hits))))) % 2 == 0]
+            # Of two hits side by side the left one is merged first: its pair with the first half of the other.
+            beside = hits[:-1][(np.diff(hits) == 2) & ~last[hits[:-1] + 1]]
+            between = self.lookup(self.made[at[beside]], symbols[beside + 2])
+            beside, between = beside[between >= 0], between[between >= 0]
+            doubtful.append(place[beside[self.ranks[between] <= low[beside]]])
             symbols[hits] = self.made[at[hits]]
             last[hits] = last[hits + 1]
             stays = np.ones(len(place), bool)
@@ -115,13 +111,34 @@ class Vocabulary:
             kept[place[hits + 1]] = False
             moved = np.cumsum(stays) - 1
             changed = moved[hits]
-            place, symbols, last, at = place[stays], symbols[stays], last[stays], at[stays]
+            place, symbols, last, at, low = place[stays], symbols[stays], last[stays], at[stays], low[stays]
             changed = np.concatenate([changed, changed[changed > 0] - 1])
             changed = changed[~last[changed]]
             at[moved[hits]] = -1
             at[changed] = self.lookup(symbols[changed], symbols[changed + 1])
+            changed = changed[at[changed] >= 0]
+            doubtful.append(place[changed[self.ranks[at[changed]] <= low[changed]]])
         counts = np.concatenate([[0], np.cumsum(kept)])
-        return result[kept], counts[offsets]
+        return result[kept], counts[offsets], np.unique(np.searchsorted(offsets, np.concatenate(doubtful), side="right") - 1)
+
+
+class Vocabulary(Merges):
+    """Merges in the order of their ranks, the bytes of every token, and the tokens matched before all else."""
+
+    def __init__(self, merges: list[tuple[int, int, int]], tokens: dict[int, bytes], byte_ids: list[int], added: dict[str, int], pattern: str) -> None:
+        super().__init__(merges, np.arange(len(merges)), tokens, byte_ids)
+        first = np.full(self.size, -1)
+        first[byte_ids] = -2
+        for rank, (a, b, c) in enumerate(merges):
+            if first[a] == -1 or first[b] == -1 or first[c] != -1:
+                raise ValueError("merges must make each token once, after its parts")
+            first[c] = rank
+        self.lengths = np.zeros(self.size, np.int64)
+        for i, b in tokens.items():
+            self.lengths[i] = len(b)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(self.size)), np.uint8)
+        self.added, self.pattern = added, pattern
 
 
 class Encoder:
@@ -161,7 +178,7 @@ class Encoder:
         if new:
             raw = [w.encode("utf-8", "surrogatepass") for w in new]
             ends = np.cumsum([0, *map(len, raw)])
-            ids, offsets = self.v.merge(np.frombuffer(b"".join(raw), np.uint8), ends)
+            ids, offsets, _ = self.v.merge(np.frombuffer(b"".join(raw), np.uint8), ends)
             self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + offsets[1:]])
             self.ids = np.concatenate([self.ids, ids])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import random
 import sys
 from pathlib import Path
 
@@ -155,3 +156,29 @@ def test_empty_tables(spark):
     assert backoff.score_documents(docs).count() == 0
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert maxscore.top_inner_products(vectors, vectors).count() == 0
+
+
+def test_bpe_merges_pieces_together_in_tiktokens_order():
+    """Vocabularies whose tokens come before their parts too: where the order of merges counts, pieces are merged one by one."""
+    rng = random.Random(11)
+    for _ in range(60):
+        ranks = {bytes([b]): b for b in range(256)}
+        words = sorted({"".join(rng.choices("abc", k=rng.randint(2, 5))) for _ in range(25)})
+        rng.shuffle(words)
+        ranks |= {w.encode(): 256 + i for i, w in enumerate(words)}
+        tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN, bpe.all_merges(ranks))
+        enc = tiktoken.Encoding("mixed", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        texts = [" ".join("".join(rng.choices("abc", k=rng.randint(1, 20))) for _ in range(8)) for _ in range(20)] + ["", "ab" * 200]
+        ids, offsets = tokenizer.encode_all(texts)
+        for text, a, b in zip(texts, offsets[:-1], offsets[1:], strict=True):
+            assert ids[a:b].tolist() == enc.encode_ordinary(text)
+            assert tokenizer.decode(ids[a:b]) == text.encode()
+
+
+def test_new_pieces_are_merged_together(monkeypatch):
+    """No merge of short pieces one by one, which took most of the encoder's time."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    tokenizer = bpe.Tokenizer(ranks, public_tokenizers.PATTERN, bpe.all_merges(ranks))
+    monkeypatch.setattr(tokenizer, "merge", None)
+    text = prose(3, 400) + " qzxv zzyzxq 日本語テキスト"
+    assert tokenizer.encode(text) == tiktoken_encoding().encode_ordinary(text)
