@@ -43,6 +43,18 @@ def chunk_counts(texts: list[str | None], order: int) -> tuple[np.ndarray, np.nd
     return np.concatenate((np.zeros(1, np.uint64), keys)), np.concatenate(([words], counts))
 
 
+def places(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """The place of each value among the sorted distinct ones, and their number: one sort, no search of each value."""
+    if not len(values):
+        return np.empty(0, np.int32), 0
+    order = np.argsort(values)
+    ordered = values[order]
+    ranks = np.concatenate([np.zeros(1, np.int32), np.cumsum(ordered[1:] != ordered[:-1], dtype=np.int32)])
+    out = np.empty(len(values), np.int32)
+    out[order] = ranks
+    return out, int(ranks[-1]) + 1
+
+
 def planes(values: np.ndarray) -> bytes:
     """Integers as planes of their bytes, which the shuffle's compression makes small."""
     return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
@@ -52,21 +64,19 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
-def document_score(text: str | None, order: int, keys: np.ndarray, totals: np.ndarray) -> tuple[int, float | None]:
-    """Number of words and mean log score of a word, the document's own n-grams taken off the totals."""
-    grams = ngrams(text, order)
-    n = len(grams[0])
+def document_score(found: np.ndarray, n: int, order: int, totals: np.ndarray) -> float | None:
+    """Mean log score of the ``n`` words of a document, its own n-grams taken off the totals; ``found`` has their places in these."""
     if not n:
-        return 0, None
-    own, inverse, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-    others = (totals[np.searchsorted(keys, own)] - counts)[inverse].astype(np.float64)
-    seen = np.split(others, np.cumsum([len(g) for g in grams])[:-1])
+        return None
+    own, inverse, counts = np.unique(found, return_inverse=True, return_counts=True)
+    others = (totals[own] - counts)[inverse].astype(np.float64)
+    seen = np.split(others, np.cumsum([max(0, n - k) for k in range(order - 1)]))
     score = np.log(np.maximum(seen[0], UNSEEN) / max(1, totals[0] - n))
     for k in range(1, order):
         there = seen[k] > 0
         context = seen[k - 1][: len(there)]
         score[k:] = np.where(there, np.log(np.maximum(seen[k], 1) / np.maximum(context, 1)), math.log(ALPHA) + score[k:])
-    return n, float(score.mean())
+    return float(score.mean())
 
 
 def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
@@ -78,7 +88,7 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     Documents are exploded to n-grams in chunks by a hash of the row; equal n-grams of a chunk are added up before the shuffle,
     so a frequent word is one entry a chunk. The count table is partitioned by ranges of the n-gram's hash. Each partition adds
-    up the chunks' counts and sends every chunk the totals of its own n-grams in the order of the keys, where they are joined
+    up the chunks' counts after one sort and sends every chunk the totals of its own n-grams in the order of the keys, where they are joined
     with the n-grams of the documents and summed per document. The documents' shuffle serves both passes.
 
     A text that is null, empty or without words has 0 words and a null score. A null doc_id is passed on; repeated
@@ -110,20 +120,25 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def total(key: tuple, table: pa.Table) -> pa.Table:
         keys = [np.cumsum(from_planes(x)) for x in table.column("gaps").to_pylist()]
         counts = np.concatenate([from_planes(x) for x in table.column("counts").to_pylist()])
-        distinct = np.unique(np.concatenate(keys))
-        places = [np.searchsorted(distinct, k) for k in keys]
-        totals = np.bincount(np.concatenate(places), counts, len(distinct)).astype(np.uint64)
+        found, n = places(np.concatenate(keys))
+        totals = np.bincount(found, counts, n).astype(np.uint64)
+        parts = np.split(totals[found], np.cumsum([len(k) for k in keys])[:-1])
         return pa.table(
-            {"chunk": table.column("chunk"), "bucket": table.column("bucket"), "totals": pa.array([planes(totals[p]) for p in places], pa.binary())}
+            {"chunk": table.column("chunk"), "bucket": table.column("bucket"), "totals": pa.array([planes(p) for p in parts], pa.binary())}
         )
 
-    def summed(key: tuple, own: pa.Table, found: pa.Table) -> pa.Table:
-        texts = own.column("text").to_pylist()
-        keys, _ = chunk_counts(texts, order)
-        by_bucket = sorted(zip(found.column("bucket").to_pylist(), found.column("totals").to_pylist(), strict=True))
+    def summed(key: tuple, own: pa.Table, sums: pa.Table) -> pa.Table:
+        grams = [ngrams(t, order) for t in own.column("text").to_pylist()]
+        words = [len(g[0]) for g in grams]
+        ends = np.cumsum([0, *[sum(map(len, g)) for g in grams]])
+        flat = np.concatenate([k for g in grams for k in g])
+        del grams
+        found, _ = places(flat)
+        found += 1  # the number of words is before all n-grams
+        by_bucket = sorted(zip(sums.column("bucket").to_pylist(), sums.column("totals").to_pylist(), strict=True))
         totals = np.concatenate([from_planes(x) for _, x in by_bucket]).astype(np.int64)
-        scores = [document_score(t, order, keys, totals) for t in texts]
-        return pa.table({"doc_id": own.column("doc_id"), "n_words": pa.array([n for n, _ in scores], pa.int64()), "score": pa.array([s for _, s in scores], pa.float64())})
+        scores = [document_score(found[a:b], n, order, totals) for a, b, n in zip(ends[:-1], ends[1:], words, strict=True)]
+        return pa.table({"doc_id": own.column("doc_id"), "n_words": pa.array(words, pa.int64()), "score": pa.array(scores, pa.float64())})
 
     exploded = chunked.groupBy("chunk").applyInArrow(explode, "chunk long, bucket long, gaps binary, counts binary")
     totals = exploded.groupBy("bucket").applyInArrow(total, "chunk long, bucket long, totals binary")

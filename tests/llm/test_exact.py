@@ -182,3 +182,11 @@ def test_new_pieces_are_merged_together(monkeypatch):
     monkeypatch.setattr(tokenizer, "merge", None)
     text = prose(3, 400) + " qzxv zzyzxq 日本語テキスト"
     assert tokenizer.encode(text) == tiktoken_encoding().encode_ordinary(text)
+
+
+def test_backoff_finds_places_by_one_sort():
+    """Totals and scores search no n-gram one by one."""
+    values = np.array([7, 3, 7, 2**52, 3, 0], np.uint64)
+    found, n = backoff.places(values)
+    assert found.tolist() == [2, 1, 2, 3, 1, 0] and n == 4
+    assert backoff.places(np.empty(0, np.uint64))[1] == 0
