@@ -19,7 +19,8 @@ SAMPLE_DOCS = 3000  # documents learnt from per language, in expectation
 CALIBRATE = 5  # every fifth sampled document, by hash, sets the rejection limits instead of the counts
 REJECT_SIGMAS = 8.0
 REJECT_FLOOR = 0.5  # nats a character above the usual cross-entropy that are always accepted
-SLICE = 2 << 20
+SLICE = 1 << 18
+PLACES = 1 << 16  # characters that are looked up together, so that a long text takes no more memory than a short one
 OTHER = 1  # symbol of letters that the sample lacks; 0 is everything that is no letter
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -123,11 +124,14 @@ class Model:
         inside = np.ones(len(key), bool)  # a key that ends in a text's lead belongs to no text
         lead = (starts[1:, None] + np.arange(ORDER - 1) - (ORDER - 1)).ravel()
         inside[lead] = False
-        logs = self.log_prob(key[inside])
+        key = key[inside]
         total = np.zeros((len(texts), len(self.languages)))
-        full = sizes > 0
-        if full.any():
-            total[full] = np.add.reduceat(logs.astype(np.float64), (np.cumsum(sizes) - sizes)[full], axis=0)
+        full = np.flatnonzero(sizes)
+        begins = (np.cumsum(sizes) - sizes)[full]
+        for a in range(0, len(key), PLACES):
+            logs = self.log_prob(key[a : a + PLACES]).astype(np.float64)
+            first, stop = np.searchsorted(begins, a, side="right") - 1, np.searchsorted(begins, a + len(logs))
+            total[full[first:stop]] += np.add.reduceat(logs, np.maximum(begins[first:stop] - a, 0), axis=0)
         return -total / np.maximum(sizes, 1)[:, None], sizes
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:

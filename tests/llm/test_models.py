@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import random
 import sys
+import tracemalloc
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -14,6 +17,7 @@ from frames import documents, prose
 
 import corpus_pipeline
 from festivo.llm import html_text, language, registry, toxicity
+from festivo.llm.common import slices
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -64,6 +68,28 @@ def test_language_and_rejection(spark):
     assert language.identify(frame.where("doc_id < 0"), model).count() == 0
 
 
+def test_language_memory_is_bounded(spark, monkeypatch):
+    """Two million letters, in one text or in many, take a few times their own size at most; parts of any size give the same entropies."""
+    rows = [(i, spoken(lang, i, 30), lang) for i, lang in enumerate(sorted(TONGUES) * 60)]
+    model = language.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = ["", None, *[spoken(lang, k, 1 + 7 * k) for k, lang in enumerate(sorted(TONGUES) * 3)], "9", "k", spoken("aa", 1, 40)]
+    whole, sizes = model.entropies(texts)
+    for places in (1, 5, 64):
+        monkeypatch.setattr(language, "PLACES", places, raising=False)
+        parts, counted = model.entropies(texts)
+        assert (counted == sizes).all() and np.allclose(parts, whole, rtol=1e-12, atol=0)
+    monkeypatch.undo()
+    text = spoken("aa", 3, 330_000)
+    batch = pa.RecordBatch.from_pydict({"text": [text[k : k + 2000] for k in range(0, len(text), 2000)]})
+    for groups, most in (([[text]], 70), ([b.column("text").to_pylist() for b in slices(iter([batch]), "text", language.SLICE)], 30)):
+        tracemalloc.start()
+        for group in groups:
+            model.predict(group)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most * len(text), peak / len(text)
+
+
 @pytest.mark.skipif(not Path(ROOT).exists(), reason="no test tables")
 def test_held_out_accuracy(spark):
     """The smallest table: languages of held-out documents whose language is given."""
