@@ -223,6 +223,21 @@ def test_sketches_and_middles_keep_every_link_of_a_bucket(spark):
     assert passed.count() < 0.2 * pairs.count()
 
 
+def test_no_step_is_worked_out_twice(spark):
+    """A pair's common start and end are looked for once, and a line is normalised once, however often later steps mention them."""
+
+    def plan(frame) -> str:
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    lists = spark.createDataFrame([(1, "a b", "a c")], "id long, norm string, x_norm string").repartition(2)
+    confirmed = plan(lines.near_texts(lists, "norm", "x_norm", lines.SIMILARITY))
+    assert 0 < confirmed.count("aggregate(") <= 2 and 0 < confirmed.count("levenshtein(") <= 3
+    assert plan(lines.occurrences(documents(spark, [(1, "a")]).select("doc_id", "text"))).count("regexp_replace(") == 1
+    odd = ["Ⓐ ⓑ", "١٢", "İ", "\u0301", "Ⅻ", "_-—", "ªº", "²", "\U0001d400", "-", " "]
+    got = lines.occurrences(documents(spark, [(1, "\n".join(odd))]).select("doc_id", "text")).collect()
+    assert {r.place for r in got} == {1, 2, 3, 4, 6, 7, 8}
+
+
 def test_a_very_long_line(spark):
     line = prose(5, 20_000)
     got = lines.without_repeated_lines(documents(spark, [(1, line), (2, f"{line} "), (3, "x\n" * 5000)]))
