@@ -109,3 +109,11 @@ def test_user_plans_of_other_weeks_drop_out(spark):
     kept = P.reachable_plans(plan, weeks)
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([("200051", "USER"), ("200040", "SYSTEM"), ("200040", None)], key=repr)
 
+
+def test_added_run_meets_only_the_stores_that_were_added(spark):
+    promos = spark.createDataFrame([("A", 1, d) for d in range(3)], "country string, sku int, d int")
+    promos = promos.select("country", "sku", F.expr("date_add(date'2000-12-01', d)").alias("promo_start"), F.lit(date(2000, 12, 9)).alias("promo_end"))
+    added = promos.filter(F.day("promo_start") < 3).withColumn("store_number", F.explode(F.array(F.lit(1001), F.lit(1001), F.lit(1002))))
+    added = added.filter((F.day("promo_start") == 1) | (F.col("store_number") == 1002))
+    met = P.added_stores(promos, added).orderBy("promo_start").collect()
+    assert [sorted(r.added_in) for r in met] == [[1001, 1002], [1002]]
