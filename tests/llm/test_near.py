@@ -177,6 +177,25 @@ def test_lines_of_one_changed_word_are_found(spark, n_words):
     assert sum(got[pairs + k] for k in close) >= 0.9 * len(close) > 0
 
 
+@pytest.mark.parametrize(("n_words", "changes"), [(30, 3), (75, 6), (75, 10)])
+def test_lines_of_several_changed_words_are_found(spark, n_words, changes):
+    """Recall over lines whose changes are spread over all blocks; unrelated lines all stay."""
+    rng = random.Random(n_words + changes)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, pairs = [], 100
+    for k in range(pairs):
+        line = ["".join(rng.choices(letters, k=rng.randrange(4, 9))) for _ in range(n_words)]
+        copy = list(line)
+        for i in rng.sample(range(n_words), changes):
+            copy[i] = "".join(rng.choices(letters, k=5))
+        rows += [(k, " ".join(line)), (pairs + k, " ".join(copy))]
+    text = dict(rows)
+    close = [k for k in range(pairs) if 1 - levenshtein(text[k], text[pairs + k]) / max(len(text[k]), len(text[pairs + k])) >= lines.SIMILARITY]
+    got = {r.doc_id: r._n_removed for r in lines.without_repeated_lines(documents(spark, rows)).collect()}
+    assert len(close) > 90 and not any(got[k] for k in range(pairs))
+    assert sum(got[pairs + k] for k in close) >= 0.95 * len(close)
+
+
 @pytest.mark.parametrize("n_words", [3, 5])
 def test_short_lines_with_a_changed_letter_are_found(spark, n_words):
     """Links of lines of few words: the blocks that a changed word leaves alone may hold one word or none."""
